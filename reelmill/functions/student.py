@@ -10,6 +10,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -47,7 +48,7 @@ def two_sided_p(t: float, df: float) -> float:
     return incomplete_beta(df / 2.0, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     pairs = zip(t, df)
     return pd.Series([None if pd.isna(a) or pd.isna(b) or b <= 0 else two_sided_p(a, b) for a, b in pairs], dtype="float64")

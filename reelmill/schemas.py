@@ -50,11 +50,13 @@ KEYS = {
 }
 
 
+_KINDS = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "double": T.DoubleType()}
+
+
 def curated_schema(table: str) -> T.StructType:
     """The schema a curated table must have before it is written."""
     typed = TYPED[table]
-    fields = ", ".join(f"{f.name} {typed.get(f.name, 'string')}" for f in RAW[table])
-    return T._parse_datatype_string(fields)
+    return T.StructType([T.StructField(f.name, _KINDS[typed.get(f.name, "string")]) for f in RAW[table]])
 
 
 EVENT = T.StructType([
