@@ -110,8 +110,13 @@ def genre_rating_stats(
     return top_n(supported, "averageRating_count", top, tie=["genre"])
 
 
+def genre_quadrants(stats: DataFrame) -> DataFrame:
+    """Each genre as high or low in rating and in votes, against the medians of the genres."""
+    return quadrant_label(stats, "averageRating_mean", "numVotes_mean")
+
+
 def genre_rankings(stats: DataFrame) -> dict[str, DataFrame]:
-    """Short lists and segments of genres by their statistics."""
+    """Short lists of genres by their statistics, and the genres that stand out."""
     segments = segment_above_below(stats, "averageRating_mean", "numVotes_mean")
     gems = segments.filter(F.col("segment") == "hidden_gem")
     appeal = segments.filter(F.col("segment") == "mass_appeal")
@@ -120,7 +125,6 @@ def genre_rankings(stats: DataFrame) -> dict[str, DataFrame]:
         "highest_rated": top_n(stats, "averageRating_mean", 3, tie=["genre"]),
         "most_voted": top_n(stats, "numVotes_mean", 3, tie=["genre"]),
         "most_consistent": top_n(stats, "averageRating_std", 3, desc=False, tie=["genre"]),
-        "quadrants": quadrant_label(stats, "averageRating_mean", "numVotes_mean"),
         "quality_leaders": top_n(labelled, "averageRating_mean", 5, tie=["genre"]),
         "popular": top_n(stats, "numVotes_mean", 5, tie=["genre"]),
         "hidden_gems": top_n(gems, "averageRating_mean", 3, tie=["genre"]),
@@ -144,6 +148,7 @@ def genre_distributions(rows: DataFrame, stats: DataFrame, bins: int = 20) -> di
 def genre_rating_votes(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
     rows = rated_genre_rows(basics, ratings, sep)
     stats = genre_rating_stats(rows)
-    return {"stats": stats, **genre_rankings(stats), **genre_distributions(rows, stats)}
+    quadrants = {"quadrants": genre_quadrants(stats)}
+    return {"stats": stats, **quadrants, **genre_rankings(stats), **genre_distributions(rows, stats)}
 
 

@@ -65,7 +65,6 @@ def genre_vs_runtime(basics: DataFrame, sep: str = ",", min_titles: int = MIN_GE
         "longest": top_n(stats, "mean", 1, tie=["genre"]),
         "shortest": top_n(stats, "mean", 1, desc=False, tie=["genre"]),
         "most_variable": top_n(stats, "std", 3, tie=["genre"]),
-        "overall": describe_column(runtime_titles(basics), "runtimeMinutes"),
     }
 
 
@@ -75,6 +74,10 @@ def runtime_titles(basics: DataFrame) -> DataFrame:
     return range_filter(drop_missing(numbers, ["runtimeMinutes"]), {"runtimeMinutes": RUNTIME_RANGE})
 
 
+def overall_runtime(basics: DataFrame) -> DataFrame:
+    return describe_column(runtime_titles(basics), "runtimeMinutes")
+
+
 def with_category(rows: DataFrame) -> DataFrame:
     category = left_closed_bucket(F.col("runtimeMinutes"), RUNTIME_EDGES, RUNTIME_CATEGORIES)
     return rows.withColumn("runtime_category", category)
