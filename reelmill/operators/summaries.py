@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.functions.columns import left_closed_bucket, percentage
@@ -189,33 +189,35 @@ def histogram(
 ) -> DataFrame:
     """Counts in equal-width bins, empty bins included; the last bin holds its upper edge.
 
-    Without ``lo`` and ``hi`` each group spans its own minimum to maximum. Values are counted before
-    anything else, so the bounds meet counts and not raw rows. Values outside the bounds do not count.
+    Without ``lo`` and ``hi`` each group spans its own minimum to maximum. Values outside the bounds
+    do not count. Bounds that are the same for all rows stand in the expression, so raw rows are
+    binned where they are read and only bins are shuffled. Bounds per group are joined, and meet
+    counted values instead of raw rows.
     """
     by = by or []
     rows = df.na.drop(subset=[*by, col]).select(*by, F.col(col).cast("double").alias("_value"))
-    counts = rows.groupBy(*by, "_value").agg(F.count("*").alias("_rows"))
-    low = F.lit(float(lo)) if lo is not None else F.min("_value")
-    high = F.lit(float(hi)) if hi is not None else F.max("_value")
-    bounds = counts.groupBy(*by).agg(F.min("_value").alias("_least"), low.alias("_lo"), high.alias("_hi"))
-    single = F.col("_lo") == F.col("_hi")
-    bounds = bounds.filter(F.col("_least").isNotNull()).select(
-        *by,
-        F.when(single, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-        F.when(single, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
-    )
-    bounds = bounds.withColumn("_width", (F.col("_hi") - F.col("_lo")) / bins)
-    if by:
-        placed = counts.join(bounds, by)
+    low = F.lit(None if lo is None else float(lo)).cast("double")
+    high = F.lit(None if hi is None else float(hi)).cast("double")
+    fixed = lo is not None and hi is not None
+    if fixed or not by:
+        if not fixed:
+            ends = rows.agg(F.struct(F.min("_value").alias("low"), F.max("_value").alias("high"))).scalar()
+            low, high = F.coalesce(low, ends["low"]), F.coalesce(high, ends["high"])
+        edges = _edges(low, high, bins)
+        placed = rows.select(*by, "_value", F.lit(1).cast("long").alias("_rows"), *edges)
     else:
-        one = _one_row(bounds)
-        placed = counts.select("*", *[one[name].alias(name) for name in ("_lo", "_hi", "_width")])
-    index = F.least(F.floor((F.col("_value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1).cast("long"))
-    filled = (
-        placed.filter(F.col("_value").between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*by, index.cast("int").alias("bin"))
-        .agg(F.sum("_rows").alias("n"))
-    )
+        counts = rows.groupBy(*by, "_value").agg(F.count("*").alias("_rows"))
+        least, most = F.coalesce(low, F.min("_value")), F.coalesce(high, F.max("_value"))
+        ends = counts.groupBy(*by).agg(least.alias("_low"), most.alias("_high"))
+        bounds = ends.select(*by, *_edges(F.col("_low"), F.col("_high"), bins))
+        placed = counts.join(bounds, by)
+    inside = F.col("_value").between(F.col("_lo"), F.col("_hi"))
+    place = F.least(F.floor((F.col("_value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1).cast("long"))
+    filled = placed.groupBy(*by, F.when(inside, place).cast("int").alias("bin")).agg(F.sum("_rows").alias("n"))
+    if fixed or not by:
+        # Groups without a row inside the bounds are known from their rows outside.
+        groups = filled.select(*by).distinct() if by else df.sparkSession.range(1).select()
+        bounds = groups.select(*by, *edges).filter(F.col("_lo").isNotNull())
     frame = bounds.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     table = frame.join(filled, [*by, "bin"], "left").select(
         *by,
@@ -226,12 +228,19 @@ def histogram(
         "_width",
     )
     if density:
-        totals = filled.groupBy(*by).agg(F.sum("n").alias("_all"))
-        joined = table.join(totals, by) if by else table.withColumn("_all", totals.scalar())
-        table = joined.withColumn("density", F.col("n") / F.col("_all") / F.col("_width")).drop("_all")
+        # At most ``bins`` rows per group.
+        total = F.sum("n").over(Window.partitionBy(*by))
+        table = table.withColumn("density", F.try_divide(F.col("n"), total * F.col("_width")))
     return table.drop("_width")
 
 
+def _edges(low: Column, high: Column, bins: int) -> list[Column]:
+    """Lower end, upper end and bin width; a single value gets a range of one around it."""
+    single = low == high
+    lo, hi = F.when(single, low - 0.5).otherwise(low), F.when(single, high + 0.5).otherwise(high)
+    return [lo.alias("_lo"), hi.alias("_hi"), ((hi - lo) / bins).alias("_width")]
+
+
 def two_sample_t(df: DataFrame, group: str, value: str, a, b, alpha: float = 0.05) -> DataFrame:
     """Student's t with pooled variance between two groups: one row with t, df, p and significance.
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from reelmill.functions.columns import split_to_array
 from reelmill.operators.lists import attach_list, explode_list
 from reelmill.operators.profile import distribution, duplicate_keys
 from reelmill.operators.shaping import cast_columns, strip_list_markup
@@ -78,7 +79,11 @@ class Curated:
             found[f"min|{name}"] = F.min(name).cast("long")
             found[f"max|{name}"] = F.max(name).cast("long")
         rules = rules_for(self.table, self.latest_year)
-        return found | {f"violations|{name}": F.count_if(broken) for name, broken in rules.items()}
+        found |= {f"violations|{name}": F.count_if(broken) for name, broken in rules.items()}
+        for suffix, (col, _out) in CHILDREN.get(self.table, {}).items():
+            listed = F.when(F.col(col) != "", F.size(split_to_array(F.col(col)))).otherwise(0)
+            found[f"child_rows|{suffix}"] = F.coalesce(F.sum(listed), F.lit(0)).cast("long")
+        return found
 
     def checks(self) -> DataFrame:
         """All checks as rows ``table_name, check_name, subject, value``."""
@@ -89,9 +94,6 @@ class Curated:
             F.lit("duplicates|" + "+".join(KEYS[self.table])).alias("name"), F.col("duplicates").alias("value")
         )
         report = plain.unionByName(keys)
-        for suffix, child in self.children.items():
-            size = child.agg(F.count("*").alias("value"))
-            report = report.unionByName(size.select(F.lit(f"child_rows|{suffix}").alias("name"), "value"))
         split = F.split("name", r"\|")
         return report.select(
             F.lit(self.table).alias("table_name"), split[0].alias("check_name"), split[1].alias("subject"), "value"

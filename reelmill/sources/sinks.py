@@ -64,10 +64,10 @@ def write_event_table(
 ) -> None:
     """Append events by day, sorted by the cluster columns inside every file.
 
-    Rows are range-partitioned by day and cluster columns, so a day that holds most of the rows is
-    written by many tasks, and each of its files covers a narrow range that a filter can skip.
+    Rows are range-partitioned by day, cluster columns and time, so a day or a user that holds most of
+    the rows is written by many tasks, and each file covers a narrow range that a filter can skip.
     """
-    order = ["event_date", *(cluster or EVENT_CLUSTER)]
+    order = ["event_date", *(cluster or EVENT_CLUSTER), ts]
     dated = df.withColumn("event_date", F.to_date(ts))
     ranged = dated.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.write.mode("append").partitionBy("event_date").parquet(path)

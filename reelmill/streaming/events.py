@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reelmill.functions.columns import all_of
 from reelmill.schemas import EVENT, EVENT_REQUIRED
 
-_CORRUPT = "_corrupt_record"
+_CORRUPT, _MESSAGE, _REASON = "_corrupt_record", "_message", "_reason"
 
 
 def read_event_stream(
@@ -40,20 +40,23 @@ def parse_events(
     A message is dead if its bytes are no UTF-8, it is no JSON object, a field has the wrong type, or it
     has no id. Unknown fields are left out. Dead letters keep the message and say why.
     """
-    text = F.col(value).cast("string")
     widened = T.StructType([*schema, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(text, widened, {"columnNameOfCorruptRecord": _CORRUPT})
-    event = F.col("_event")
-    usable = F.is_valid_utf8(text) & F.ltrim(text).startswith("{")
+    message = messages.select(F.col(value).alias(_MESSAGE))
+    text = F.col(_MESSAGE).cast("string")
+    # A generator is evaluated once per row. As a plain column the parser would be copied into the
+    # filter and into every field that is read from its result.
+    parsed = F.inline(F.array(F.from_json(text, widened, {"columnNameOfCorruptRecord": _CORRUPT})))
     reason = (
-        F.when(F.col(value).isNull(), "no message")
+        F.when(F.col(_MESSAGE).isNull(), "no message")
         .when(~F.is_valid_utf8(text), "not UTF-8")
-        .when(~usable | event.isNull() | event[_CORRUPT].isNotNull(), "malformed")
-        .when(event[id_field].isNull(), f"no {id_field}")
+        .when(~F.ltrim(text).startswith("{") | F.col(_CORRUPT).isNotNull(), "malformed")
+        .when(F.col(id_field).isNull(), f"no {id_field}")
+    )
+    checked = message.select(_MESSAGE, parsed).withColumn(_REASON, reason)
+    good = checked.filter(F.col(_REASON).isNull()).select(*schema.names)
+    dead = checked.filter(F.col(_REASON).isNotNull()).select(
+        F.col(_MESSAGE).alias("message"), F.col(_REASON).alias("reason")
     )
-    checked = messages.withColumn("_event", parsed).withColumn("reason", reason)
-    good = checked.filter(F.col("reason").isNull()).select(*[event[f.name].alias(f.name) for f in schema])
-    dead = checked.filter(F.col("reason").isNotNull()).select(F.col(value).alias("message"), "reason")
     return good, dead
 
 
