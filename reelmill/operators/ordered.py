@@ -1,18 +1,20 @@
-"""Exact order statistics that never sort or hold one group in one task.
+"""Exact order statistics that never sort or hold an unbounded group in one task.
 
 Spark's ``percentile`` keeps all distinct values of a group in the memory of one task, and a window
-over a whole group sorts it in one task. Here a group is instead cut into slices:
+over a group sorts it in one task. Here values are first counted per (group, value), which collapses
+repeated values before the shuffle. Then:
 
-1. rows are counted per (group, value), which collapses repeated values before the shuffle;
-2. the counts are range-partitioned by (group, value), so a hot group spreads over many slices;
-   the result is frozen in the shared folder because range bounds come from a sample;
-3. one small row per (slice, group) gives the number of rows ahead of each slice;
-4. inside a slice a running sum gives the position of every value in its group.
+- a group with at most ``GROUP_LIMIT`` distinct values is ordered by a window, with that proven bound;
+- a bigger group is cut into slices: its counts are range-partitioned by (group, value), the slices are
+  frozen in the shared folder because range bounds come from a sample, one small row per slice gives
+  the rows ahead of it, and a running sum inside the slice gives the position of every value.
+
+Both ways are exact and no row is left out.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,45 +24,66 @@ from reelmill.session import materialize
 
 STATS = ("count", "sum", "mean", "median", "std", "min", "max")
 
+# Distinct values that one task may sort for one group.
+GROUP_LIMIT = 1_000_000
+
 
 @dataclass
 class OrderedValues:
-    """Counted values of some numeric columns, cut into slices.
+    """Counted values of some numeric columns.
 
-    ``counts`` has the group columns, ``_field`` (which column), ``_value``, ``_rows``, ``_weight``
-    (``_rows``, or 0 for a missing value) and ``_slice``.
+    ``counts`` has the group columns, ``_field`` (which column), ``_value``, ``_rows`` and ``_weight``
+    (``_rows``, or 0 for a missing value). ``slices`` holds the counts of the groups beyond the limit,
+    with their ``_slice``, and ``big`` the keys of these groups; both are None if there are none.
     """
 
     counts: DataFrame
     by: list[str]
     cols: list[str]
-    group: list[str] = field(init=False)
+    big: DataFrame | None
+    slices: DataFrame | None
 
-    def __post_init__(self):
-        self.group = [*self.by, "_field"]
+    @property
+    def group(self) -> list[str]:
+        return [*self.by, "_field"]
 
     def positions(self) -> DataFrame:
         """Each value with ``_before`` (rows of the group ahead of it), ``_total`` and ``_mean``."""
+        if self.big is None:
+            return self._ordered_whole(self.counts)
+        small = self.counts.join(self.big, self.group, "left_anti")
+        return self._ordered_whole(small).unionByName(self._ordered_by_slice())
+
+    def _ordered_whole(self, counts: DataFrame) -> DataFrame:
+        whole = Window.partitionBy(*self.group)
+        running = whole.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+        total = F.sum("_weight").over(whole)
+        return counts.select(
+            *self.group, "_value", "_weight",
+            (F.sum("_weight").over(running) - F.col("_weight")).alias("_before"),
+            total.alias("_total"),
+            F.try_divide(F.sum(F.col("_value") * F.col("_weight")).over(whole), total).alias("_mean"),
+        )
+
+    def _ordered_by_slice(self) -> DataFrame:
         slice_group = ["_slice", *self.group]
-        slices = self.counts.groupBy(*slice_group).agg(
+        sizes = self.slices.groupBy(*slice_group).agg(
             F.sum("_weight").alias("_rows_in_slice"),
             F.sum(F.col("_value") * F.col("_weight")).alias("_sum_in_slice"),
         )
         # At most one row per slice and group, so a group has no more rows here than there are slices.
         across = Window.partitionBy(*self.group)
-        ahead = F.sum("_rows_in_slice").over(across.orderBy("_slice")) - F.col("_rows_in_slice")
         total = F.sum("_rows_in_slice").over(across)
-        offsets = slices.select(
+        offsets = sizes.select(
             *slice_group,
-            ahead.alias("_ahead"),
+            (F.sum("_rows_in_slice").over(across.orderBy("_slice")) - F.col("_rows_in_slice")).alias("_ahead"),
             total.alias("_total"),
             F.try_divide(F.sum("_sum_in_slice").over(across), total).alias("_mean"),
         )
-        inside = Window.partitionBy(*slice_group).orderBy("_value")
-        running = F.sum("_weight").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-        return self.counts.join(offsets, slice_group).withColumn(
-            "_before", F.col("_ahead") + running - F.col("_weight")
-        )
+        inside = Window.partitionBy(*slice_group).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+        before = F.col("_ahead") + F.sum("_weight").over(inside) - F.col("_weight")
+        placed = self.slices.join(offsets, slice_group)
+        return placed.select(*self.group, "_value", "_weight", before.alias("_before"), "_total", "_mean")
 
     def statistics(self, probs: dict[str, float] | None = None) -> DataFrame:
         """Per group and column: ``count, sum, mean, std, min, max`` and the named quantiles.
@@ -123,10 +146,13 @@ def _quantile(p: float) -> Column:
     return at_low + (at_high - at_low) * share
 
 
-def order_values(df: DataFrame, by: list[str], cols: list[str]) -> OrderedValues:
-    """Count and slice the values of numeric columns. Rows with a missing group key are left out.
+def order_values(
+    df: DataFrame, by: list[str], cols: list[str], limit: int = GROUP_LIMIT
+) -> OrderedValues:
+    """Count the values of numeric columns and cut big groups into slices.
 
-    Reads the input once for all columns and stores the counts in the shared folder.
+    Rows with a missing group key are left out. The input is read once for all columns; its counts are
+    stored in the shared folder.
     """
     present = all_of([F.col(name).isNotNull() for name in by])
     numbers = df.filter(present).select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -136,10 +162,15 @@ def order_values(df: DataFrame, by: list[str], cols: list[str]) -> OrderedValues
         rows = numbers.unpivot(by, cols, "_field", "_value")
     counts = rows.groupBy(*by, "_field", "_value").agg(F.count("*").alias("_rows"))
     weight = F.when(F.col("_value").isNotNull(), F.col("_rows")).otherwise(F.lit(0).cast("long"))
-    sliced = counts.repartitionByRange(*by, "_field", "_value").select(
-        "*", weight.alias("_weight"), F.spark_partition_id().alias("_slice")
-    )
-    return OrderedValues(materialize(sliced), by, cols)
+    counts = materialize(counts.withColumn("_weight", weight))
+    group = [*by, "_field"]
+    sizes = counts.groupBy(*group).agg(F.count("*").alias("_distinct"))
+    big = sizes.filter(F.col("_distinct") > limit).select(*group)
+    if big.isEmpty():
+        return OrderedValues(counts, by, cols, None, None)
+    ranged = counts.join(big, group, "left_semi").repartitionByRange(*group, "_value")
+    slices = materialize(ranged.withColumn("_slice", F.spark_partition_id()))
+    return OrderedValues(counts, by, cols, big, slices)
 
 
 def ecdf(df: DataFrame, col: str) -> DataFrame:

@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -38,11 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
     machine-local folder would be lost with its machine, so that case is an error.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = named or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(folder)
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
@@ -52,15 +48,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the shared folder, which can be removed as a
+    whole when the application has ended."""
+    root = shared_folder(spark).rstrip("/")
+    return f"{root}/reelmill-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Freeze a result in the shared folder, so that a lost executor cannot change it.
+    """Freeze a result as a table in the shared folder, so that a lost executor cannot change it.
 
-    Needed where two later steps must see the very same rows in the very same partitions, as with
-    range partitions, whose bounds come from a sample.
+    Needed where two later steps must see the very same rows, as with range partitions, whose bounds
+    come from a sample. Later steps read only the columns they use.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

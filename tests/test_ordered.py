@@ -53,8 +53,26 @@ def test_quartiles_equal_numpy(frame, data):
 
 
 def test_a_hot_group_is_cut_into_slices(frame):
-    slices = order_values(frame, ["k"], ["v"]).counts.filter("k = 'hot'").select("_slice").distinct().count()
-    assert slices > 1
+    ordered = order_values(frame, ["k"], ["v"], limit=1000)
+    assert [r.k for r in ordered.big.collect()] == ["hot"]
+    assert ordered.slices.filter("k = 'hot'").select("_slice").distinct().count() > 1
+
+
+@pytest.mark.parametrize("limit", [0, 5, 1000])
+def test_slices_change_nothing(frame, limit):
+    """Groups in slices, some groups in slices, one hot group in slices: the same statistics."""
+    probs = {"q1": 0.25, "median": 0.5, "p99": 0.99}
+    whole = {r.k: r for r in order_values(frame, ["k"], ["v"]).statistics(probs).collect()}
+    cut = {r.k: r for r in order_values(frame, ["k"], ["v"], limit=limit).statistics(probs).collect()}
+    assert set(whole) == set(cut)
+    for key, row in whole.items():
+        assert all(close(a, b) for a, b in zip(row[2:], cut[key][2:])), (row, cut[key])
+
+
+def test_overall_order_in_slices(frame, data):
+    ordered = order_values(frame, [], ["v"], limit=100)
+    median = ordered.statistics({"median": 0.5}).first()["median"]
+    assert ordered.big is not None and median == pytest.approx(data.v.median())
 
 
 def test_box(frame, data):
