@@ -51,6 +51,18 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return J.left_renamed_keys(orders, customer.select("c_custkey", "c_name", "c_mktsegment"), {"o_custkey": "c_custkey"})
 
 
+@query("left_on_key_skewed", """
+SELECT s.s_suppkey, s_name, CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber
+FROM supplier s LEFT JOIN (SELECT CASE WHEN l_returnflag = 'N' THEN 3 ELSE l_suppkey END AS s_suppkey, l_orderkey, l_linenumber
+                           FROM lineitem WHERE l_suppkey > 20) l ON s.s_suppkey = l.s_suppkey
+""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    hot = F.when(F.col("l_returnflag") == "N", 3).otherwise(F.col("l_suppkey")).alias("s_suppkey")
+    lines = table(spark, folder, "lineitem").filter(F.col("l_suppkey") > 20).select(hot, "l_orderkey", "l_linenumber")
+    suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name")
+    return as_text(J.left_on_key(suppliers, lines, "s_suppkey", skewed=True), "l_orderkey", "l_linenumber")
+
+
 @query("chain_join", """
 SELECT r_name, n_name, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey

@@ -19,7 +19,13 @@ def query(name: str, sql: str | None = None):
     def keep(build: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = build
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            # Dates are compared with an engine that knows no session time zone.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql
         return build

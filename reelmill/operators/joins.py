@@ -1,8 +1,9 @@
 """Equi-joins by key.
 
-No side is forced to be broadcast: Spark broadcasts a side only when its size, known at run time, is
-below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles both sides and splits hot keys
-(``spark.sql.adaptive.skewJoin``).
+No data side is forced to be broadcast: Spark broadcasts a side only when its size is known to be below
+``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles both sides and splits hot keys
+(``spark.sql.adaptive.skewJoin``). The one thing Spark cannot split is a hot key on the right side of a
+left join; ``skewed=True`` spreads such keys over salts.
 """
 
 from __future__ import annotations
@@ -15,22 +16,55 @@ def inner_on_key(left: DataFrame, right: DataFrame, on: str | list[str]) -> Data
     return left.join(right, on, "inner")
 
 
-def left_on_key(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    return left.join(right, on, "left")
+def left_on_key(
+    left: DataFrame, right: DataFrame, on: str | list[str], skewed: bool = False
+) -> DataFrame:
+    """Keeps every left row. ``skewed`` is for a right side of which one key may hold a large part."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return _left_salted(left, right, keys) if skewed else left.join(right, keys, "left")
 
 
-def left_on_composite(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def left_on_composite(
+    left: DataFrame, right: DataFrame, on: list[str], skewed: bool = False
+) -> DataFrame:
     """Keeps every left row; all key columns have to match."""
-    return left.join(right, on, "left")
+    return left_on_key(left, right, on, skewed)
 
 
-def left_renamed_keys(left: DataFrame, right: DataFrame, keys: dict[str, str]) -> DataFrame:
+def left_renamed_keys(
+    left: DataFrame, right: DataFrame, keys: dict[str, str], skewed: bool = False
+) -> DataFrame:
     """Left join on keys named differently on each side; the right names do not appear in the result.
 
     A left row with several matches comes out several times.
     """
     aligned = right.withColumnsRenamed({theirs: ours for ours, theirs in keys.items()})
-    return left.join(aligned, list(keys), "left")
+    return left_on_key(left, aligned, list(keys), skewed)
+
+
+# A key is hot if it holds more than this share of the rows, so there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 0.01
+SALTS = 64
+
+
+def _left_salted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join that spreads the right rows of a hot key over salts.
+
+    Left rows of a hot key meet every salt. As a hot key has right rows, a left row that finds nothing
+    under one salt is left out there and comes out under another; cold keys have one salt.
+    """
+    counts = right.na.drop(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = right.agg(F.count("*")).scalar()
+    hot = counts.filter(F.col("_n") > total * HOT_SHARE).select(*keys, F.lit(True).alias("_hot"))
+    # At most 1 / HOT_SHARE rows, whatever the size of the data.
+    hot = F.broadcast(hot)
+    is_hot = F.coalesce("_hot", F.lit(False))
+    salt = F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = right.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot").withColumn("_match", F.lit(True))
+    met = left.join(hot, keys, "left").withColumn("_salt", F.explode(salts))
+    joined = met.join(spread, [*keys, "_salt"], "left")
+    return joined.filter(~is_hot | F.col("_match").isNotNull()).drop("_salt", "_match", "_hot")
 
 
 def chain_join(base: DataFrame, steps: list[tuple[DataFrame, str | list[str], str]]) -> DataFrame:

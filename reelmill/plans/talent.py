@@ -53,10 +53,12 @@ def weighted_works(
     principals: DataFrame | None,
     role: str,
     unique_originals: bool = False,
+    skewed_roles: bool = False,
 ) -> DataFrame:
     """Rated works of each person with a weighted score.
 
     A person with several roles in a title appears once per role, as in the ranking this feeds.
+    ``skewed_roles`` is for principals of which one title and person hold a large part.
     """
     joined = chain_join(
         basics.select("tconst", "genres"),
@@ -71,7 +73,7 @@ def weighted_works(
     works = credited_works(drop_missing(numbers, ["averageRating", "numVotes"]), role)
     if principals is not None:
         roles = principals.select("tconst", "nconst", "category", "characters")
-        works = left_renamed_keys(works, roles, {"tconst": "tconst", "person_id": "nconst"})
+        works = left_renamed_keys(works, roles, {"tconst": "tconst", "person_id": "nconst"}, skewed_roles)
     return works.withColumn("weighted_score", weighted_score(F.col("averageRating"), F.col("numVotes")))
 
 

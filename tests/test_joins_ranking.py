@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelmill.operators import joins as J
 from reelmill.operators import profile as P
@@ -24,6 +25,18 @@ def test_left_renamed_keys_fans_out(spark, rows):
     assert rows(out) == [("t1", "p1", "actor"), ("t1", "p1", "writer"), ("t2", "p1", None)]
 
 
+def test_salted_left_join_is_a_left_join(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, v string")
+    right = spark.createDataFrame(
+        [(1, "x")] * 200 + [(1, "y")] * 3 + [(2, "z")] + [(i, "q") for i in range(10, 60)] + [(None, "n")], "k int, w string")
+    plain, salted = J.left_on_key(left, right, "k"), J.left_on_key(left, right, "k", skewed=True)
+    assert salted.columns == plain.columns
+    assert rows(salted) == rows(plain)
+    two = J.left_on_composite(left.withColumn("j", F.lit(1)), right.withColumn("j", F.lit(1)), ["k", "j"], skewed=True)
+    assert two.count() == plain.count()
+    assert rows(J.left_on_key(left, right.limit(0), "k", skewed=True)) == rows(J.left_on_key(left, right.limit(0), "k"))
+
+
 def test_orphans_ignore_missing_keys(spark, rows):
     child = spark.createDataFrame([("e1", "t1"), ("e2", "t9"), ("e3", None)], "e string, parent string")
     parent = spark.createDataFrame([("t1",)], "tconst string")
