@@ -15,8 +15,12 @@ BLANKS = " \t\n\r\x0b\x0c"
 
 
 def whole_number(text: Column, kind: str = "int") -> Column:
-    """Text to a whole number; ``12.7`` is cut to 12 and anything else that is no number gives NULL."""
-    return F.coalesce(text.try_cast(kind), F.regexp_replace(text, r"\.\d*\s*$", "").try_cast(kind))
+    """Text to a whole number; ``12.7`` is cut to 12 and anything else that is no number gives NULL.
+
+    The pattern keeps bad text away from the cast, which would raise and catch an error for each.
+    """
+    digits = F.substring_index(text, ".", 1).try_cast(kind)
+    return F.when(text.rlike(r"^\s*[+-]?\d+(\.\d*)?\s*$"), digits)
 
 
 def boolean_flag(flag: Column) -> Column:
