@@ -55,6 +55,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     ))
 
 
+@query("multi_child_left", """
+SELECT p_partkey, len(string_split(p_name, ' ')) AS n_words, coalesce(s.n, 0) AS n_suppliers,
+       coalesce(o.n, 0) AS n_orders, array_to_string(list_sort(string_split(p_name, ' ')), '|') AS words
+FROM part LEFT JOIN (SELECT l_partkey, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY 1) s ON p_partkey = s.l_partkey
+LEFT JOIN (SELECT l_partkey, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1) o ON p_partkey = o.l_partkey
+""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    part = table(spark, folder, "part", "p_partkey", "p_name")
+    words = explode_list(part, ["p_partkey"], "p_name", "word", sep=" ")
+    lines = table(spark, folder, "lineitem", "l_partkey", "l_suppkey", "l_orderkey").withColumnRenamed("l_partkey", "p_partkey")
+    keys = ["p_partkey"]
+    listed = attach_list(part.select(*keys), {"words": (words, keys, "word")})
+    both = {"suppliers": (lines, keys, "l_suppkey"), "orders": (lines, keys, "l_orderkey")}
+    joined = attach_list(listed, both, empty="array", distinct=True)
+    return settle(joined.select(
+        "p_partkey", *[F.size(c).cast("long").alias(f"n_{c}") for c in ("words", "suppliers", "orders")], "words"))
+
+
 @query("attach_list_composite", """
 SELECT l.l_orderkey, l.l_linenumber, array_to_string(list_sort(list(l.l_partkey)), '|') AS parts
 FROM lineitem l GROUP BY 1, 2

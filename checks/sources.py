@@ -18,6 +18,7 @@ from reelmill.sources.readers import read_delimited, read_parts, register_views,
 from reelmill.sources.sinks import (
     append_ingestion_log,
     create_event_table,
+    read_event_table,
     read_ingestion_log,
     read_table,
     write_counted,
@@ -164,7 +165,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "event-table")
     create_event_table(spark, path, events.schema, ts="ts")
     write_event_table(events, path, ts="ts", cluster=["user_id", "event_type"])
-    days = spark.read.parquet(path).filter(F.col("event_date") >= F.lit("2024-01-10").cast("date"))
+    days = read_event_table(spark, path, events.schema).filter(F.col("event_date") >= F.lit("2024-01-10").cast("date"))
     counts = days.groupBy("event_date", "event_type").agg(
         F.count("*").alias("n"), F.count_distinct("user_id").alias("users")
     )

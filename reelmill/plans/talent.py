@@ -13,6 +13,7 @@ from reelmill.operators.ranking import rank_rows, top_n, top_n_per_group
 from reelmill.operators.shaping import drop_missing, null_marker_filter, range_filter, to_numeric
 from reelmill.operators.summaries import min_support, multi_summary
 from reelmill.plans.genres import RATING_RANGE
+from reelmill.session import materialize
 
 # What a person or a title needs to count, and the lengths of the lists.
 MIN_WORKS, MIN_MEAN_VOTES, MIN_TITLE_VOTES = 3, 100, 10
@@ -97,9 +98,12 @@ def talent_weighted(
 
 
 def leader_details(works: DataFrame, ranked: DataFrame) -> dict[str, DataFrame]:
-    """Genres, categories, characters and best works of the first in the ranking."""
+    """Genres, categories, characters and best works of the first in the ranking.
+
+    The works of the leader are stored once, so that the joins behind them do not run for each detail.
+    """
     leader = ranked.filter(F.col("rank") == 1).select("person_id")
-    own = semi_in_set(works, leader, ["person_id"])
+    own = materialize(semi_in_set(works, leader, ["person_id"]))
     return {
         "genres": element_frequencies(own, "genres", DETAIL_LENGTH, out="genre"),
         "categories": distribution(own, "category", DETAIL_LENGTH, drop_null_keys=True),
@@ -150,9 +154,12 @@ def talent_by_consistency(stats: DataFrame, top: int = TOP_PEOPLE) -> DataFrame:
 
 
 def talent_details(works: DataFrame, ranked: DataFrame, principals: DataFrame) -> dict[str, DataFrame]:
-    """Genres, best works, categories and characters of the leading people, one job for all of them."""
+    """Genres, best works, categories and characters of the leading people, one job for all of them.
+
+    Their works are stored once, so that the joins behind them do not run for each detail.
+    """
     leaders = ranked.filter(F.col("rank") <= DETAILED_PEOPLE).select("person_id")
-    own = semi_in_set(works, leaders, ["person_id"])
+    own = materialize(semi_in_set(works, leaders, ["person_id"]))
     counts = element_frequencies(own, "genres", by=["person_id"], out="genre")
     roles = principals.withColumnRenamed("nconst", "person_id")
     roles = roles.withColumns({

@@ -73,6 +73,11 @@ def write_event_table(
     ranged.write.mode("append").partitionBy("event_date").parquet(path)
 
 
+def read_event_table(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> DataFrame:
+    """The event table with its ``event_date``; works before the first event, too."""
+    return spark.read.schema(T.StructType([*schema, T.StructField("event_date", T.DateType())])).parquet(path)
+
+
 def append_ingestion_log(rows: DataFrame, path: str) -> None:
     """Append to the ingestion log, partitioned by day."""
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in INGESTION_LOG]

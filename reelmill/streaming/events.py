@@ -93,7 +93,8 @@ def append_events(
     events: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", trigger: dict | None = None
 ) -> StreamingQuery:
     """Append to the table, partitioned by day. No shuffle; the file log of the sink together with the
-    checkpoint makes a restart add nothing twice."""
+    checkpoint makes a restart add nothing twice. Readers trust that log, so a folder is fed either by
+    streams or by ``write_event_table``, not by both."""
     dated = events.withColumn("event_date", F.to_date(ts))
     return (
         dated.writeStream.format("parquet")

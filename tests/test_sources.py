@@ -36,9 +36,10 @@ def test_event_table_is_created_once_and_pruned(spark, tmp_path):
         "cast(id as string) user_id", "'c' content_id", "'start' event_type",
         "timestamp_seconds(1704067200 + id * 3600) `timestamp`")
     sinks.create_event_table(spark, path, events.schema)
+    assert sinks.read_event_table(spark, path, events.schema).count() == 0
     sinks.write_event_table(events, path)
     sinks.create_event_table(spark, path, events.schema)
-    day = spark.read.parquet(path).filter("event_date = date'2024-01-02'")
+    day = sinks.read_event_table(spark, path, events.schema).filter("event_date = date'2024-01-02'")
     assert day.count() == 24
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
 
