@@ -324,7 +324,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("genre_rating_votes_quadrants", f"""
-WITH s AS ({GENRE_STATS}), m AS (SELECT median("averageRating_mean") AS r, median("numVotes_mean") AS v FROM s)
+WITH s AS MATERIALIZED ({GENRE_STATS}), m AS (SELECT median("averageRating_mean") AS r, median("numVotes_mean") AS v FROM s)
 SELECT {SHOWN}, CASE WHEN "averageRating_mean" >= r AND "numVotes_mean" >= v THEN 'High Quality & High Popularity'
             WHEN "averageRating_mean" >= r THEN 'High Quality & Low Popularity'
             WHEN "numVotes_mean" >= v THEN 'Low Quality & High Popularity'
@@ -354,12 +354,12 @@ ranking_query("consistency_champions", f"""
 SELECT {SHOWN}, {CONSISTENCY} FROM ({GENRE_STATS}) s ORDER BY s."averageRating_std", genre LIMIT 5
 """)
 ranking_query("hidden_gems", f"""
-WITH s AS ({GENRE_STATS}), m AS (SELECT avg("averageRating_mean") AS r, avg("numVotes_mean") AS v FROM s)
+WITH s AS MATERIALIZED ({GENRE_STATS}), m AS (SELECT avg("averageRating_mean") AS r, avg("numVotes_mean") AS v FROM s)
 SELECT {SHOWN}, 'hidden_gem' AS segment FROM s, m WHERE s."averageRating_mean" > r AND s."numVotes_mean" < v
 ORDER BY s."averageRating_mean" DESC, genre LIMIT 3
 """)
 ranking_query("mass_appeal", f"""
-WITH s AS ({GENRE_STATS}), m AS (SELECT avg("averageRating_mean") AS r, avg("numVotes_mean") AS v FROM s)
+WITH s AS MATERIALIZED ({GENRE_STATS}), m AS (SELECT avg("averageRating_mean") AS r, avg("numVotes_mean") AS v FROM s)
 SELECT {SHOWN}, 'mass_appeal' AS segment FROM s, m
 WHERE s."numVotes_mean" > v AND s."averageRating_mean" BETWEEN r - 0.2 AND r + 0.2
 ORDER BY s."numVotes_mean" DESC, genre LIMIT 3

@@ -139,7 +139,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("quadrant_label", f"""
-WITH b AS ({BRANDS}), m AS (SELECT median(price) AS mp, median(size) AS ms FROM b)
+WITH b AS MATERIALIZED ({BRANDS}), m AS (SELECT median(price) AS mp, median(size) AS ms FROM b)
 SELECT p_brand, round(price, 4) AS price, round(size, 4) AS size,
        CASE WHEN price >= mp AND size >= ms THEN 'both' WHEN price >= mp THEN 'price' WHEN size >= ms THEN 'size'
             ELSE 'none' END AS quadrant FROM b, m
@@ -159,7 +159,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("segment_above_below", f"""
-WITH b AS ({BRANDS}), m AS (SELECT avg(size) AS ms, avg(price) AS mp FROM b)
+WITH b AS MATERIALIZED ({BRANDS}), m AS (SELECT avg(size) AS ms, avg(price) AS mp FROM b)
 SELECT p_brand, round(price, 4) AS price, round(size, 4) AS size,
        CASE WHEN price > mp AND size < ms THEN 'hidden_gem' ELSE 'mass_appeal' END AS segment
 FROM b, m WHERE (price > mp AND size < ms) OR (size > ms AND price BETWEEN mp - 1 AND mp + 1)

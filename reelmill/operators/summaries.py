@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.functions.columns import left_closed_bucket, percentage
+from reelmill.functions.columns import all_of, left_closed_bucket, percentage
 from reelmill.functions.student import p_value
 from reelmill.operators.ordered import STATS, order_values
+from reelmill.session import materialize
 
 
 def _plain(stat: str, col: str) -> Column:
@@ -143,7 +144,12 @@ QUADRANTS = (
 def quadrant_label(
     df: DataFrame, x: str, y: str, out: str = "quadrant", labels: tuple[str, str, str, str] = QUADRANTS
 ) -> DataFrame:
-    """Four labels by whether two measures reach their medians over all rows."""
+    """Four labels by whether two measures reach their medians over all rows.
+
+    The rows are frozen first: sums of doubles may differ in the last digit between two evaluations,
+    and the row that is the median has to meet itself.
+    """
+    df = materialize(df)
     middle = _one_row(thresholds(df, [x, y], "median"))
     high_x, high_y = F.col(x) >= middle[x], F.col(y) >= middle[y]
     label = (
@@ -163,8 +169,9 @@ def segment_above_below(df: DataFrame, quality: str, reach: str, margin: float =
     """Rows that stand out against the mean over all rows, with their segment.
 
     ``hidden_gem``: quality above the mean, reach below it. ``mass_appeal``: reach above the mean,
-    quality within ``margin`` of it.
+    quality within ``margin`` of it. The rows are frozen first, as for the quadrants.
     """
+    df = materialize(df)
     mean = _one_row(thresholds(df, [quality, reach], "mean"))
     near = F.col(quality).between(mean[quality] - margin, mean[quality] + margin)
     segment = (
@@ -189,7 +196,7 @@ def histogram(
 ) -> DataFrame:
     """Counts in equal-width bins, empty bins included; the last bin holds its upper edge.
 
-    Without ``lo`` and ``hi`` each group spans its own minimum to maximum. Values outside the bounds
+    Without ``lo`` and ``hi`` each group spans its own minimum to maximum. Values outside given bounds
     do not count. Bounds that are the same for all rows stand in the expression, so raw rows are
     binned where they are read and only bins are shuffled. Bounds per group are joined, and meet
     counted values instead of raw rows.
@@ -211,9 +218,14 @@ def histogram(
         ends = counts.groupBy(*by).agg(least.alias("_low"), most.alias("_high"))
         bounds = ends.select(*by, *_edges(F.col("_low"), F.col("_high"), bins))
         placed = counts.join(bounds, by)
-    inside = F.col("_value").between(F.col("_lo"), F.col("_hi"))
-    place = F.least(F.floor((F.col("_value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1).cast("long"))
-    filled = placed.groupBy(*by, F.when(inside, place).cast("int").alias("bin")).agg(F.sum("_rows").alias("n"))
+    # Bounds that were found hold all values; only given bounds can leave some out.
+    inside = all_of(
+        ([F.col("_value") >= F.col("_lo")] if lo is not None else [])
+        + ([F.col("_value") <= F.col("_hi")] if hi is not None else [])
+    )
+    place = F.floor((F.col("_value") - F.col("_lo")) / F.col("_width")).cast("int")
+    place = F.greatest(F.least(place, F.lit(bins - 1)), F.lit(0))
+    filled = placed.groupBy(*by, F.when(inside, place).alias("bin")).agg(F.sum("_rows").alias("n"))
     if fixed or not by:
         # Groups without a row inside the bounds are known from their rows outside.
         groups = filled.select(*by).distinct() if by else df.sparkSession.range(1).select()

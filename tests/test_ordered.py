@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reelmill.operators.ordered import box_stats, ecdf, order_values
 from reelmill.operators.summaries import describe_column, grouped_summary, histogram, multi_summary, quadrant_label
@@ -138,3 +139,21 @@ def test_quadrants(spark):
 def test_the_plan_has_no_percentile_and_no_single_task_sort(frame):
     plan = grouped_summary(frame, ["k"], "v")._jdf.queryExecution().toString()
     assert "percentile" not in plan
+
+
+def test_the_median_row_meets_its_own_median(spark):
+    """Means whose last digit depends on the order of summation must not move the median row."""
+    df = spark.range(0, 30000, 1, 7).selectExpr("id % 15 as g", "rand(5) * 0.1 + id % 15 * 1e-9 as v")
+    stats = df.groupBy("g").agg(F.avg("v").alias("x"), F.avg(F.col("v") * 3).alias("y"))
+    for _ in range(2):
+        counts = {r.q: r["count"] for r in quadrant_label(stats, "x", "y", "q", ("hh", "hl", "lh", "ll")).groupBy("q").count().collect()}
+        assert counts.get("hh", 0) + counts.get("hl", 0) == 8
+        assert counts.get("hh", 0) + counts.get("lh", 0) == 8
+
+
+def test_histogram_of_given_bounds_leaves_values_out(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 5.0), ("a", 9.0), ("b", 50.0)], "k string, v double")
+    got = {(r.k, r.bin): r.n for r in histogram(df, "v", 2, by=["k"], lo=0, hi=8).collect()}
+    assert got == {("a", 0): 1, ("a", 1): 1, ("b", 0): 0, ("b", 1): 0}
+    got = {(r.k, r.bin): r.n for r in histogram(df, "v", 2, by=["k"], lo=3).collect()}
+    assert got == {("a", 0): 1, ("a", 1): 1, ("b", 0): 0, ("b", 1): 1}
