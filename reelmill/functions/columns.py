@@ -121,5 +121,8 @@ def all_of(conditions: list[Column]) -> Column:
 
 
 def _literal(sep: str) -> str:
-    """A separator as a pattern that matches only itself."""
+    """A separator as a pattern that matches only itself. A single character, escaped where it has a
+    meaning, is split without compiling a pattern for each row."""
+    if len(sep) == 1:
+        return "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep
     return "\\Q" + sep + "\\E"

@@ -25,18 +25,17 @@ def explode_list(
 ) -> DataFrame:
     """One row per list element with the key columns kept.
 
-    The filter comes before the explode, so that it reaches the scan. NULL and the texts in ``skip``
-    give no row. Narrow: no shuffle.
+    NULL and the texts in ``skip`` give no row; that filter comes before the explode, so that it reaches
+    the scan. Narrow: no shuffle.
     """
     present = F.col(col).isNotNull()
     if skip:
         present = present & ~F.col(col).isin(*skip)
-    elements = split_to_array(F.col(col), sep)
+    rows = df.filter(present).select(*keys, F.explode(split_to_array(F.col(col), sep)).alias(out))
+    # After the explode these are plain expressions in generated code; inside it they would be lambdas.
     if trim:
-        elements = F.transform(elements, text_trim)
-    if drop_empty:
-        elements = F.filter(elements, lambda element: element != "")
-    return df.filter(present).select(*keys, F.explode(elements).alias(out))
+        rows = rows.withColumn(out, text_trim(F.col(out)))
+    return rows.filter(F.col(out) != "") if drop_empty else rows
 
 
 def attach_list(

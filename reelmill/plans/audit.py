@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelmill.session import materialize
-from reelmill.sources.fingerprints import detect_changes
+from reelmill.sources.fingerprints import detect_changes, source_fingerprint
 from reelmill.sources.sinks import append_ingestion_log, read_ingestion_log
 
 
@@ -21,3 +21,13 @@ def ingestion_audit(current: DataFrame, log_path: str, expected: DataFrame | Non
     entries = changes.filter("present").withColumn("ingestion_date", F.current_timestamp())
     append_ingestion_log(entries, log_path)
     return changes.select("dataset_name", "file_size_bytes", "md5_hash", "present", "has_changed")
+
+
+def audit_files(
+    spark: SparkSession, path: str, log_path: str, expected: list[str] | None = None
+) -> DataFrame:
+    """The audit of all files below a path or glob. Expected file names that are not there are reported."""
+    names = None
+    if expected is not None:
+        names = spark.createDataFrame([(name,) for name in expected], "dataset_name string")
+    return ingestion_audit(source_fingerprint(spark, path), log_path, names)

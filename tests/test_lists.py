@@ -30,6 +30,9 @@ def test_people_keep_empties(spark):
 def test_separator_is_literal(spark):
     df = spark.createDataFrame([(1, "a|b.c")], "k int, v string")
     assert explode_list(df, ["k"], "v", "e", sep="|").count() == 2
+    assert explode_list(df, ["k"], "v", "e", sep=".").count() == 2
+    assert explode_list(df, ["k"], "v", "e", sep="|b.").count() == 2
+    assert explode_list(df, ["k"], "v", "e", sep="\\").count() == 1
 
 
 def test_two_children_do_not_multiply(spark):

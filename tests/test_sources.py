@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from reelmill.plans.audit import ingestion_audit
+from reelmill.plans.audit import audit_files, ingestion_audit
 from reelmill.session import fresh_path, shared_folder
 from reelmill.sources import sinks
 from reelmill.sources.fingerprints import source_fingerprint, table_fingerprint
@@ -84,6 +84,21 @@ def test_audit_first_same_changed_missing(spark, tmp_path):
     assert logged.count() == 7
 
 
+def test_audit_of_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("1\n")
+    (folder / "b.tsv").write_text("2\n")
+
+    def run():
+        found = audit_files(spark, f"{folder}/*.tsv", f"{tmp_path}/log", ["a.tsv", "b.tsv", "c.tsv"])
+        return {r.dataset_name: (r.present, r.has_changed) for r in found.collect()}
+
+    assert run() == {"a.tsv": (True, True), "b.tsv": (True, True), "c.tsv": (False, False)}
+    (folder / "b.tsv").write_text("3\n")
+    assert run() == {"a.tsv": (True, False), "b.tsv": (True, True), "c.tsv": (False, False)}
+
+
 def test_counted_write(spark, tmp_path):
     seen = sinks.write_counted(spark.range(10), lambda df: df.filter("id > 3"), f"{tmp_path}/out")
     assert seen == {"rows_before": 10, "rows_after": 6}
