@@ -45,15 +45,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("multi_summary", """
 SELECT l_suppkey, count(l_quantity) AS l_quantity_count, round(avg(l_quantity), 4) AS l_quantity_mean,
        median(l_quantity) AS l_quantity_median, round(stddev_samp(l_quantity), 4) AS l_quantity_std,
-       round(avg(l_extendedprice), 3) AS l_extendedprice_mean, round(median(l_extendedprice), 4) AS l_extendedprice_median,
+       round(sum(l_extendedprice), 2) AS l_extendedprice_sum, round(median(l_extendedprice), 4) AS l_extendedprice_median,
        max(l_discount) AS l_discount_max
 FROM lineitem GROUP BY l_suppkey
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     summary = S.multi_summary(table(spark, folder, "lineitem"), ["l_suppkey"], {
-        "l_quantity": ["count", "mean", "median", "std"], "l_extendedprice": ["mean", "median"], "l_discount": ["max"],
+        "l_quantity": ["count", "mean", "median", "std"], "l_extendedprice": ["sum", "median"], "l_discount": ["max"],
     })
-    return settle(summary.withColumn("l_extendedprice_mean", F.round("l_extendedprice_mean", 3)))
+    return settle(summary.withColumn("l_extendedprice_sum", F.round("l_extendedprice_sum", 2)))
 
 
 @query("multi_summary_plain", """
