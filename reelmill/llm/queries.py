@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import lines, mixing, secrets
+from reelmill.llm import lines, mixing, secrets, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,19 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def token_encoding() -> token_store.Encoding:
+    import public_tokenizers
+
+    # White space has no id in this tokenizer, so that words can be encoded one by one; id 2 ends a document.
+    return token_store.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, splits_at_space=True)
+
+
+@_query("op7_token_store")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = token_store.write_tokens(_table(spark, folder, "documents"), token_encoding())
+    return token_store.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @_query("op10_line_dedup", r"""
 with split as (
   select doc_id, text, string_split(text, chr(10)) as lines from documents),
