@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import lines, mixing, secrets, token_store
+from reelmill.llm import jaccard_join, lines, mixing, secrets, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
                         secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+@_query("op4_jaccard_join")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_documents(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @_query("op6_mix_sources", r"""
 with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
