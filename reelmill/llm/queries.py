@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import jaccard_join, lines, mixing, secrets, token_store
+from reelmill.llm import jaccard_join, lines, mixing, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query("op9_substring_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring.drop_repeated_passages(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op10_line_dedup", r"""
 with split as (
   select doc_id, text, string_split(text, chr(10)) as lines from documents),
