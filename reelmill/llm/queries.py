@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import jaccard_join, lines, mixing, secrets, substring, token_store
+from reelmill.llm import jaccard_join, lang_id, lines, mixing, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,6 +89,17 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+FOLDS = 5  # documents with remainder 0 are held out
+
+
+@_query("op8_language_id")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    fold = lang_id.remainder(F.col("doc_id"), FOLDS)
+    found = lang_id.identify(docs, lang_id.fit(docs.where(fold != 0)))
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @_query("op9_substring_dedup")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring.drop_repeated_passages(_table(spark, folder, "documents"))
