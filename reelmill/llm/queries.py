@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import jaccard_join, lang_id, lines, mixing, secrets, substring, token_store
+from reelmill.llm import jaccard_join, lang_id, lines, mixing, pii, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op2_personal_data")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = pii.find_personal_data(docs, pii.fit(docs))
+    return found.select("doc_id", *[pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS],
+                        F.sha2(secrets.spans_text(F.col("base")), 256).alias("base_sha256"),
+                        secrets.spans_text(F.col("spans")).alias("spans"))
+
+
 @_query("op3_secrets")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, folder, "documents"))

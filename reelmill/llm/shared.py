@@ -42,6 +42,16 @@ def key_hash(col: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(col.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
 
 
+def hash_sample(rows: DataFrame, size: int, key: str = "doc_id") -> DataFrame:
+    """About ``size`` rows, never more than twice as many: those whose key hashes below a threshold.
+
+    The threshold comes from the number of rows, so no task sees more than its share of the sample.
+    """
+    share = size / max(rows.count(), 1)
+    chosen = rows.where(key_hash(F.col(key)) < int(min(share, 1.0) * 2 ** 60))
+    return chosen.limit(2 * size)
+
+
 def empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], schema(ddl))
 

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import frozen, key_hash, only
+from reelmill.llm.shared import frozen, hash_sample, only
 from reelmill.llm.words import slices
 from reelmill.session import fresh_path
 
@@ -33,7 +33,7 @@ MAGIC = b"TOKSHRD1"
 HEADER = 64
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "<u8"), ("offset", "<u8"), ("length", "<u8"), ("n_tokens", "<u8")])
 SHARD_BYTES = 8 << 20  # a shard is closed when its frames reach this size
-SAMPLE_DOCS = 2000  # documents that the dictionary is trained on, those with the smallest hashes
+SAMPLE_DOCS = 2000  # about so many documents train the dictionary, those with the smallest hashes
 SAMPLE_BYTES = 16 << 10  # of one document's ids in that sample
 DICTIONARY_BYTES = 64 << 10
 CACHED_WORDS = 400_000
@@ -97,11 +97,11 @@ def _dictionary(data: bytes | None) -> zstandard.ZstdCompressionDict | None:
 
 
 def train_dictionary(docs: DataFrame, how: Encoding, sample: int = SAMPLE_DOCS) -> bytes | None:
-    """A dictionary of the id arrays of the ``sample`` documents with the smallest hashes; nothing for an empty table.
+    """A dictionary of the id arrays of about ``sample`` documents with the smallest hashes; nothing for an empty table.
 
-    At most ``sample`` times 16 KB reach the driver. The sample decides how small the files are, never what they hold.
+    At most ``2 * sample`` times 16 KB reach the driver. The sample decides how small the files are, never what they hold.
     """
-    chosen = only(docs, {"doc_id": "long", "text": "string"}).orderBy(key_hash(F.col("doc_id")), "text").limit(sample)
+    chosen = hash_sample(only(docs, {"doc_id": "long", "text": "string"}), sample)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
