@@ -10,7 +10,7 @@ own component, which keeps large groups of copies linear.
    sets of n and m tokens that reach the threshold share a token among the first n - ceil(t n) + 1 of either, whatever the
    order is; the counters only put tokens of common passages last.
 3. Per prefix token, the smallest set that has it is a centre. Each set is compared with the centre it shares most prefix
-   tokens with; linked sets are the first groups.
+   tokens with, if the tokens behind the last shared one still suffice; linked sets are the first groups.
 4. The matrix of prefix tokens and groups, cut into blocks of members, gives the blocks of *other* groups that a set has
    to be bounded against and, if it qualifies, compared with until one member links.
 """
@@ -140,7 +140,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(tokens)))],
                     names=["node", "tokens"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text", place).mapInArrow(make, "node long, tokens array<long>")
+    rows = docs.where("doc_id is not null").select("doc_id", "text", place)
+    return frozen(rows.mapInArrow(make, "node long, tokens array<long>"), "shingle-sets")
 
 
 def _opened(rows: DataFrame, percent: int) -> DataFrame:
@@ -201,18 +202,22 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
 def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     # Postings of one representative per class.
     chosen = heads.join(classes.select("set_id", F.col("class_id").alias("doc_id")), ["set_id", "doc_id"], "left_semi")
-    postings = chosen.select(F.col("doc_id").alias("node"), "n", F.explode("prefix").alias("token"))
-    centres = postings.groupBy("token").agg(F.min(F.struct("n", "node")).alias("low"), F.max(F.struct("n", "node")).alias("high"))
-    centres = centres.where("low.node <> high.node").select(
-        "token", F.col("low.node").alias("centre"), F.col("low.n").alias("centre_n"))
+    postings = chosen.select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "token"))
+    centres = postings.groupBy("token").agg(F.min(F.struct("n", "node", "pos")).alias("low"), F.count("*").alias("times"))
+    centres = centres.where("times > 1").select(
+        "token", F.col("low.node").alias("centre"), F.col("low.n").alias("centre_n"), F.col("low.pos").alias("centre_pos"))
     shared = frozen(postings.join(centres, "token"), "shingle-shared")
 
     # The best centre of each set: groups that are verified around their centres.
     near = shared.where(F.col("node") != F.col("centre")).where(F.col("centre_n") * 100 >= F.col("n") * percent)
-    star = near.groupBy("node", "centre").count().groupBy("node").agg(
-        F.max(F.struct("count", (-F.col("centre")).alias("minus"))).alias("best"))
+    near = near.groupBy("node", "n", "centre", "centre_n").agg(
+        F.count("*").alias("common"), F.max("pos").alias("last"), F.max("centre_pos").alias("centre_last"))
+    near = near.where(_reachable("n", "last", "centre_n", "centre_last", percent))
+    star = near.groupBy("node").agg(F.max(F.struct("common", (-F.col("centre")).alias("minus"))).alias("best"))
     star = frozen(star.select("node", (-F.col("best.minus")).alias("centre")), "shingle-star")
-    sets = frozen(_sets_of(docs, shared.select("node"), size), "shingle-sets")
+    if star.isEmpty():
+        return star.select("node", F.col("centre").alias("component"))
+    sets = _sets_of(docs, star.select("node").union(star.select("centre")), size)
     salts = star.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
     members = star.join(salts, "centre").withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))
     rows = _with_tokens(members.select(F.col("centre").alias("block"), "salt", F.lit(1).alias("role"), "node"), sets).union(
@@ -222,7 +227,7 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     groups = frozen(connected_components(links), "shingle-groups")
 
     # The matrix: prefix tokens that occur in several groups, and the groups' blocks.
-    labelled = shared.select("token", "node", "n").join(groups, "node", "left").withColumn(
+    labelled = shared.select("token", "node", "n", "pos").join(groups, "node", "left").withColumn(
         "group", F.coalesce("component", "node")).drop("component")
     mixed = labelled.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
     labelled = frozen(labelled.join(mixed.select("token"), "token", "left_semi"), "shingle-mixed")
@@ -230,13 +235,21 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     labelled = labelled.join(sizes, "group").withColumn(
         "salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)))
     matrix = labelled.groupBy("token", F.col("group").alias("block"), "salt", F.col("members").alias("block_members")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"))
-    wanted = labelled.select("token", F.col("node"), "n", "group", "members").join(matrix, "token").where(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("block_pos"))
+    wanted = labelled.select("token", "node", "n", "pos", "group", "members").join(matrix, "token").where(
         (F.struct("members", "group") < F.struct("block_members", "block"))
         & (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent))
-    wanted = frozen(wanted.select("block", "salt", "node").distinct(), "shingle-queries")
+    wanted = wanted.groupBy("block", "salt", "node", "n", "block_members").agg(
+        F.count("*").alias("common"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.min("least").alias("least"),
+        F.max("block_pos").alias("block_last"))
+    alone = F.col("block_members") == 1
+    # In a block of several members, all tokens from the first shared one on may be common.
+    open_end = (F.col("n") - F.col("first")) * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    wanted = wanted.where(F.when(alone, _reachable("n", "last", "least", "block_last", percent)).otherwise(open_end))
+    wanted = frozen(wanted.select("block", "salt", "node"), "shingle-queries")
     holders = labelled.select(F.col("group").alias("block"), "salt", "node").distinct().join(
         wanted.select("block", "salt").distinct(), ["block", "salt"], "left_semi")
+    sets = _sets_of(docs, wanted.select("node").union(holders.select("node")), size)
     rows = _with_tokens(wanted.select("block", "salt", F.lit(1).alias("role"), "node"), sets).union(
         _with_tokens(holders.select("block", "salt", F.lit(0).alias("role"), "node"), sets))
     more = frozen(_opened(rows, percent), "shingle-more")
@@ -245,5 +258,11 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     return frozen(connected_components(links.union(more)), "shingle-components")
 
 
+def _reachable(n: str, last: str, other_n: str, other_last: str, percent: int):
+    """Whether two sets can still link: ``common`` prefix tokens, and behind the last of them at most the rest of either."""
+    rest = F.least(F.col(n) - F.col(last), F.col(other_n) - F.col(other_last)) - 1
+    return (F.col("common") + rest) * (100 + percent) >= (F.col(n) + F.col(other_n)) * percent
+
+
 def _with_tokens(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(sets, "node").select("block", "salt", "role", "node", "tokens")

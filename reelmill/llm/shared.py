@@ -11,11 +11,21 @@ from pyspark.sql import types as T
 from reelmill.session import fresh_path
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def frozen(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: they are computed once and survive lost executors."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows as a table in the shared folder: they are computed once and survive lost executors. The shuffle files
+    that made them are deleted."""
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_frozen(df: DataFrame) -> None:
