@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import jaccard_join, lang_id, lines, mixing, pii, secrets, substring, token_store
+from reelmill.llm import jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similar_documents(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@_query("op5_neighbours")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, folder, "embeddings"), every=20, k=20)
+
+
 @_query("op6_mix_sources", r"""
 with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
