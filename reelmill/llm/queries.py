@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
+from reelmill.llm import decontaminate, jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query("op1_decontaminate")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_benchmark(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_query("op2_personal_data")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
