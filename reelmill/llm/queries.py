@@ -98,8 +98,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def token_encoding() -> token_store.Encoding:
     import public_tokenizers
 
-    # White space has no id in this tokenizer, so that words can be encoded one by one; id 2 ends a document.
-    return token_store.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, splits_at_space=True)
+    # Id 2 ends a document.
+    return token_store.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, by_word=True)
 
 
 @_query("op7_token_store")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.llm.shared import frozen, hash_sample, only
-from reelmill.llm.words import slices
+from reelmill.llm.words import gathered, hash_spans, raw, slices, spans
 from reelmill.session import fresh_path
 
 MAGIC = b"TOKSHRD1"
@@ -36,7 +36,7 @@ SHARD_BYTES = 8 << 20  # a shard is closed when its frames reach this size
 SAMPLE_DOCS = 2000  # about so many documents train the dictionary, those with the smallest hashes
 SAMPLE_BYTES = 16 << 10  # of one document's ids in that sample
 DICTIONARY_BYTES = 64 << 10
-CACHED_WORDS = 400_000
+CACHED_WORDS = 3_000_000  # by hash: about 100 MB
 
 
 @dataclass(frozen=True)
@@ -45,13 +45,43 @@ class Encoding:
 
     tokenizer: str  # path of its file
     end_id: int | None = None
-    splits_at_space: bool = False  # white space separates tokens and has no id, so words can be encoded one by one
+    # White space has no id, A-Z count as a-z, and letters are split from a comma or full stop behind them: words can be
+    # encoded one by one, in lower case, and looked up.
+    by_word: bool = False
     level: int = 3
 
 
 _tokenizers: dict[str, tuple] = {}
 
 
+class WordCache:
+    """Ids of words by the hash of the word: sorted hashes, each with a run of the id pool."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.kind = kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes and which of them are there."""
+        at = np.searchsorted(self.hashes, wanted)
+        there = at < len(self.hashes)
+        there[there] = self.hashes[at[there]] == wanted[there]
+        return at, there
+
+    def add(self, new: np.ndarray, ids: list[list[int]]) -> None:
+        """Take in sorted hashes that are not there yet."""
+        sizes = np.array([len(x) for x in ids], np.int64)
+        starts = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], self.kind)])
+        at = np.searchsorted(self.hashes, new)
+        self.hashes = np.insert(self.hashes, at, new)
+        self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
+
+
 def _loaded(path: str):
     """The tokenizer, its id type and the word cache of this Python process."""
     if path not in _tokenizers:
@@ -59,7 +89,8 @@ def _loaded(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         top = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
-        _tokenizers[path] = (tokenizer, np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4"), {})
+        kind = np.dtype("<u2") if top < 1 << 16 else np.dtype("<u4")
+        _tokenizers[path] = (tokenizer, kind, WordCache(kind))
     return _tokenizers[path]
 
 
@@ -68,24 +99,61 @@ def encode(texts: pa.Array, how: Encoding) -> Iterator[bytes]:
     tokenizer, kind, cache = _loaded(how.tokenizer)
     if how.end_id is not None and how.end_id > np.iinfo(kind).max:
         kind = np.dtype("<u4")
-    end = b"" if how.end_id is None else np.array([how.end_id], kind).tobytes()
+    end = [] if how.end_id is None else [how.end_id]
 
-    def ids(batch: list[str]) -> list[bytes]:
-        return [np.array(x.ids, kind).tobytes() for x in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+    def ids(batch: list[str]) -> list[list[int]]:
+        return [x.ids for x in tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
 
+    specials = [x.content.lower().encode() for x in tokenizer.get_added_tokens_decoder().values()]
+    data, offsets = raw(texts)
     for start, stop in slices(texts):
-        part = texts.slice(start, stop - start).fill_null("")
-        if not how.splits_at_space:
-            for x in ids(part.to_pylist()):
-                yield x + end
+        if not how.by_word:
+            for x in ids(texts.slice(start, stop - start).fill_null("").to_pylist()):
+                yield np.array(x + end, kind).tobytes()
             continue
-        docs = [x.as_py().split() for x in part.cast(pa.binary() if not pa.types.is_large_string(part.type) else pa.large_binary())]
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-        new = list({w for doc in docs for w in doc if w not in cache})
-        cache.update(zip(new, ids([w.decode() for w in new]), strict=True))
-        for doc in docs:
-            yield b"".join([cache[w] for w in doc]) + end
+        own = offsets[start:stop + 1]
+        text = data[own[0]:own[-1]]
+        starts, ends, bounds = spans(data, own)
+        found, sizes = _by_word(cache, text, starts, ends, ids)
+        edges = np.concatenate([[0], np.cumsum(sizes)])[bounds].tolist()
+        lower = text.tobytes().lower()
+        spelled = any(x in lower for x in specials)
+        closing = np.array(end, kind).tobytes()
+        for k in range(stop - start):
+            # A text that spells a special token is left to the tokenizer.
+            if spelled and any(x in lower[own[k] - own[0]:own[k + 1] - own[0]] for x in specials):
+                yield np.array(ids([texts[start + k].as_py()])[0] + end, kind).tobytes()
+            else:
+                yield found[edges[k]:edges[k + 1]].astype(kind, copy=False).tobytes() + closing
+
+
+def _by_word(cache: WordCache, text: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+             ids: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words, one after the other, and how many each word has."""
+    if len(cache.hashes) > CACHED_WORDS:
+        cache.clear()
+    words, first, each = np.unique(hash_spans(text, starts, ends, fold=True), return_index=True, return_inverse=True)
+    at, there = cache.find(words)
+    new = np.flatnonzero(~there)
+    if len(new):
+        spelled = [text[starts[i]:ends[i]].tobytes().lower() for i in first[new].tolist()]
+        cache.add(words[new], _split_ids(spelled, ids))
+        at = cache.find(words)[0]
+    sizes = cache.sizes[at][each]
+    return gathered(cache.pool, cache.starts[at][each], sizes), sizes
+
+
+def _split_ids(words: list[bytes], ids: Callable[[list[str]], list[list[int]]]) -> list[list[int]]:
+    """The ids of each word; what a comma or full stop behind a letter adds is looked up once."""
+    cores, tails = [], []
+    for word in words:
+        core = word.rstrip(b".,")
+        whole = not core[-1:].isalpha()
+        cores.append(word if whole else core)
+        tails.append(b"" if whole else word[len(core):])
+    parts = list({*cores, *tails} - {b""})
+    known = dict(zip(parts, ids([x.decode() for x in parts]), strict=True))
+    return [known[core] + known[tail] if tail else known[core] for core, tail in zip(cores, tails, strict=True)]
 
 
 def _compressor(dictionary: bytes | None, level: int) -> zstandard.ZstdCompressor:

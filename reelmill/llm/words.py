@@ -84,10 +84,8 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets - base, "left")
 
 
-def hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the rows and the rows' offsets into them; ``fold`` reads A-Z as a-z."""
-    starts, ends, bounds = spans(data, offsets)
-    text = data[offsets[0]:offsets[-1]]
+def hash_spans(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Hashes of the words between starts and ends; ``fold`` reads A-Z as a-z."""
     table = _FOLDED if fold else _VALUE
     out = np.empty(len(starts), np.uint64)
     at = 0
@@ -99,7 +97,19 @@ def hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[n
         s, e = starts[at:stop] - low, ends[at:stop] - low
         out[at:stop] = (sums[e] - sums[s]) * _power(_INVERSE, high - low)[s]
         at = stop
-    return mix(out), bounds
+    return mix(out)
+
+
+def hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the rows and the rows' offsets into them."""
+    starts, ends, bounds = spans(data, offsets)
+    return hash_spans(data[offsets[0]:offsets[-1]], starts, ends, fold), bounds
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of values that begin at starts, one after the other."""
+    stops = np.cumsum(sizes)
+    return values[np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts - (stops - sizes), sizes)]
 
 
 def windows(words: np.ndarray, size: int) -> np.ndarray:
