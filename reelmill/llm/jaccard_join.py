@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.llm.components import connected_components
@@ -266,3 +266,16 @@ def _reachable(n: str, last: str, other_n: str, other_last: str, percent: int):
 
 def _with_tokens(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(sets, "node").select("block", "salt", "role", "node", "tokens")
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One document of each group of similar ones, the one with the smallest doc_id, with all its columns.
+
+    Rows that share a doc_id are one document, of which the row with the first text stays; rows without a doc_id have no
+    partner and stay.
+    """
+    found = similar_documents(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("chosen")).distinct()
+    kept = docs.join(found, docs["doc_id"] == found["chosen"], "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[F.col(f"`{name}`") for name, kind in docs.dtypes if kind != "void"])
+    kept = kept.withColumn("row of id", F.row_number().over(first)).where(F.col("`row of id`") == 1).drop("row of id")
+    return kept.union(docs.where("doc_id is null"))

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reelmill.llm.shared import key_hash, only
+from reelmill.llm.shared import key_hash, only, schema
 from reelmill.llm.words import raw, slices
 
 RUN = 64  # bytes that are read in one go
@@ -25,6 +26,7 @@ STEPS = 400
 BATCH = 256
 RATE = 0.02
 UNDECIDED = "und"
+FOLDS = 5  # documents whose id has remainder 0 are held out of the fit
 
 
 @dataclass
@@ -235,14 +237,17 @@ def predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums / np.maximum(sizes, 1)[:, None]
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """Documents (``doc_id``, ``text``) with ``lang_pred`` and ``score``, the mean probability of that language.
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Documents (``doc_id``, ``text``) with ``lang_pred`` and ``score``, the mean probability of that language; columns named
+    in ``keep`` are handed on behind them.
 
     A missing text, or one without a letter, is ``und`` with score 0, and so is every text if the model knows no language.
     Of equal probabilities the first language by name wins. Every row is answered by its text alone, repeated and missing
     ids too; an empty table gives no rows; other columns are ignored.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string"}).withColumn("letters", _has_letter(F.col("text")))
+    others = docs.select(*[F.col(f"`{name}`") for name in keep]).schema
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       *[F.col(f"`{name}`").alias(f"kept {name}") for name in keep]).withColumn("letters", _has_letter(F.col("text")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +264,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     best = found.argmax(axis=1)
                     names[known] = np.array(model.languages, object)[best[known]]
                     scores[known] = np.clip(found[np.arange(n), best][known], 0, 1)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, n), pa.array(names, pa.string()),
-                                                  pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(start, n), pa.array(names, pa.string()), pa.array(scores),
+                     *(batch.column(f"kept {name}").slice(start, n) for name in keep)],
+                    names=["doc_id", "lang_pred", "score", *keep])
 
-    return rows.mapInArrow(label, "doc_id long, lang_pred string, score double")
+    fields = schema("doc_id long, lang_pred string, score double").fields
+    return rows.mapInArrow(label, T.StructType([*fields, *others.fields]))

@@ -11,6 +11,7 @@ HASH_BITS = 60
 LEVEL_BITS = 10  # a histogram has 1,024 buckets a source
 WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in code-point order, repeating
 MOST_REPEATS = 3
+SPREAD = 64  # tasks that share one source's documents
 
 
 def word_count(text: Column) -> Column:
@@ -50,9 +51,40 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     Missing texts have size 0, missing sources are a source of their own and come last, a missing id hashes like the empty
     text; an empty table gives no rows. Other columns are ignored.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string", "source": "string"})
-    rows = frozen(rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              key_hash(F.col("doc_id")).alias("hash")), "mix-sizes")
+    rows = frozen(_sized(only(docs, {"doc_id": "long", "text": "string", "source": "string"})).drop("text"), "mix-sizes")
+    return _with_cuts(rows, thresholds(rows, weights, most)).select(
+        "doc_id", F.col(SIZE).alias("size"), "source_size", "target", (F.col(SIZE) * F.col("times")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """The mix itself: each document (``doc_id``, ``text``, ``source`` and other columns) as often as it is taken."""
+    names = docs.columns
+    docs = _sized(docs)
+    rows = frozen(docs.select("doc_id", "source", SIZE, HASH), "mix-sizes")
+    times = F.when(F.col(SIZE) > 0, F.col("times")).otherwise(0)
+    cuts = thresholds(rows, weights, most)
+    return _with_cuts(docs, cuts).withColumn("times", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*names)
+
+
+SIZE, HASH = "mix size", "mix hash"  # names that no table's own columns are likely to have
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({SIZE: word_count(F.col("text")), HASH: key_hash(F.col("doc_id"))})
+
+
+def _with_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows with their source's cut and ``times``, how often each is taken. A large source is spread over several tasks."""
+    spread = cuts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.pmod(F.col(HASH), F.lit(SPREAD)) == F.col("part"))
+    times = F.col("repeats") + (F.col(HASH) < F.col("threshold")).cast("long")
+    return rows.join(spread, same).withColumn("times", times)
+
+
+def thresholds(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame:
+    """For each source (``of``): ``source_size``, ``target``, ``repeats`` of every document, and the ``threshold`` below which
+    a document's hash takes it once more. ``rows``: source, size and hash of each document."""
+    rows = rows.select("source", F.col(SIZE).alias("size"), F.col(HASH).alias("hash"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(totals, weights, most).withColumn(
         "repeats", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -65,22 +97,23 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
         cuts = frozen(_refine(rows, cuts, bits), "mix-level")
     at_edge = F.col("source").eqNullSafe(F.col("at")) & (F.col("hash") == F.col("low"))
     edge = rows.join(cuts.select(F.col("source").alias("at"), "low"), at_edge).groupBy("at").agg(F.sum("size").alias("edge_size"))
-    cuts = cuts.join(edge, F.col("source").eqNullSafe(F.col("at")), "left").select(
+    return frozen(cuts.join(edge, F.col("source").eqNullSafe(F.col("at")), "left").select(
         F.col("source").alias("of"), "source_size", "target", "repeats",
         # the threshold passes the edge document if at least half of it fits into what is left
         F.when((F.col("edge_size") > 0) & (F.col("left") * 2 >= F.col("edge_size")), F.col("low") + 1)
-        .otherwise(F.col("low")).alias("threshold"))
-    extra = (F.col("hash") < F.col("threshold")).cast("long")
-    return rows.join(cuts, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("repeats") + extra)).cast("long").alias("taken"))
+        .otherwise(F.col("low")).alias("threshold")), "mix-cuts")
 
 
 def _refine(rows: DataFrame, cuts: DataFrame, bits: int) -> DataFrame:
     """Split each source's open bucket by the next ``LEVEL_BITS`` bits and move to the part in which its budget ends."""
     open_bucket = cuts.select(F.col("source").alias("of"), "low")
     inside = F.shiftright("hash", bits + LEVEL_BITS) == F.shiftright("low", bits + LEVEL_BITS)
-    sums = rows.join(open_bucket, F.col("source").eqNullSafe(F.col("of")) & inside).groupBy(
-        "of", F.shiftright("hash", bits).alias("bucket")).agg(F.sum("size").alias("words"))
+    if bits + LEVEL_BITS == HASH_BITS:  # everything lies in the first bucket
+        sums = rows.groupBy(F.col("source").alias("of"), F.shiftright("hash", bits).alias("bucket"))
+    else:
+        sums = rows.join(open_bucket, F.col("source").eqNullSafe(F.col("of")) & inside).groupBy(
+            "of", F.shiftright("hash", bits).alias("bucket"))
+    sums = sums.agg(F.sum("size").alias("words"))
     order = Window.partitionBy("of").orderBy("bucket")  # a source has at most 2 ** LEVEL_BITS rows here
     sums = sums.withColumn("start", F.sum("words").over(order) - F.col("words")).withColumnRenamed("of", "part")
     found = cuts.join(sums, F.col("source").eqNullSafe(F.col("part")), "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,26 +96,16 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
-def token_encoding() -> token_store.Encoding:
-    import public_tokenizers
-
-    # Id 2 ends a document.
-    return token_store.Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, by_word=True)
-
-
 @_query("op7_token_store")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    manifest = token_store.write_tokens(_table(spark, folder, "documents"), token_encoding())
+    manifest = token_store.write_tokens(_table(spark, folder, "documents"), token_store.word_encoding())
     return token_store.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-FOLDS = 5  # documents with remainder 0 are held out
-
-
 @_query("op8_language_id")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    fold = lang_id.remainder(F.col("doc_id"), FOLDS)
+    fold = lang_id.remainder(F.col("doc_id"), lang_id.FOLDS)
     found = lang_id.identify(docs, lang_id.fit(docs.where(fold != 0)))
     return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
@@ -147,3 +138,8 @@ from marked group by doc_id""")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.drop_repeated_lines(_table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

@@ -51,6 +51,13 @@ class Encoding:
     level: int = 3
 
 
+def word_encoding() -> Encoding:
+    """The installed lower-case word tokenizer, with id 2 behind each document."""
+    import public_tokenizers
+
+    return Encoding(public_tokenizers.path("word_bpe_49k.json"), end_id=2, by_word=True)
+
+
 _tokenizers: dict[str, tuple] = {}
 
 
