@@ -6,10 +6,10 @@ overlap are opened. What is asked for are links up to connectivity, so a documen
 own component, which keeps large groups of copies linear.
 
 1. Every document becomes its set of shingle hashes; equal sets are one class with one representative.
-2. Tokens are ordered by how full their bucket in a table of 2**18 counters over the whole corpus is, then by hash. Two
+2. Tokens are ordered by how full their bucket in a table of 2**22 counters over the whole corpus is, then by hash. Two
    sets of n and m tokens that reach the threshold share a token among the first n - ceil(t n) + 1 of either, whatever the
    order is; the counters only put tokens of common passages last.
-3. Per prefix token, the smallest set that has it is a centre. Each set is compared with the centre it shares most prefix
+3. Each prefix token has a centre, the set whose tokens are shared most. Each set is compared with the centre it shares most prefix
    tokens with, if the tokens behind the last shared one still suffice; linked sets are the first groups.
 4. The matrix of prefix tokens and groups, cut into blocks of members, gives the blocks of *other* groups that a set has
    to be bounded against and, if it qualifies, compared with until one member links.
@@ -30,7 +30,8 @@ from reelmill.llm.words import hashes, mix, raw, shingles, slices
 
 SHINGLE = 5
 PERCENT = 80
-COUNTER_BITS = 18  # 2 MB of counters are broadcast, whatever the size of the corpus
+COUNTER_BITS = 22  # 4 MB of counters are broadcast, whatever the size of the corpus
+COUNTER_BLOCK = 1 << 16  # counters in a row on their way there
 BLOCK = 64  # members that a task holds while queries pass
 FILTER_BITS = 26  # an 8 MB bit map of the documents whose sets are read again
 
@@ -67,21 +68,33 @@ def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def token_counters(texts: DataFrame, size: int) -> np.ndarray:
-    """How many distinct shingles of all documents fall into each of ``2**COUNTER_BITS`` buckets."""
+    """About how many distinct shingles of all documents fall into each of ``2**COUNTER_BITS`` buckets, on a scale of
+    logarithms. A task's own count stops at 255, which only very common tokens reach."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        total = np.zeros(1 << COUNTER_BITS, np.int32)
         for batch in batches:
             for one in _sets(batch.column("text"), size):
                 np.add.at(total, one >> np.uint64(64 - COUNTER_BITS), 1)
-        full = np.flatnonzero(total)
-        for at in range(0, len(full), 1 << 15):
-            part = full[at:at + (1 << 15)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["bucket", "count"])
+        if total.any():
+            blocks = np.minimum(total, 255).astype(np.uint8).reshape(-1, COUNTER_BLOCK)
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(
+                [x.tobytes() for x in blocks], pa.binary())], names=["block", "counts"])
 
-    rows = texts.mapInArrow(count, "bucket long, count long").groupBy("bucket").agg(F.sum("count").alias("count")).toArrow()
-    out = np.zeros(1 << COUNTER_BITS, np.int64)
-    out[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
-    return out
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+                have = sums.setdefault(block, np.zeros(COUNTER_BLOCK, np.int64))
+                have += np.frombuffer(counts.as_buffer(), np.uint8)
+        scaled = [np.minimum(8 * np.log2(1 + x), 255).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(scaled, pa.binary())], names=["block", "counts"])
+
+    ddl = "block int, counts binary"
+    rows = frozen(texts.mapInArrow(count, ddl).repartition("block").mapInArrow(add, ddl), "token-counters")
+    out = np.zeros((1 << COUNTER_BITS) // COUNTER_BLOCK * COUNTER_BLOCK, np.uint8).reshape(-1, COUNTER_BLOCK)
+    for row in rows.collect():
+        out[row.block] = np.frombuffer(row.counts, np.uint8)
+    return out.ravel()
 
 
 def _heads(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -203,13 +216,16 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     # Postings of one representative per class.
     chosen = heads.join(classes.select("set_id", F.col("class_id").alias("doc_id")), ["set_id", "doc_id"], "left_semi")
     postings = chosen.select(F.col("doc_id").alias("node"), "n", F.posexplode("prefix").alias("pos", "token"))
-    centres = postings.groupBy("token").agg(F.min(F.struct("n", "node", "pos")).alias("low"), F.count("*").alias("times"))
-    centres = centres.where("times > 1").select(
-        "token", F.col("low.node").alias("centre"), F.col("low.n").alias("centre_n"), F.col("low.pos").alias("centre_pos"))
-    shared = frozen(postings.join(centres, "token"), "shingle-shared")
-
-    # The best centre of each set: groups that are verified around their centres.
-    near = shared.where(F.col("node") != F.col("centre")).where(F.col("centre_n") * 100 >= F.col("n") * percent)
+    times = frozen(postings.groupBy("token").agg(F.count("*").alias("times")).where("times > 1"), "shingle-tokens")
+    shared = frozen(postings.join(times, "token"), "shingle-shared")
+
+    # A token's centre is the set whose prefix tokens occur most often elsewhere: the original among edited copies.
+    degrees = shared.groupBy("node").agg(F.sum("times").alias("degree"))
+    centres = shared.join(degrees, "node").groupBy("token").agg(
+        F.max(F.struct("degree", "node", "n", "pos")).alias("top")).select(
+        "token", F.col("top.node").alias("centre"), F.col("top.n").alias("centre_n"), F.col("top.pos").alias("centre_pos"))
+    near = shared.join(frozen(centres, "shingle-centres"), "token").where(
+        (F.col("node") != F.col("centre")) & (F.least("n", "centre_n") * 100 >= F.greatest("n", "centre_n") * percent))
     near = near.groupBy("node", "n", "centre", "centre_n").agg(
         F.count("*").alias("common"), F.max("pos").alias("last"), F.max("centre_pos").alias("centre_last"))
     near = near.where(_reachable("n", "last", "centre_n", "centre_last", percent))
