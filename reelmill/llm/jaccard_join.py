@@ -291,7 +291,8 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     partner and stay.
     """
     found = similar_documents(docs, size, percent).where("doc_id = component_id").select(F.col("doc_id").alias("chosen")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["chosen"], "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[F.col(f"`{name}`") for name, kind in docs.dtypes if kind != "void"])
-    kept = kept.withColumn("row of id", F.row_number().over(first)).where(F.col("`row of id`") == 1).drop("row of id")
-    return kept.union(docs.where("doc_id is null"))
+    # Whole rows travel as one value, so that no column can clash with the operator's own.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("order"), F.struct("*").alias("row"))
+    kept = rows.join(found, F.col("doc_id") == F.col("chosen"), "left_semi")
+    first = kept.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("order", "row")))
+    return first.where("place = 1").select("row.*").union(docs.where("doc_id is null"))

@@ -51,40 +51,34 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     Missing texts have size 0, missing sources are a source of their own and come last, a missing id hashes like the empty
     text; an empty table gives no rows. Other columns are ignored.
     """
-    rows = frozen(_sized(only(docs, {"doc_id": "long", "text": "string", "source": "string"})).drop("text"), "mix-sizes")
+    rows = only(docs, {"doc_id": "long", "text": "string", "source": "string"})
+    rows = frozen(rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+                              key_hash(F.col("doc_id")).alias("hash")), "mix-sizes")
     return _with_cuts(rows, thresholds(rows, weights, most)).select(
-        "doc_id", F.col(SIZE).alias("size"), "source_size", "target", (F.col(SIZE) * F.col("times")).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """The mix itself: each document (``doc_id``, ``text``, ``source`` and other columns) as often as it is taken."""
-    names = docs.columns
-    docs = _sized(docs)
-    rows = frozen(docs.select("doc_id", "source", SIZE, HASH), "mix-sizes")
-    times = F.when(F.col(SIZE) > 0, F.col("times")).otherwise(0)
-    cuts = thresholds(rows, weights, most)
-    return _with_cuts(docs, cuts).withColumn("times", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*names)
-
-
-SIZE, HASH = "mix size", "mix hash"  # names that no table's own columns are likely to have
-
-
-def _sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({SIZE: word_count(F.col("text")), HASH: key_hash(F.col("doc_id"))})
+    # Whole rows travel as one value, so that no column can clash with the operator's own.
+    docs = docs.select("source", word_count(F.col("text")).alias("size"), key_hash(F.col("doc_id")).alias("hash"),
+                       F.struct("*").alias("row"))
+    cuts = thresholds(frozen(docs.drop("row"), "mix-sizes"), weights, most)
+    times = F.when(F.col("size") > 0, F.col("times")).otherwise(0).cast("int")
+    return _with_cuts(docs, cuts).select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
 
 
 def _with_cuts(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """Rows with their source's cut and ``times``, how often each is taken. A large source is spread over several tasks."""
     spread = cuts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    same = F.col("source").eqNullSafe(F.col("of")) & (F.pmod(F.col(HASH), F.lit(SPREAD)) == F.col("part"))
-    times = F.col("repeats") + (F.col(HASH) < F.col("threshold")).cast("long")
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.pmod(F.col("hash"), F.lit(SPREAD)) == F.col("part"))
+    times = F.col("repeats") + (F.col("hash") < F.col("threshold")).cast("long")
     return rows.join(spread, same).withColumn("times", times)
 
 
 def thresholds(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame:
     """For each source (``of``): ``source_size``, ``target``, ``repeats`` of every document, and the ``threshold`` below which
     a document's hash takes it once more. ``rows``: source, size and hash of each document."""
-    rows = rows.select("source", F.col(SIZE).alias("size"), F.col(HASH).alias("hash"))
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(totals, weights, most).withColumn(
         "repeats", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)

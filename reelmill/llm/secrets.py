@@ -32,7 +32,7 @@ class CharClass:
 CLASSES = (
     CharClass("lower36", r"[0-9a-z]{20,}", 20, 3.4, (r"[a-z].*[a-z].*[a-z]", r"[0-9].*[0-9].*[0-9]")),
     CharClass("upper36", r"[0-9A-Z]{20,}", 20, 3.4, (r"[A-Z].*[A-Z].*[A-Z]", r"[0-9].*[0-9].*[0-9]")),
-    CharClass("base64", r"[A-Za-z0-9+/_-]{24,}", 24, 3.9, (r"[a-z]", r"[A-Z]", r"[0-9]")),
+    CharClass("base64", r"[A-Za-z0-9+/_-]{24,}", 24, 4.05, (r"[a-z]", r"[A-Z]", r"[0-9]")),
 )
 # Candidates that match one of these are not reported: examples, placeholders, counting sequences, UUIDs.
 ALLOWED = (r"(?i)example|sample|placeholder|changeme|dummy|lorem|0123456789|123456789a|abcdefghij",
@@ -81,12 +81,11 @@ def window_entropy(text: Column, size: int) -> Column:
     def step(state: Column, i: Column) -> Column:
         first = F.greatest(i - size, F.lit(1))  # of the characters before i that are still in the window
         before = F.substring(text, first, i - first)
-        leaves = F.substring(text, F.lit(1), F.lit(0))
-        leaves = F.when(i > size, F.substring(text, first, F.lit(1))).otherwise(leaves)
-        out = F.when(i > size, count(before, leaves))
+        out = count(before, F.substring(text, first, F.lit(1)))  # of the character that leaves, if the window is full
         kept = F.when(i > size, F.substring(text, first + 1, i - first - 1)).otherwise(before)
         into = count(kept, F.substring(text, i, F.lit(1)))
-        total = (state["total"] - F.coalesce(term(out) - term(out - 1), F.lit(0.0)) + term(into + 1) - term(into))
+        removed = F.when(i > size, term(out) - term(out - 1)).otherwise(0.0)
+        total = state["total"] - removed + term(into + 1) - term(into)
         bits = F.when(i >= size, F.lit(math.log2(size)) - total / size).otherwise(0.0)
         return F.struct(total.alias("total"), F.greatest(state["best"], bits).alias("best"))
 
