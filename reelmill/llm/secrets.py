@@ -32,11 +32,11 @@ class CharClass:
 CLASSES = (
     CharClass("lower36", r"[0-9a-z]{20,}", 20, 3.4, (r"[a-z].*[a-z].*[a-z]", r"[0-9].*[0-9].*[0-9]")),
     CharClass("upper36", r"[0-9A-Z]{20,}", 20, 3.4, (r"[A-Z].*[A-Z].*[A-Z]", r"[0-9].*[0-9].*[0-9]")),
-    CharClass("base64", r"[A-Za-z0-9+/_-]{24,}", 24, 4.05, (r"[a-z]", r"[A-Z]", r"[0-9]")),
+    CharClass("base64", r"[A-Za-z0-9+/_-]{24,}", 24, 3.9, (r"[a-z]", r"[A-Z]", r"[0-9]")),
 )
-# Candidates that match one of these are not reported: examples, placeholders, counting sequences, UUIDs.
+# Candidates that match one of these are not reported: examples, placeholders, counting sequences, named checksums, UUIDs.
 ALLOWED = (r"(?i)example|sample|placeholder|changeme|dummy|lorem|0123456789|123456789a|abcdefghij",
-           r"(.)\1{7}", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
+           r"(.)\1{7}", r"(?i)^(sha-?\d+|md5|crc\d*)[-_=]", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
 # Nor candidates right after the name of a checksum.
 ALLOWED_BEFORE = r"(?i)(sha-?\d+|md5|crc\d*|integrity|checksum|etag|uuid|commit)[\"']?[-:= ]*[\"']?$"
 
