@@ -11,15 +11,14 @@ from reelmill.llm import decontaminate, jaccard_join, lang_id, mixing, token_sto
 from reelmill.llm.shared import frozen
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.3  # of the predicted language; with four languages 0.25 is no information at all
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: with letters, and a language of some probability."""
+    """Documents whose language can be told. A text without a letter has none; an uncertain one stays."""
     docs = docs.select(*COLUMNS)
     model = lang_id.fit(docs.where(lang_id.remainder(F.col("doc_id"), lang_id.FOLDS) != 0))
     found = lang_id.identify(docs, model, keep=("text", "lang", "source", "n_chars"))
-    return found.where((F.col("lang_pred") != lang_id.UNDECIDED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+    return found.where(F.col("lang_pred") != lang_id.UNDECIDED).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
