@@ -275,10 +275,11 @@ CASE WHEN "runtimeMinutes" < 30 THEN 'Short (<30m)' WHEN "runtimeMinutes" < 60 T
 SELECT w.c AS runtime_category, CAST(w.p AS INTEGER) AS position, coalesce(n, 0) AS n
 FROM (VALUES ('Short (<30m)', 1), ('Medium (30-60m)', 2), ('Standard (60-90m)', 3), ('Long (90-120m)', 4),
              ('Very Long (>120m)', 5)) w(c, p)
-LEFT JOIN (SELECT {CATEGORY} AS c, count(*) AS n FROM ({GENRE_ROWS}) GROUP BY 1) x ON w.c = x.c
+LEFT JOIN (SELECT {CATEGORY} AS c, count(*) AS n FROM ({GENRE_ROWS})
+           WHERE genre IN (SELECT genre FROM ({RUNTIME_STATS})) GROUP BY 1) x ON w.c = x.c
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return R.category_counts(R.runtime_genre_rows(K.titles(spark, folder)))
+    return R.runtime_categories(R.runtime_genre_rows(K.titles(spark, folder)))["counts"]
 
 
 @query("runtime_categories_by_genre", f"""
@@ -291,7 +292,7 @@ FROM (SELECT genre, {CATEGORY} AS c FROM ({GENRE_ROWS}))
 WHERE genre IN (SELECT genre FROM ({RUNTIME_STATS}) ORDER BY count DESC, genre LIMIT 10) GROUP BY genre
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(R.category_percentages(R.runtime_genre_rows(K.titles(spark, folder))))
+    return settle(R.runtime_categories(R.runtime_genre_rows(K.titles(spark, folder)))["percentages"])
 
 
 # ---- genres against ratings and votes
@@ -374,10 +375,14 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return settle(G.genre_distributions(rows, G.genre_rating_stats(rows))["ratings"])
 
 
-@query("genre_rating_votes_sample")
+@query("genre_rating_votes_sample", f"""
+SELECT genre, tconst, round(rating, 4) AS "averageRating" FROM ({RATED_GENRES}) WHERE genre IN (SELECT genre FROM ({GENRE_STATS}))
+ORDER BY md5(tconst || ':' || genre || ':{G.SCATTER_SEED}'), tconst, genre LIMIT {G.SCATTER_SIZE}
+""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     rows = G.rated_genre_rows(K.titles(spark, folder), K.ratings(spark, folder))
-    return G.genre_distributions(rows, G.genre_rating_stats(rows))["sample"]
+    sample = G.genre_distributions(rows, G.genre_rating_stats(rows))["sample"]
+    return settle(sample.select("genre", "tconst", "averageRating"))
 
 
 # ---- extreme runtimes, runtimes by group
@@ -506,14 +511,14 @@ SELECT * FROM ({SCORED.format(works=DIRECTOR_WORKS)}) WHERE person_id IN (
 
 @query("talent_weighted_leader", f"""
 WITH own AS ({LEADER})
-SELECT 'genre' AS kind, genre AS item, n FROM (SELECT trim(unnest(string_split(genres, ','))) AS genre, count(*) AS n FROM own
+SELECT 'genre' AS kind, genre AS item, n
+FROM (SELECT genre, count(*) AS n FROM (SELECT trim(unnest(string_split(genres, ','))) AS genre FROM own)
   GROUP BY 1 ORDER BY n DESC, genre LIMIT 5)
 UNION ALL SELECT 'category', category, n FROM (SELECT category, count(*) AS n FROM own WHERE category IS NOT NULL
   GROUP BY 1 ORDER BY n DESC, category LIMIT 5)
 UNION ALL SELECT 'characters', characters, 1 FROM (SELECT DISTINCT characters FROM own WHERE characters IS NOT NULL
   AND characters <> '\\N' ORDER BY characters LIMIT 5)
-""".replace("SELECT trim(unnest(string_split(genres, ','))) AS genre, count(*) AS n FROM own\n  GROUP BY 1",
-            "SELECT genre, count(*) AS n FROM (SELECT trim(unnest(string_split(genres, ','))) AS genre FROM own)\n  GROUP BY 1"))
+""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     own = works(spark, folder, "directors")
     details = P.leader_details(own, P.talent_weighted(own))
@@ -533,9 +538,8 @@ ORDER BY rating DESC, tconst LIMIT 5
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     own = works(spark, folder, "directors")
-    leader = P.talent_weighted(own).filter(F.col("rank") == 1).select("person_id")
-    titles = own.join(leader, "person_id", "left_semi").select("tconst", "genres", "averageRating", "numVotes", "isOriginal")
-    best = P.top_n(titles.distinct(), "averageRating", 5, tie=["tconst"])
+    best = P.leader_details(own, P.talent_weighted(own))["best_works"].select(
+        "tconst", "genres", "averageRating", "numVotes", "isOriginal")
     names = {"averageRating": "rating", "numVotes": "votes", "isOriginal": "original"}
     return settle(best.withColumnsRenamed(names).withColumn("votes", F.col("votes").cast("long")))
 

@@ -30,7 +30,7 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").cast("string").alias("tconst"),
         kind.alias("titleType"),
         F.col("p_name").alias("primaryTitle"),
-        (F.substring("p_brand", 7, 9).cast("int") <= 5).alias("isAdult"),
+        (F.expr("substring(p_brand, 7)").cast("int") <= 5).alias("isAdult"),
         (F.col("p_size") * 2 + 1900).alias("startYear"),
         F.lit(None).cast("int").alias("endYear"),
         (F.col("p_size") * 4).alias("runtimeMinutes"),
@@ -109,7 +109,7 @@ LEFT JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS tconst, 1 AS original FROM orde
 
 def order_titles(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    words = F.regexp_replace(F.lower(F.substring("o_orderpriority", 3, 99)), " ", ", ")
+    words = F.regexp_replace(F.lower(F.expr("substring(o_orderpriority, 3)")), " ", ", ")
     return orders.select(
         F.col("o_orderkey").cast("string").alias("tconst"),
         F.concat(words, F.lit(","), F.col("o_orderstatus")).alias("genres"),

@@ -30,14 +30,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 @query("left_on_composite", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(a.n AS VARCHAR) AS n, round(a.quantity, 4) AS quantity
 FROM lineitem l LEFT JOIN (
-  SELECT l_orderkey, l_linenumber, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem
-  WHERE l_returnflag <> 'R' GROUP BY 1, 2) a ON l.l_orderkey = a.l_orderkey AND l.l_linenumber = a.l_linenumber
+  SELECT l_orderkey, CASE WHEN l_returnflag = 'R' THEN l_linenumber + 100 ELSE l_linenumber END AS l_linenumber,
+         count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1, 2) a ON l.l_orderkey = a.l_orderkey AND l.l_linenumber = a.l_linenumber
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["l_orderkey", "l_linenumber"]
     lines = table(spark, folder, "lineitem")
-    kept = lines.filter(F.col("l_returnflag") != "R").groupBy(*keys)
-    sums = kept.agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
+    # Returned lines get numbers that no line has, so that some rows find no partner.
+    number = F.when(F.col("l_returnflag") == "R", F.col("l_linenumber") + 100).otherwise(F.col("l_linenumber"))
+    sums = lines.withColumn("l_linenumber", number).groupBy(*keys).agg(F.count("*").alias("n"), F.sum("l_quantity").alias("quantity"))
     return as_text(settle(J.left_on_composite(lines.select(*keys, "l_partkey"), sums, keys)), "n")
 
 
@@ -53,14 +54,15 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("left_on_key_skewed", """
 SELECT s.s_suppkey, s_name, CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber
-FROM supplier s LEFT JOIN (SELECT CASE WHEN l_returnflag = 'N' THEN 3 ELSE l_suppkey END AS s_suppkey, l_orderkey, l_linenumber
-                           FROM lineitem WHERE l_suppkey > 20) l ON s.s_suppkey = l.s_suppkey
+FROM supplier s LEFT JOIN (SELECT CASE WHEN l_returnflag = 'N' THEN 3 WHEN l_suppkey <= 4 THEN l_suppkey + 4 ELSE l_suppkey END
+                                  AS s_suppkey, l_orderkey, l_linenumber FROM lineitem) l ON s.s_suppkey = l.s_suppkey
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    hot = F.when(F.col("l_returnflag") == "N", 3).otherwise(F.col("l_suppkey")).alias("s_suppkey")
-    lines = table(spark, folder, "lineitem").filter(F.col("l_suppkey") > 20).select(hot, "l_orderkey", "l_linenumber")
+    moved = F.when(F.col("l_suppkey") <= 4, F.col("l_suppkey") + 4).otherwise(F.col("l_suppkey"))
+    hot = F.when(F.col("l_returnflag") == "N", 3).otherwise(moved).alias("s_suppkey")
+    lines = table(spark, folder, "lineitem").select(hot, "l_orderkey", "l_linenumber")
     suppliers = table(spark, folder, "supplier", "s_suppkey", "s_name")
-    return as_text(J.left_on_key(suppliers, lines, "s_suppkey", skewed=True), "l_orderkey", "l_linenumber")
+    return as_text(J.left_on_key(suppliers, lines, "s_suppkey", skewed=True, task_rows=1000), "l_orderkey", "l_linenumber")
 
 
 @query("chain_join", """

@@ -108,6 +108,9 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return R.reorder_fill(counts, "bucket", SIZES[::-1], {"n": 0})
 
 
-@query("sample_rows")
+@query("sample_rows", """
+SELECT * FROM lineitem ORDER BY md5(l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':42'), l_orderkey, l_linenumber, l_partkey
+LIMIT 5000
+""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     return R.sample_rows(table(spark, folder, "lineitem"), 5000, 42, ["l_orderkey", "l_linenumber", "l_partkey"])

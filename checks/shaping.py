@@ -18,7 +18,7 @@ FROM part
 def _(spark: SparkSession, folder: str) -> DataFrame:
     texts = table(spark, folder, "part", "p_partkey", "p_brand", "p_name", "p_size").select(
         "p_partkey",
-        F.substring("p_brand", 7, 100).alias("brand_no"),
+        F.expr("substring(p_brand, 7)").alias("brand_no"),
         F.col("p_name").alias("not_a_number"),
         F.concat(F.col("p_size").cast("string"), F.lit(".5")).alias("half"),
         F.concat(F.col("p_size").cast("string"), F.lit(".5")).alias("cut"),

@@ -17,11 +17,12 @@ def inner_on_key(left: DataFrame, right: DataFrame, on: str | list[str]) -> Data
 
 
 def left_on_key(
-    left: DataFrame, right: DataFrame, on: str | list[str], skewed: bool = False
+    left: DataFrame, right: DataFrame, on: str | list[str], skewed: bool = False, task_rows: int | None = None
 ) -> DataFrame:
-    """Keeps every left row. ``skewed`` is for a right side of which one key may hold a large part."""
+    """Keeps every left row. ``skewed`` is for a right side of which one key may hold a large part: its rows are
+    spread so that a task reads about ``task_rows`` of them."""
     keys = [on] if isinstance(on, str) else list(on)
-    return _left_salted(left, right, keys) if skewed else left.join(right, keys, "left")
+    return _left_salted(left, right, keys, task_rows or TASK_ROWS) if skewed else left.join(right, keys, "left")
 
 
 def left_on_composite(
@@ -42,29 +43,25 @@ def left_renamed_keys(
     return left_on_key(left, aligned, list(keys), skewed)
 
 
-# A key is hot if it holds more than this share of the rows, so there are at most 1 / HOT_SHARE of them.
-HOT_SHARE = 0.01
-SALTS = 64
+# A key is hot if it has more rows than one task should read. It gets a salt for each such portion.
+TASK_ROWS = 1_000_000
 
 
-def _left_salted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def _left_salted(left: DataFrame, right: DataFrame, keys: list[str], task_rows: int) -> DataFrame:
     """Left join that spreads the right rows of a hot key over salts.
 
     Left rows of a hot key meet every salt. As a hot key has right rows, a left row that finds nothing
     under one salt is left out there and comes out under another; cold keys have one salt.
     """
     counts = right.na.drop(subset=keys).groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = right.agg(F.count("*")).scalar()
-    hot = counts.filter(F.col("_n") > total * HOT_SHARE).select(*keys, F.lit(True).alias("_hot"))
-    # At most 1 / HOT_SHARE rows, whatever the size of the data.
-    hot = F.broadcast(hot)
-    is_hot = F.coalesce("_hot", F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(0).cast("int")
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = right.join(hot, keys, "left").withColumn("_salt", salt).drop("_hot").withColumn("_match", F.lit(True))
-    met = left.join(hot, keys, "left").withColumn("_salt", F.explode(salts))
-    joined = met.join(spread, [*keys, "_salt"], "left")
-    return joined.filter(~is_hot | F.col("_match").isNotNull()).drop("_salt", "_match", "_hot")
+    hot = counts.filter(F.col("_n") > task_rows).select(*keys, F.ceil(F.col("_n") / task_rows).cast("int").alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    # The salt comes from the row's content, so that a task that runs again deals its rows as before.
+    content = F.xxhash64(*[F.col(f"`{name}`") for name in right.columns])
+    spread = right.join(hot, keys, "left").withColumn("_salt", F.pmod(content, salts).cast("int")).drop("_salts")
+    met = left.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    joined = met.join(spread.withColumn("_match", F.lit(True)), [*keys, "_salt"], "left")
+    return joined.filter((salts == 1) | F.col("_match").isNotNull()).drop("_salt", "_match", "_salts")
 
 
 def chain_join(base: DataFrame, steps: list[tuple[DataFrame, str | list[str], str]]) -> DataFrame:
@@ -95,13 +92,16 @@ def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
 
 
 def detail_lookup(keys: DataFrame, facts: DataFrame, on: str, values: list[str]) -> DataFrame:
-    """For each chosen key the sorted distinct values of some columns, in one job for all keys.
+    """For each chosen key the sorted distinct values of some columns, in one job for all keys; a key without details has
+    empty arrays.
 
     Copies are removed before any array is built, so a hot key sends its distinct values only.
     """
     chosen = facts.join(keys.select(on), on, "left_semi")
     texts = chosen.select(on, *[F.col(v).cast("string").alias(v) for v in values])
     pairs = texts.unpivot([on], values, "_field", "_value").filter(F.col("_value").isNotNull()).distinct()
-    return pairs.groupBy(on).agg(*[
+    found = pairs.groupBy(on).agg(*[
         F.sort_array(F.collect_set(F.when(F.col("_field") == v, F.col("_value")))).alias(v) for v in values
     ])
+    none = F.expr("cast(array() as array<string>)")
+    return keys.select(on).distinct().join(found, on, "left").withColumns({v: F.coalesce(v, none) for v in values})

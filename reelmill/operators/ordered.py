@@ -2,14 +2,10 @@
 
 Spark's ``percentile`` keeps all distinct values of a group in the memory of one task, and a window
 over a group sorts it in one task. Here values are first counted per (group, value), which collapses
-repeated values before the shuffle. Then:
-
-- a group with at most ``GROUP_LIMIT`` distinct values is ordered by a window, with that proven bound;
-- a bigger group is cut into slices: its counts are range-partitioned by (group, value), the slices are
-  frozen in the shared folder because range bounds come from a sample, one small row per slice gives
-  the rows ahead of it, and a running sum inside the slice gives the position of every value.
-
-Both ways are exact and no row is left out.
+repeated values before the shuffle. The counts are range-partitioned by (group, value) into slices, which
+are frozen in the shared folder because range bounds come from a sample; one small row per slice gives
+the rows ahead of it, and a running sum inside the slice gives the position of every value. Results are
+exact, no row is left out, and groups of every size go the same way.
 """
 
 from __future__ import annotations
@@ -24,24 +20,18 @@ from reelmill.session import materialize
 
 STATS = ("count", "sum", "mean", "median", "std", "min", "max")
 
-# Distinct values that one task may sort for one group.
-GROUP_LIMIT = 1_000_000
-
 
 @dataclass
 class OrderedValues:
     """Counted values of some numeric columns.
 
-    ``counts`` has the group columns, ``_field`` (which column), ``_value``, ``_rows`` and ``_weight``
-    (``_rows``, or 0 for a missing value). ``slices`` holds the counts of the groups beyond the limit,
-    with their ``_slice``, and ``big`` the keys of these groups; both are None if there are none.
+    ``counts`` has the group columns, ``_field`` (which column), ``_value``, ``_rows``, ``_weight``
+    (``_rows``, or 0 for a missing value) and ``_slice``, the range it lies in.
     """
 
     counts: DataFrame
     by: list[str]
     cols: list[str]
-    big: DataFrame | None
-    slices: DataFrame | None
 
     @property
     def group(self) -> list[str]:
@@ -49,25 +39,8 @@ class OrderedValues:
 
     def positions(self) -> DataFrame:
         """Each value with ``_before`` (rows of the group ahead of it), ``_total`` and ``_mean``."""
-        if self.big is None:
-            return self._ordered_whole(self.counts)
-        small = self.counts.join(self.big, self.group, "left_anti")
-        return self._ordered_whole(small).unionByName(self._ordered_by_slice())
-
-    def _ordered_whole(self, counts: DataFrame) -> DataFrame:
-        whole = Window.partitionBy(*self.group)
-        running = whole.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-        total = F.sum("_weight").over(whole)
-        return counts.select(
-            *self.group, "_value", "_weight",
-            (F.sum("_weight").over(running) - F.col("_weight")).alias("_before"),
-            total.alias("_total"),
-            F.try_divide(F.sum(F.col("_value") * F.col("_weight")).over(whole), total).alias("_mean"),
-        )
-
-    def _ordered_by_slice(self) -> DataFrame:
         slice_group = ["_slice", *self.group]
-        sizes = self.slices.groupBy(*slice_group).agg(
+        sizes = self.counts.groupBy(*slice_group).agg(
             F.sum("_weight").alias("_rows_in_slice"),
             F.sum(F.col("_value") * F.col("_weight")).alias("_sum_in_slice"),
         )
@@ -82,7 +55,7 @@ class OrderedValues:
         )
         inside = Window.partitionBy(*slice_group).orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
         before = F.col("_ahead") + F.sum("_weight").over(inside) - F.col("_weight")
-        placed = self.slices.join(offsets, slice_group)
+        placed = self.counts.join(offsets, slice_group)
         return placed.select(*self.group, "_value", "_weight", before.alias("_before"), "_total", "_mean")
 
     def statistics(self, probs: dict[str, float] | None = None) -> DataFrame:
@@ -146,10 +119,8 @@ def _quantile(p: float) -> Column:
     return at_low + (at_high - at_low) * share
 
 
-def order_values(
-    df: DataFrame, by: list[str], cols: list[str], limit: int = GROUP_LIMIT
-) -> OrderedValues:
-    """Count the values of numeric columns and cut big groups into slices.
+def order_values(df: DataFrame, by: list[str], cols: list[str]) -> OrderedValues:
+    """Count the values of numeric columns and cut them into slices.
 
     Rows with a missing group key are left out. The input is read once for all columns; its counts are
     stored in the shared folder.
@@ -163,14 +134,8 @@ def order_values(
     counts = rows.groupBy(*by, "_field", "_value").agg(F.count("*").alias("_rows"))
     weight = F.when(F.col("_value").isNotNull(), F.col("_rows")).otherwise(F.lit(0).cast("long"))
     counts = materialize(counts.withColumn("_weight", weight))
-    group = [*by, "_field"]
-    sizes = counts.groupBy(*group).agg(F.count("*").alias("_distinct"))
-    big = sizes.filter(F.col("_distinct") > limit).select(*group)
-    if big.isEmpty():
-        return OrderedValues(counts, by, cols, None, None)
-    ranged = counts.join(big, group, "left_semi").repartitionByRange(*group, "_value")
-    slices = materialize(ranged.withColumn("_slice", F.spark_partition_id()))
-    return OrderedValues(counts, by, cols, big, slices)
+    ranged = counts.repartitionByRange(*by, "_field", "_value").withColumn("_slice", F.spark_partition_id())
+    return OrderedValues(materialize(ranged), by, cols)
 
 
 def ecdf(df: DataFrame, col: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.functions.columns import percentage
-from reelmill.operators.ranking import top_n
+from reelmill.operators.ranking import top_n, top_n_per_group
 
 
 def null_count_columns(cols: list[str]) -> list[Column]:
@@ -75,8 +75,9 @@ def distinct_values(
     values = rows.select(*(by or []), col).distinct()
     if not by:
         return values if n is None else top_n(values, col, n, desc=False)
-    arrays = values.groupBy(*by).agg(F.sort_array(F.collect_list(col)).alias(col))
-    return arrays if n is None else arrays.withColumn(col, F.slice(col, 1, n))
+    if n is not None:
+        values = top_n_per_group(values, by, col, n, desc=False)
+    return values.groupBy(*by).agg(F.sort_array(F.collect_list(col)).alias(col))
 
 
 def quality_metrics(tables: dict[str, tuple[DataFrame, dict[str, Column]]]) -> DataFrame:

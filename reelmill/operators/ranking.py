@@ -36,27 +36,22 @@ def keep_frequent(df: DataFrame, col: str, k: int, min_count: int = 1) -> DataFr
 def arg_extreme(
     df: DataFrame, col: str, by: list[str] | None = None, tie: list[str] | None = None, largest: bool = True
 ) -> DataFrame:
-    """The whole row with the largest or smallest number, per group; ties go to the smallest key.
+    """The whole row with the largest or smallest value, per group; ties go to the smallest key.
 
-    One aggregate with a partial step before the shuffle: a hot group sends one row per task. Rows
+    Any type that can be ordered will do. Each task keeps one row per group before the shuffle. Rows
     without a value are not candidates.
     """
-    number = -F.col(col) if largest else F.col(col)
-    whole = F.struct(*[F.col(name) for name in df.columns])
-    best = F.min_by(whole, F.struct(number, *[F.col(name) for name in tie or []]))
-    return df.filter(F.col(col).isNotNull()).groupBy(*(by or [])).agg(best.alias("_row")).select("_row.*")
+    present = df.filter(F.col(col).isNotNull())
+    return top_n_per_group(present, by, col, 1, largest, tie) if by else top_n(present, col, 1, largest, tie)
 
 
 def arg_extremes(
     df: DataFrame, col: str, by: list[str], tie: list[str], names: tuple[str, str], out: str = "extreme"
 ) -> DataFrame:
-    """Both whole rows, the one with the largest and the one with the smallest number, in one pass."""
-    whole = F.struct(*[F.col(name) for name in df.columns])
-    rest = [F.col(name) for name in tie]
-    largest = F.struct(F.lit(names[0]).alias(out), F.min_by(whole, F.struct(-F.col(col), *rest)).alias("_row"))
-    smallest = F.struct(F.lit(names[1]).alias(out), F.min_by(whole, F.struct(F.col(col), *rest)).alias("_row"))
-    picked = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.array(largest, smallest).alias("_both"))
-    return picked.select(F.explode("_both").alias("_one")).select(f"_one.{out}", "_one._row.*")
+    """Both whole rows, the one with the largest and the one with the smallest value."""
+    both = [arg_extreme(df, col, by, tie, largest).select(F.lit(name).alias(out), "*")
+            for name, largest in zip(names, (True, False), strict=True)]
+    return both[0].unionByName(both[1])
 
 
 def rank_rows(df: DataFrame, col: str, n: int, desc: bool = True, tie: list[str] | None = None) -> DataFrame:
@@ -97,14 +92,13 @@ def reorder_fill(df: DataFrame, key: str, values: list, fill: dict, position: st
 def sample_rows(df: DataFrame, n: int, seed: int, key: list[str]) -> DataFrame:
     """At most n rows, the same ones for any partitioning of the input.
 
-    Rows get a hash of their key and the n smallest hashes win. A count per leading hash bits finds
-    the part of the hash range that holds n rows, so only about n rows reach the final sort instead
-    of n rows from every task.
+    Rows get the MD5 of their key and the seed, joined by colons (a missing part is empty), and the n smallest win. A
+    count per four leading hex digits finds the part of the range that holds n rows, so only about n rows reach the
+    final sort instead of n rows from every task.
     """
-    bits = 16
-    hashed = df.withColumn("_hash", F.xxhash64(*key, F.lit(seed)))
-    slot = F.shiftrightunsigned("_hash", 64 - bits)
-    unsigned = F.struct(slot, F.col("_hash"))
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in key]
+    hashed = df.withColumn("_hash", F.md5(F.concat_ws(":", *parts, F.lit(str(seed)))))
+    slot = F.substring("_hash", 1, 4)
     slots = hashed.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
     running = F.sum("n").over(Window.orderBy("slot"))
     last = (
@@ -113,4 +107,4 @@ def sample_rows(df: DataFrame, n: int, seed: int, key: list[str]) -> DataFrame:
         .agg(F.max("slot"))
         .scalar()
     )
-    return hashed.filter(slot <= last).orderBy(unsigned, *key).limit(n).drop("_hash")
+    return hashed.filter(slot <= last).orderBy("_hash", *key).limit(n).drop("_hash")

@@ -24,17 +24,24 @@ def multi_summary(
 ) -> DataFrame:
     """Chosen statistics of several columns per group, named ``{col}_{stat}``.
 
-    Without a median this is one hash aggregate with a partial step. With a median all statistics come
-    from the sliced counts of ``order_values``, so that the input is still read once.
+    All but medians come from one hash aggregate with a partial step, in the column's own type. Columns with a median
+    are counted by value besides; groups with a missing key are then left out.
     """
     unknown = {s for stats in wanted.values() for s in stats} - set(STATS)
     if unknown:
         raise ValueError(f"unknown statistics: {sorted(unknown)}")
-    if any("median" in stats for stats in wanted.values()):
-        return order_values(df, by, list(wanted)).wide(wanted)
-    rows = df.na.drop(subset=by) if by and drop_null_keys else df
-    picks = [_plain(s, col).alias(f"{col}_{s}") for col, stats in wanted.items() for s in stats]
-    return rows.groupBy(*by).agg(*picks)
+    medians = {col: ["median"] for col, stats in wanted.items() if "median" in stats}
+    rows = df.na.drop(subset=by) if by and (drop_null_keys or medians) else df
+    picks = [_plain(s, col).alias(f"{col}_{s}") for col, stats in wanted.items() for s in stats if s != "median"]
+    if not medians:
+        return rows.groupBy(*by).agg(*picks)
+    # Without groups there is one row on either side.
+    keys = by or ["_all"]
+    rows = rows if by else rows.withColumn("_all", F.lit(1))
+    middles = order_values(rows, keys, list(medians)).wide(medians)
+    if picks:
+        middles = (rows.groupBy(*keys).agg(*picks)).join(middles, keys, "left")
+    return middles.select(*by, *[f"{col}_{s}" for col, stats in wanted.items() for s in stats])
 
 
 def grouped_summary(df: DataFrame, by: list[str], col: str) -> DataFrame:

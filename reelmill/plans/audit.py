@@ -30,4 +30,4 @@ def audit_files(
     names = None
     if expected is not None:
         names = spark.createDataFrame([(name,) for name in expected], "dataset_name string")
-    return ingestion_audit(source_fingerprint(spark, path), log_path, names)
+    return ingestion_audit(source_fingerprint(spark, path, dataset="name"), log_path, names)

@@ -83,6 +83,11 @@ def with_category(rows: DataFrame) -> DataFrame:
     return rows.withColumn("runtime_category", category)
 
 
+def frequent_genre_rows(rows: DataFrame, min_titles: int = MIN_GENRE_TITLES, top: int = TOP_GENRES) -> DataFrame:
+    """The rows of the most frequent genres with enough titles, which the category figures are made from."""
+    return keep_frequent(rows, "genre", top, min_titles)
+
+
 def category_counts(rows: DataFrame) -> DataFrame:
     """Rows per runtime category in their natural order, empty ones included."""
     counts = distribution(with_category(rows), "runtime_category", drop_null_keys=True)
@@ -96,8 +101,12 @@ def category_percentages(rows: DataFrame, top: int = TOP_GENRES_SHORT) -> DataFr
     return crosstab(kept, "genre", "runtime_category", RUNTIME_CATEGORIES, names, normalize="row")
 
 
-def runtime_categories(rows: DataFrame) -> dict[str, DataFrame]:
-    return {"counts": category_counts(rows), "percentages": category_percentages(rows)}
+def runtime_categories(
+    rows: DataFrame, min_titles: int = MIN_GENRE_TITLES, top: int = TOP_GENRES, shown: int = TOP_GENRES_SHORT
+) -> dict[str, DataFrame]:
+    """Categories over the ``top`` genres with enough titles, and their percentages in the first ``shown`` of them."""
+    kept = frequent_genre_rows(rows, min_titles, top)
+    return {"counts": category_counts(kept), "percentages": category_percentages(kept, shown)}
 
 
 def original_titles(akas: DataFrame, unique: bool = False) -> DataFrame:

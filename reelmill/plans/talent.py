@@ -108,7 +108,8 @@ def leader_details(works: DataFrame, ranked: DataFrame) -> dict[str, DataFrame]:
         "genres": element_frequencies(own, "genres", DETAIL_LENGTH, out="genre"),
         "categories": distribution(own, "category", DETAIL_LENGTH, drop_null_keys=True),
         "characters": distinct_values(own, "characters", n=DETAIL_LENGTH, marker=NULL_MARKER),
-        "best_works": top_n(own, "averageRating", DETAIL_LENGTH, tie=["tconst"]),
+        # a title counts once here, however many roles the leader has in it
+        "best_works": top_n(own.drop("category", "characters").distinct(), "averageRating", DETAIL_LENGTH, tie=["tconst"]),
     }
 
 

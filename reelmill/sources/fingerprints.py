@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 _NULL_TEXT = "\u0000"
 _FIELD_END = "\u0001"
 
-# A file's bytes are one field of one row. Up to this size they are hashed as a whole; a bigger file is
-# hashed line by line, which is distributed.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
-
-
 def _lanes(digest: Column) -> list[Column]:
     """The four 32-bit parts of an MD5 as numbers, each summed without overflow."""
     parts = [F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)") for i in range(4)]
@@ -37,29 +32,26 @@ def table_fingerprint(df: DataFrame, cols: list[str], by: list[str] | None = Non
     )
 
 
-def source_fingerprint(spark: SparkSession, path: str, whole_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """``dataset_name, file_size_bytes, md5_hash`` of every file below a path or glob.
+def source_fingerprint(spark: SparkSession, path: str, dataset: str = "file") -> DataFrame:
+    """``dataset_name, file_size_bytes, md5_hash`` of the datasets below a path or glob.
 
-    Files up to ``whole_limit`` bytes get the MD5 of their bytes. The bytes of bigger files are never
-    read into one field: they get an order-independent hash of their lines.
+    A dataset is a ``file`` or a ``folder`` (all files in it), named by its path below the scheme, or all files of one
+    ``name``, named by it. The hash covers the lines
+    between line feeds, whatever their order, and is the same for any cut into files; sizes are summed. Lines are hashed
+    where they are read, so a file of any size is no more than its tasks' work. Spark passes over empty files, so they are
+    no dataset.
     """
-    name = F.element_at(F.split("path", "/"), -1).alias("dataset_name")
-    files = spark.read.format("binaryFile").load(path)
-    whole = files.filter(F.col("length") <= whole_limit).select(
-        name, F.col("length").alias("file_size_bytes"), F.md5("content").alias("md5_hash")
-    )
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("file_size_bytes"),
-        F.md5("value").alias("_digest"),
-    )
-    by_line = (
-        lines.filter(F.col("file_size_bytes") > whole_limit)
-        .groupBy("path", "file_size_bytes")
-        .agg(_combined(F.count("*"), F.col("_digest")).alias("md5_hash"))
-        .select(name, "file_size_bytes", "md5_hash")
-    )
-    return whole.unionByName(by_line)
+    path_only = F.regexp_replace(F.col("path"), "^[a-z0-9]+:/*", "/")
+    names = {"file": path_only, "folder": F.regexp_replace(path_only, "/[^/]*$", ""), "name": F.element_at(F.split("path", "/"), -1)}
+    if dataset not in names:
+        raise ValueError(f"a dataset is one of {sorted(names)}, not {dataset}")
+    name = names[dataset]
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("path"), "length")
+    sizes = files.groupBy(name.alias("dataset_name")).agg(F.sum("length").alias("file_size_bytes"))
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.md5("value").alias("_digest"))
+    hashes = lines.groupBy(name.alias("dataset_name")).agg(_combined(F.count("*"), F.col("_digest")).alias("md5_hash"))
+    return sizes.join(hashes, "dataset_name")
 
 
 def latest_entries(log: DataFrame) -> DataFrame:

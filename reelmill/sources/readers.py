@@ -21,16 +21,17 @@ def read_delimited(
     """A dump with a header line, every column as its schema says (strings for raw dumps).
 
     Quotes are ordinary characters: a title may start with one. Empty fields read as NULL. The header
-    has to match the schema. A ``.gz`` file is one task, so its rows are spread out right after the
-    scan, over ``spread`` partitions or the default parallelism.
+    has to match the schema. A ``.gz`` file is one task, so if any of the files found is one, rows are
+    spread out right after the scan, over ``spread`` partitions or at least as many as there are such files.
     """
     rows = (
         spark.read.schema(schema)
         .options(sep=sep, header=True, nullValue=null, quote="", enforceSchema=False)
         .csv(path)
     )
-    if spread is None and path.endswith(".gz"):
-        spread = spark.sparkContext.defaultParallelism
+    packed = 0 if spread else sum(name.endswith(".gz") for name in rows.inputFiles())
+    if packed:
+        spread = max(packed, spark.sparkContext.defaultParallelism)
     return rows.repartition(spread) if spread else rows
 
 

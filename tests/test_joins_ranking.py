@@ -29,7 +29,7 @@ def test_salted_left_join_is_a_left_join(spark, rows):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e")], "k int, v string")
     right = spark.createDataFrame(
         [(1, "x")] * 200 + [(1, "y")] * 3 + [(2, "z")] + [(i, "q") for i in range(10, 60)] + [(None, "n")], "k int, w string")
-    plain, salted = J.left_on_key(left, right, "k"), J.left_on_key(left, right, "k", skewed=True)
+    plain, salted = J.left_on_key(left, right, "k"), J.left_on_key(left, right, "k", skewed=True, task_rows=20)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
     two = J.left_on_composite(left.withColumn("j", F.lit(1)), right.withColumn("j", F.lit(1)), ["k", "j"], skewed=True)
@@ -44,9 +44,10 @@ def test_orphans_ignore_missing_keys(spark, rows):
 
 
 def test_detail_lookup(spark):
-    keys = spark.createDataFrame([(1,)], "p int")
+    keys = spark.createDataFrame([(1,), (3,), (3,)], "p int")
     facts = spark.createDataFrame([(1, "b", 2), (1, "a", 2), (1, None, 3), (2, "z", 9)], "p int, c string, d int")
-    assert tuple(J.detail_lookup(keys, facts, "p", ["c", "d"]).first()) == (1, ["a", "b"], ["2", "3"])
+    found = sorted(map(tuple, J.detail_lookup(keys, facts, "p", ["c", "d"]).collect()))
+    assert found == [(1, ["a", "b"], ["2", "3"]), (3, [], [])]
 
 
 def test_missing_values_rank_last(spark):
@@ -59,6 +60,9 @@ def test_extremes_break_ties_by_key(spark, rows):
     df = spark.createDataFrame([("x", "m2", 9), ("x", "m1", 9), ("x", "m3", 1), ("y", "m4", None)], "g string, k string, v int")
     assert rows(R.arg_extreme(df, "v", ["g"], ["k"])) == [("x", "m1", 9)]
     assert rows(R.arg_extreme(df, "v", tie=["k"], largest=False)) == [("x", "m3", 1)]
+    assert rows(R.arg_extreme(df, "k")) == [("y", "m4", None)] and rows(R.arg_extreme(df, "k", largest=False)) == [("x", "m1", 9)]
+    least = spark.createDataFrame([("a", -2 ** 63), ("b", 0)], "k string, v long")
+    assert rows(R.arg_extreme(least, "v", largest=False)) == [("a", -2 ** 63)] and rows(R.arg_extreme(least, "v")) == [("b", 0)]
     assert rows(R.arg_extremes(df, "v", ["g"], ["k"], ("hi", "lo"))) == [("hi", "x", "m1", 9), ("lo", "x", "m3", 1)]
 
 

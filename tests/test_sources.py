@@ -44,17 +44,25 @@ def test_event_table_is_created_once_and_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().toString()
 
 
-def test_file_hash_is_md5(spark, tmp_path):
-    (tmp_path / "a.tsv").write_bytes(b"x\ty\n1\t2\n")
-    found = source_fingerprint(spark, f"{tmp_path}/*.tsv").first()
-    assert tuple(found) == ("a.tsv", 8, hashlib.md5(b"x\ty\n1\t2\n").hexdigest())
-
-
-def test_big_files_are_hashed_by_line(spark, tmp_path):
+def test_folders_and_files_of_one_name(spark, tmp_path):
+    for folder, text in (("one", "1\n2\n"), ("two", "1\n"), ("empty", "")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.tsv").write_text(text)
+    (tmp_path / "two" / "b.tsv").write_text("2\n")
+    files = {r.dataset_name: r for r in source_fingerprint(spark, f"{tmp_path}/*/*.tsv").collect()}
+    assert sorted(files) == [f"{tmp_path}/{name}" for name in ("one/a.tsv", "two/a.tsv", "two/b.tsv")]
+    folders = {r.dataset_name.rpartition("/")[2]: r for r in source_fingerprint(spark, f"{tmp_path}/*/*.tsv", "folder").collect()}
+    assert folders["one"].md5_hash == folders["two"].md5_hash != files[f"{tmp_path}/two/a.tsv"].md5_hash
+    assert {k: r.file_size_bytes for k, r in folders.items()} == {"one": 4, "two": 4}
+    lanes = [sum(int(hashlib.md5(x).hexdigest()[8 * i:8 * i + 8], 16) for x in (b"1", b"2")) for i in range(4)]
+    assert folders["one"].md5_hash == hashlib.md5(":".join(map(str, [2, *lanes])).encode()).hexdigest()
+
+
+def test_the_order_of_lines_plays_no_part(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("1\n2\n3\n")
     (tmp_path / "b.tsv").write_text("3\n1\n2\n")
     (tmp_path / "c.tsv").write_text("3\n1\n4\n")
-    found = {r.dataset_name: r for r in source_fingerprint(spark, f"{tmp_path}/*.tsv", whole_limit=4).collect()}
+    found = {r.dataset_name.rpartition("/")[2]: r for r in source_fingerprint(spark, f"{tmp_path}/*.tsv").collect()}
     assert found["a.tsv"].md5_hash == found["b.tsv"].md5_hash != found["c.tsv"].md5_hash
     assert found["a.tsv"].file_size_bytes == 6
 
