@@ -32,7 +32,7 @@ SHINGLE = 5
 PERCENT = 80
 COUNTER_BITS = 22  # 4 MB of counters are broadcast, whatever the size of the corpus
 COUNTER_BLOCK = 1 << 16  # counters in a row on their way there
-BLOCK = 64  # members that a task holds while queries pass
+BLOCK = 256  # members that a task holds while queries pass
 FILTER_BITS = 26  # an 8 MB bit map of the documents whose sets are read again
 
 
@@ -251,10 +251,13 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     labelled = labelled.join(sizes, "group").withColumn(
         "salt", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / BLOCK)))
     matrix = labelled.groupBy("token", F.col("group").alias("block"), "salt", F.col("members").alias("block_members")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("pos").alias("block_pos"))
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("block_first"), F.max("pos").alias("block_pos"))
     wanted = labelled.select("token", "node", "n", "pos", "group", "members").join(matrix, "token").where(
         (F.struct("members", "group") < F.struct("block_members", "block"))
-        & (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent))
+        & (F.col("most") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("least") * percent)
+        # Only tokens that can be the first common one: enough tokens are left from there on.
+        & ((F.col("n") - F.col("pos")) * (100 + percent) >= (F.col("n") + F.col("least")) * percent)
+        & ((F.col("most") - F.col("block_first")) * (100 + percent) >= (F.col("n") + F.col("least")) * percent))
     wanted = wanted.groupBy("block", "salt", "node", "n", "block_members").agg(
         F.count("*").alias("common"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.min("least").alias("least"),
         F.max("block_pos").alias("block_last"))
