@@ -315,13 +315,22 @@ SHOWN_STATS = ", ".join(f'round("{name}", 4) AS "{name}"' for name in DOUBLE_STA
 SHOWN = f'genre, "averageRating_count", {SHOWN_STATS}'
 
 
-def genre_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return G.genre_rating_stats(G.rated_genre_rows(K.titles(spark, folder), K.ratings(spark, folder)))
+def rated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return G.genre_rating_votes(K.titles(spark, folder), K.ratings(spark, folder))
+
+
+@query("genre_rating_votes_overall", f"""
+SELECT count(*) AS titles, (SELECT count(DISTINCT genre) FROM ({RATED_GENRES})) AS genres, round(avg(rating), 4) AS mean_rating,
+       round(avg(votes), 4) AS mean_votes, median(votes) AS median_votes
+FROM (SELECT DISTINCT tconst, rating, votes FROM ({RATED_GENRES}))
+""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(rated(spark, folder)["overall"])
 
 
 @query("genre_rating_votes", f"SELECT {SHOWN} FROM ({GENRE_STATS})")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(genre_stats(spark, folder))
+    return settle(rated(spark, folder)["stats"])
 
 
 @query("genre_rating_votes_quadrants", f"""
@@ -332,13 +341,13 @@ SELECT {SHOWN}, CASE WHEN "averageRating_mean" >= r AND "numVotes_mean" >= v THE
             ELSE 'Low Quality & Low Popularity' END AS quadrant FROM s, m
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(G.genre_quadrants(genre_stats(spark, folder)))
+    return settle(rated(spark, folder)["quadrants"])
 
 
 def ranking_query(name: str, sql: str) -> None:
     @query(f"genre_rating_votes_{name}", sql)
     def _(spark: SparkSession, folder: str) -> DataFrame:
-        return settle(G.genre_rankings(genre_stats(spark, folder))[name])
+        return settle(rated(spark, folder)[name])
 
 
 CONSISTENCY = """
@@ -347,6 +356,7 @@ CASE WHEN "averageRating_std" < 1.0 THEN 'Very Consistent' WHEN "averageRating_s
 """
 ranking_query("highest_rated", f'SELECT {SHOWN} FROM ({GENRE_STATS}) s ORDER BY s."averageRating_mean" DESC, genre LIMIT 3')
 ranking_query("most_voted", f'SELECT {SHOWN} FROM ({GENRE_STATS}) s ORDER BY s."numVotes_mean" DESC, genre LIMIT 3')
+ranking_query("popular", f'SELECT {SHOWN} FROM ({GENRE_STATS}) s ORDER BY s."numVotes_mean" DESC, genre LIMIT 5')
 ranking_query("most_consistent", f'SELECT {SHOWN} FROM ({GENRE_STATS}) s ORDER BY s."averageRating_std", genre LIMIT 3')
 ranking_query("quality_leaders", f"""
 SELECT {SHOWN}, {CONSISTENCY} FROM ({GENRE_STATS}) s ORDER BY s."averageRating_mean" DESC, genre LIMIT 5
@@ -371,8 +381,7 @@ ORDER BY s."numVotes_mean" DESC, genre LIMIT 3
     f"SELECT * FROM ({RATED_GENRES}) WHERE genre IN (SELECT genre FROM ({GENRE_STATS}) ORDER BY \"averageRating_count\" DESC, genre LIMIT 6)",
     "genre", "rating", 20))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = G.rated_genre_rows(K.titles(spark, folder), K.ratings(spark, folder))
-    return settle(G.genre_distributions(rows, G.genre_rating_stats(rows))["ratings"])
+    return settle(rated(spark, folder)["ratings"])
 
 
 @query("genre_rating_votes_sample", f"""
@@ -380,9 +389,7 @@ SELECT genre, tconst, round(rating, 4) AS "averageRating" FROM ({RATED_GENRES})
 ORDER BY md5(tconst || ':' || genre || ':{G.SCATTER_SEED}'), tconst, genre LIMIT {G.SCATTER_SIZE}
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    rows = G.rated_genre_rows(K.titles(spark, folder), K.ratings(spark, folder))
-    sample = G.genre_distributions(rows, G.genre_rating_stats(rows))["sample"]
-    return settle(sample.select("genre", "tconst", "averageRating"))
+    return settle(rated(spark, folder)["sample"].select("genre", "tconst", "averageRating"))
 
 
 # ---- extreme runtimes, runtimes by group

@@ -205,8 +205,8 @@ def histogram(
 
     Without ``lo`` and ``hi`` each group spans its own minimum to maximum. Values outside given bounds
     do not count. Bounds that are the same for all rows stand in the expression, so raw rows are
-    binned where they are read and only bins are shuffled. Bounds per group are joined, and meet
-    counted values instead of raw rows.
+    binned where they are read and only bins are shuffled. Bounds per group, one row each, are found
+    first and joined to the raw rows, and bins are again combined before they are shuffled.
     """
     by = by or []
     rows = df.na.drop(subset=[*by, col]).select(*by, F.col(col).cast("double").alias("_value"))
@@ -220,11 +220,10 @@ def histogram(
         edges = _edges(low, high, bins)
         placed = rows.select(*by, "_value", F.lit(1).cast("long").alias("_rows"), *edges)
     else:
-        counts = rows.groupBy(*by, "_value").agg(F.count("*").alias("_rows"))
         least, most = F.coalesce(low, F.min("_value")), F.coalesce(high, F.max("_value"))
-        ends = counts.groupBy(*by).agg(least.alias("_low"), most.alias("_high"))
-        bounds = ends.select(*by, *_edges(F.col("_low"), F.col("_high"), bins))
-        placed = counts.join(bounds, by)
+        ends = rows.groupBy(*by).agg(least.alias("_low"), most.alias("_high"))
+        bounds = materialize(ends.select(*by, *_edges(F.col("_low"), F.col("_high"), bins)))
+        placed = rows.withColumn("_rows", F.lit(1).cast("long")).join(bounds, by)
     # Bounds that were found hold all values; only given bounds can leave some out.
     inside = all_of(
         ([F.col("_value") >= F.col("_lo")] if lo is not None else [])

@@ -21,6 +21,7 @@ from reelmill.operators.summaries import (
     split_totals,
     spread_labels,
 )
+from reelmill.session import materialize
 
 # How many genres are looked at, and what a genre or a title needs to count.
 TOP_GENRES, TOP_GENRES_SHORT, TOP_ADULT, TOP_HISTOGRAMS = 15, 10, 5, 6
@@ -87,17 +88,21 @@ def genre_vs_adult(basics: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
     }
 
 
-def rated_genre_rows(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> DataFrame:
-    """One row per rated title and genre, with rating, votes and the logarithm of the votes."""
+def rated_titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Titles with genres, a usable rating and enough votes, one row each."""
     joined = inner_on_key(
         basics.select("tconst", "genres"), ratings.select("tconst", "averageRating", "numVotes"), "tconst"
     )
     numbers = to_numeric(null_marker_filter(joined, ["genres"]), ["averageRating", "numVotes"])
-    usable = range_filter(
+    return range_filter(
         drop_missing(numbers, ["averageRating", "numVotes"]),
         {"averageRating": RATING_RANGE, "numVotes": (MIN_VOTES, None)},
     )
-    rows = genre_rows(usable, ["tconst", "averageRating", "numVotes"], sep)
+
+
+def rated_genre_rows(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> DataFrame:
+    """One row per rated title and genre, with rating, votes and the logarithm of the votes."""
+    rows = genre_rows(rated_titles(basics, ratings), ["tconst", "averageRating", "numVotes"], sep)
     return rows.withColumn("log_numVotes", log_measure(F.col("numVotes")))
 
 
@@ -145,10 +150,24 @@ def genre_distributions(rows: DataFrame, stats: DataFrame, bins: int = 20) -> di
     }
 
 
+def rated_overall(titles: DataFrame, rows: DataFrame) -> DataFrame:
+    """One row over all rated titles: titles, genres, mean rating, mean and median votes."""
+    summary = multi_summary(titles, [], {"averageRating": ["count", "mean"], "numVotes": ["mean", "median"]})
+    genres = rows.agg(F.count_distinct("genre")).scalar()
+    return summary.select(
+        F.col("averageRating_count").alias("titles"), genres.alias("genres"), F.col("averageRating_mean").alias("mean_rating"),
+        F.col("numVotes_mean").alias("mean_votes"), F.col("numVotes_median").alias("median_votes"),
+    )
+
+
 def genre_rating_votes(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
+    """Everything about genres, ratings and votes. The statistics, a row per leading genre, are stored once, and all
+    lists come from them."""
     rows = rated_genre_rows(basics, ratings, sep)
-    stats = genre_rating_stats(rows)
-    quadrants = {"quadrants": genre_quadrants(stats)}
-    return {"stats": stats, **quadrants, **genre_rankings(stats), **genre_distributions(rows, stats)}
+    stats = materialize(genre_rating_stats(rows))
+    return {
+        "overall": rated_overall(rated_titles(basics, ratings), rows), "stats": stats, "quadrants": genre_quadrants(stats),
+        **genre_rankings(stats), **genre_distributions(rows, stats),
+    }
 
 
