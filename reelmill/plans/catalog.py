@@ -112,9 +112,10 @@ class Curated:
         return attach_list(self.main, arrays, empty=empty, distinct=self.table == "name_basics")
 
     def publish(self, target: str) -> dict[str, int | None]:
-        """Write the main table and its children; gives the plain checks, computed during the write.
+        """Write the main table, its children and its distributions (``{target}_by_{column}``); gives all checks.
 
-        Children are cut from the table just written, so that the dump itself is parsed once.
+        Plain checks are computed during the write. Children, duplicates and distributions come from the table just
+        written, so that the dump itself is parsed once.
         """
         measures = self.measures()
         seen = Observation()
@@ -123,7 +124,11 @@ class Curated:
         stored = read_table(self.main.sparkSession, target)
         for suffix, child in _children(self.table, stored).items():
             write_table_overwrite(child, f"{target}_{suffix}")
-        return {name: seen.get[name] for name in measures}
+        for col, n in DISTRIBUTIONS.get(self.table, {}).items():
+            write_table_overwrite(distribution(stored, col, n), f"{target}_by_{col}")
+        keys = KEYS[self.table]
+        duplicates = {"duplicates|" + "+".join(keys): duplicate_keys(stored, keys).first()["duplicates"]}
+        return {name: seen.get[name] for name in measures} | duplicates
 
 
 def _children(table: str, main: DataFrame) -> dict[str, DataFrame]:
