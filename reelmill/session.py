@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="reelmill-")
     context.setCheckpointDir(folder)
