@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import empty, only, union
+from reelmill.llm.shared import empty, only, small_batches, union
 from reelmill.llm.words import hashes, mix, raw, slices, spans
 
 PLACES = 6  # sampled places a key
@@ -251,7 +251,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL
     is broadcast in pieces of bounded size, each with a pass over the documents.
     """
     spark = docs.sparkSession
-    rows = only(docs, {"doc_id": "long", "text": "string"})
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"})
     tests = only(benchmark, {"item_id": "long", "text": "string"}).where("text is not null")
     chars = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     pieces = max(1, -(-chars // PIECE_CHARS))

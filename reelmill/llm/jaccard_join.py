@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.llm.components import connected_components
-from reelmill.llm.shared import frozen, only
+from reelmill.llm.shared import frozen, only, small_batches
 from reelmill.llm.words import hashes, mix, raw, shingles, slices
 
 SHINGLE = 5
@@ -200,7 +200,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCE
     as one document: each row is answered by its own text, and links of either text are links of both. An empty table
     gives no rows; other columns are ignored. Shingles are compared by 64-bit hashes.
     """
-    docs = only(docs, {"doc_id": "long", "text": "string"})
+    docs = only(small_batches(docs), {"doc_id": "long", "text": "string"})
     heads = frozen(_heads(docs, size, percent), "shingle-heads")
     classes = frozen(heads.where("n > 0 and doc_id is not null").groupBy("set_id", "n").agg(
         F.min("doc_id").alias("class_id")), "shingle-classes")

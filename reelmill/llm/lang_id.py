@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelmill.llm.shared import key_hash, only, schema
+from reelmill.llm.shared import key_hash, only, schema, small_batches
 from reelmill.llm.words import raw, slices
 
 RUN = 64  # bytes that are read in one go
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_do
     The sample is bounded by ``docs_per_language`` documents of each language, those with the smallest hashes, and
     ``runs_per_doc`` runs of 64 bytes at spread places of each; documents without a label, an id or a letter are not used.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string", "lang": "string"}).where(
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string", "lang": "string"}).where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & _has_letter(F.col("text")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(key_hash(F.col("doc_id")), "doc_id"))
     chosen = rows.select("doc_id", "lang").distinct().withColumn("rank", rank).where(F.col("rank") <= docs_per_language)
@@ -245,6 +245,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
     Of equal probabilities the first language by name wins. Every row is answered by its text alone, repeated and missing
     ids too; an empty table gives no rows; other columns are ignored.
     """
+    docs = small_batches(docs)
     others = docs.select(*[F.col(f"`{name}`") for name in keep]).schema
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *[F.col(f"`{name}`").alias(f"kept {name}") for name in keep]).withColumn("letters", _has_letter(F.col("text")))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import frozen, hash_sample
+from reelmill.llm.shared import frozen, hash_sample, small_batches
 
 SAMPLE = 4096  # vectors that partition and classifier are fitted on; twice as many at most
 PARTS = 32  # a power of two
@@ -166,7 +166,7 @@ def nearest_neighbours(vectors: DataFrame, every: int, k: int, sample: int = SAM
     ``2 * sample``.
     """
     spark = vectors.sparkSession
-    rows, width = _usable(vectors)
+    rows, width = _usable(small_batches(vectors))
     taken = hash_sample(rows, sample, "vec_id").orderBy("vec_id").select("embedding").toArrow()
     fitted = _matrix(taken["embedding"].combine_chunks()) if taken.num_rows else np.zeros((0, max(width, 1)))
     router = spark.sparkContext.broadcast(fit_router(fitted, k, parts, recall))

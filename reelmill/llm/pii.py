@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import hash_sample, only
+from reelmill.llm.shared import hash_sample, only, small_batches
 from reelmill.llm.words import raw, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -267,7 +267,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
 
     At most twice as many documents with up to 200 words with digits or at signs reach the driver, as features only.
     """
-    chosen = hash_sample(only(docs, {"doc_id": "long", "text": "string"}), sample)
+    chosen = hash_sample(only(small_batches(docs), {"doc_id": "long", "text": "string"}), sample)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,7 +317,7 @@ def find_personal_data(docs: DataFrame, field: Field) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), pa.array(
                     base, pa.list_(span)), pa.array(spans, pa.list_(span))], names=["doc_id", "base", "spans"])
 
-    return only(docs, {"doc_id": "long", "text": "string"}).mapInArrow(
+    return only(small_batches(docs), {"doc_id": "long", "text": "string"}).mapInArrow(
         find, f"doc_id long, base {span_ddl}, spans {span_ddl}")
 
 

@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import frozen, only
+from reelmill.llm.shared import frozen, only, small_batches
 from reelmill.llm.words import hashes, mix, raw, slices, spans, windows
 
 WINDOW = 35
 ANCHOR = 8
-SHARD_WORDS = 60_000  # words of distinct regions in one automaton
+SHARD_WORDS = 40_000  # words of distinct regions in one automaton
 MOST_REGIONS = 1_000  # distinct regions of one anchor in an automaton; more are decided by window counts
 _STEP = 0xD6E8FEB86659FD93
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -246,6 +246,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     found = frozen(_regions(docs, window, anchor), "regions")
     counted = found.groupBy("anchor").agg(
         F.count("*").alias("times"), F.min("region").alias("low"), F.max("region").alias("high")).where("times > 1")
+    counted = frozen(counted, "repeated-anchors")  # apart from the join, so that a common anchor's rows can be split there
     again = frozen(found.join(counted.select("anchor", (F.col("low") != F.col("high")).alias("undecided")), "anchor"), "repeated-regions")
     distinct = again.where("undecided").groupBy("anchor", "region").agg(
         F.least(F.count("*"), F.lit(2)).cast("int").alias("weight"),
@@ -272,7 +273,7 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, **settings: in
     own; a missing doc_id is an id like any other; an empty table gives no rows; other columns are ignored. Words and
     windows are compared by 64-bit hashes.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string"}).withColumn(
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"}).withColumn(
         "text_id", F.coalesce(F.expr("cast(xxhash64(text) & 32767 as short)"), F.lit(0).cast("short")))
     # Several rows may share an id and a text: each keeps its own occurrence, all have the same answer.
     gone = repeated_windows(rows, window, **settings).groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(

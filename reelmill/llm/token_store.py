@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import frozen, hash_sample, only
+from reelmill.llm.shared import frozen, hash_sample, only, small_batches
 from reelmill.llm.words import gathered, hash_spans, raw, slices, spans
 from reelmill.session import fresh_path
 
@@ -176,7 +176,7 @@ def train_dictionary(docs: DataFrame, how: Encoding, sample: int = SAMPLE_DOCS)
 
     At most ``2 * sample`` times 16 KB reach the driver. The sample decides how small the files are, never what they hold.
     """
-    chosen = hash_sample(only(docs, {"doc_id": "long", "text": "string"}), sample)
+    chosen = hash_sample(only(small_batches(docs), {"doc_id": "long", "text": "string"}), sample)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,7 +226,7 @@ def write_tokens(docs: DataFrame, how: Encoding, folder: str | None = None, dict
                 })
                 at += len(data)
 
-    rows = only(docs, {"doc_id": "long", "text": "string"})
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"})
     encoded = frozen(rows.mapInArrow(frames, "doc_id long, n_tokens long, width int, frame binary"), "token-frames")
     parts = max(1, encoded.rdd.getNumPartitions())
     ordered = encoded.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("frame")).sortWithinPartitions(
