@@ -315,7 +315,7 @@ SHOWN_STATS = ", ".join(f'round("{name}", 4) AS "{name}"' for name in DOUBLE_STA
 SHOWN = f'genre, "averageRating_count", {SHOWN_STATS}'
 
 
-def rated(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def genre_ratings(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return G.genre_rating_votes(K.titles(spark, folder), K.ratings(spark, folder))
 
 
@@ -325,12 +325,12 @@ SELECT count(*) AS titles, (SELECT count(DISTINCT genre) FROM ({RATED_GENRES}))
 FROM (SELECT DISTINCT tconst, rating, votes FROM ({RATED_GENRES}))
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(rated(spark, folder)["overall"])
+    return settle(genre_ratings(spark, folder)["overall"])
 
 
 @query("genre_rating_votes", f"SELECT {SHOWN} FROM ({GENRE_STATS})")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(rated(spark, folder)["stats"])
+    return settle(genre_ratings(spark, folder)["stats"])
 
 
 @query("genre_rating_votes_quadrants", f"""
@@ -341,13 +341,13 @@ SELECT {SHOWN}, CASE WHEN "averageRating_mean" >= r AND "numVotes_mean" >= v THE
             ELSE 'Low Quality & Low Popularity' END AS quadrant FROM s, m
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(rated(spark, folder)["quadrants"])
+    return settle(genre_ratings(spark, folder)["quadrants"])
 
 
 def ranking_query(name: str, sql: str) -> None:
     @query(f"genre_rating_votes_{name}", sql)
     def _(spark: SparkSession, folder: str) -> DataFrame:
-        return settle(rated(spark, folder)[name])
+        return settle(genre_ratings(spark, folder)[name])
 
 
 CONSISTENCY = """
@@ -381,7 +381,7 @@ ORDER BY s."numVotes_mean" DESC, genre LIMIT 3
     f"SELECT * FROM ({RATED_GENRES}) WHERE genre IN (SELECT genre FROM ({GENRE_STATS}) ORDER BY \"averageRating_count\" DESC, genre LIMIT 6)",
     "genre", "rating", 20))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(rated(spark, folder)["ratings"])
+    return settle(genre_ratings(spark, folder)["ratings"])
 
 
 @query("genre_rating_votes_sample", f"""
@@ -389,7 +389,7 @@ SELECT genre, tconst, round(rating, 4) AS "averageRating" FROM ({RATED_GENRES})
 ORDER BY md5(tconst || ':' || genre || ':{G.SCATTER_SEED}'), tconst, genre LIMIT {G.SCATTER_SIZE}
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(rated(spark, folder)["sample"].select("genre", "tconst", "averageRating"))
+    return settle(genre_ratings(spark, folder)["sample"].select("genre", "tconst", "averageRating"))
 
 
 # ---- extreme runtimes, runtimes by group
