@@ -444,9 +444,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return settle(R.runtime_by_group(titled(spark, folder))["histogram"])
 
 
-@query("runtime_by_group_sample")
+@query("runtime_by_group_sample", f"""
+SELECT tconst, round(minutes, 4) AS "runtimeMinutes" FROM ({TITLED}) WHERE "titleType" = 'movie'
+ORDER BY md5(tconst || ':{R.SCATTER_SEED}'), tconst LIMIT {R.SCATTER_SIZE}
+""")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return R.runtime_by_group(titled(spark, folder))["movie_sample"]
+    return settle(R.runtime_by_group(titled(spark, folder))["movie_sample"].select("tconst", "runtimeMinutes"))
 
 
 # ---- directors and writers
