@@ -141,7 +141,7 @@ def _select(words: np.ndarray, bounds: np.ndarray, window: int, anchor: int) ->
 
 
 def _regions(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    ddl = "doc_id long, text_id short, start int, number byte, anchor long, region long"
+    ddl = "doc_id long, text_id long, start int, number byte, anchor long, region long"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,11 +270,10 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, **settings: in
     Words are runs without ASCII white space, compared as they are. A word goes if a window of ``window`` words that covers
     it also starts anywhere else, in this document or another; all occurrences go, and windows are judged on the input.
     Missing and empty texts have no words and keep the empty text; rows that repeat a document are occurrences of their
-    own; a missing doc_id is an id like any other; an empty table gives no rows; other columns are ignored. Words and
-    windows are compared by 64-bit hashes.
+    own; rows that share an id, also a missing one, are told apart by their texts; an empty table gives no rows; other
+    columns are ignored. Words, windows and texts of one id are compared by 64-bit hashes.
     """
-    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"}).withColumn(
-        "text_id", F.coalesce(F.expr("cast(xxhash64(text) & 32767 as short)"), F.lit(0).cast("short")))
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"}).withColumn("text_id", F.xxhash64("text"))
     # Several rows may share an id and a text: each keeps its own occurrence, all have the same answer.
     gone = repeated_windows(rows, window, **settings).groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(
         F.collect_set(F.struct("start", "mask")).alias("gone"))

@@ -38,6 +38,14 @@ def test_repeated_rows_are_occurrences(documents, prose):
     assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 40), (1, 40), (2, 0)]
 
 
+def test_rows_without_ids_are_told_apart(documents, prose):
+    shared = prose(40)
+    texts = [f"{prose(1 + i % 60)} {shared} {prose(i % 7)}" if i % 2 else prose(20 + i % 50) for i in range(900)]
+    found = substring.drop_repeated_passages(documents([(None, t) for t in texts])).collect()
+    expected = passages(list(enumerate(texts)))
+    assert sorted((r.n_words, r.n_removed, r.kept) for r in found) == sorted(x[1:] for x in expected)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.lists(st.integers(0, 2), max_size=12), st.integers(1, 2)), min_size=1, max_size=4))
 def test_matching_statistics(sequences):
