@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelmill.llm.shared import frozen, only
 
 MIN_RUN = 3
+ROW = ("doc_id", "text_id", "copy")
 
 
 def _windows(min_run: int) -> Column:
@@ -25,33 +26,50 @@ def _windows(min_run: int) -> Column:
     return F.transform(full, one)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row with ``text_id`` and ``copy``, which tell rows that share a doc_id apart: a hash of the text, and a number
+    from 0 for rows that are equal in both."""
+    rows = only(docs, {"doc_id": "long", "text": "string"}).withColumn("text_id", F.xxhash64("text"))
+    again = rows.groupBy(F.col("doc_id").alias("of"), F.col("text_id").alias("of_text")).agg(F.count("*").alias("times"))
+    again = frozen(again.where("times > 1").select("of", "of_text"), "equal-rows")
+    if again.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_id") == F.col("of_text"))
+    # Equal rows are counted and dealt out again, so that none of them depends on the order of rows.
+    several = rows.join(again, same, "left_semi").groupBy("doc_id", "text", "text_id").agg(F.count("*").alias("times"))
+    several = several.select("doc_id", "text", "text_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)).alias("copy"))
+    return rows.join(again, same, "left_anti").withColumn("copy", F.lit(0).cast("long")).union(several)
+
+
 def repeated_runs(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """Later copies of runs of ``min_run`` lines: ``doc_id`` and ``line``, the places (from 0) of all lines in them.
+    """Later copies of runs of ``min_run`` lines in ``_rows``: ``doc_id``, ``text_id``, ``copy`` and ``line``, the places
+    (from 0) of all lines in them.
 
     Every run selects one of its lines as fingerprint, so equal runs have equal fingerprints at equal places. Fingerprints
     are counted first, and only those that occur again are extended: the lines before and after a fingerprint's position
-    make up the runs that selected it. Of equal extensions, the first by (doc_id, line) stays. Runs of a longer repeated
-    passage overlap, and together cover it. Counts and first places combine before they are shuffled, so that a line in
-    a third of all documents is no large group, and the joins back to them can be split by adaptive execution.
+    make up the runs that selected it. Of equal extensions, the first by (doc_id, text_id, copy, line) stays. Runs of a
+    longer repeated passage overlap, and together cover it. Counts and first places combine before they are shuffled, so
+    that a line in a third of all documents is no large group, and the joins back to them can be split by adaptive
+    execution.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string"}).select("doc_id", F.split("text", "\n", -1).alias("lines"))
-    rows = rows.select("doc_id", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
+    rows = docs.select(*ROW, F.split("text", "\n", -1).alias("lines"))
+    rows = rows.select(*ROW, F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
                        F.transform("lines", lambda x: F.hash(x)).alias("checks"),
                        F.transform("lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("filled"))
-    found = rows.select("doc_id", "hashes", "checks", F.explode(_windows(min_run)).alias("w"))
+    found = rows.select(*ROW, "hashes", "checks", F.explode(_windows(min_run)).alias("w"))
     # The extension: all lines of the run, by two hashes.
     found = frozen(found.select(
-        "doc_id", "w.first", "w.fingerprint", "w.offset",
+        *ROW, "w.first", "w.fingerprint", "w.offset",
         F.xxhash64(F.slice("hashes", F.col("w.first") + 1, min_run)).alias("run"),
         F.hash(F.slice("checks", F.col("w.first") + 1, min_run)).alias("run_check")), "line-windows")
-    position = F.struct("doc_id", (F.col("first") + F.col("offset")).alias("line"))
+    position = F.struct(*ROW, (F.col("first") + F.col("offset")).alias("line"))
     again = found.groupBy("fingerprint").agg(F.min(position).alias("a"), F.max(position).alias("b")).where(
-        "a.doc_id is distinct from b.doc_id or a.line <> b.line").select("fingerprint")
+        "a is distinct from b").select("fingerprint")
     candidates = frozen(found.join(again, "fingerprint", "left_semi"), "line-candidates")
     key = ["fingerprint", "offset", "run", "run_check"]
-    first = candidates.groupBy(*key).agg(F.min(F.struct("doc_id", "first")).alias("kept"))
-    later = candidates.join(first, key).where("doc_id is distinct from kept.doc_id or first > kept.first")
-    return later.select("doc_id", F.explode(F.sequence("first", F.col("first") + min_run - 1)).alias("line"))
+    first = candidates.groupBy(*key).agg(F.min(F.struct(*ROW, "first")).alias("kept"))
+    later = candidates.join(first, key).where("struct(doc_id, text_id, copy, first) is distinct from kept")
+    return later.select(*ROW, F.explode(F.sequence("first", F.col("first") + min_run - 1)).alias("line"))
 
 
 def drop_repeated_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -60,12 +78,15 @@ def drop_repeated_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     Lines are the pieces between line feeds; equal means equal bytes. A line goes if it lies in a run of ``min_run`` lines,
     not all blank, that also occurs at an earlier (doc_id, line); runs are judged on the input, not on what is left. Texts
     with fewer lines stay. A missing text has no lines and stays missing, an empty one has one empty line. Rows that
-    repeat a doc_id are one document to this operator: they don't make each other later copies, and lines deleted in one
-    are deleted in all. A missing doc_id comes first. Other columns are ignored.
+    repeat a doc_id are documents of their own, in the order of a 64-bit hash of their texts; of equal rows one is the
+    first. A missing doc_id is an id like any other and comes first. Other columns are ignored.
     """
-    rows = only(docs, {"doc_id": "long", "text": "string"})
-    gone = repeated_runs(docs, min_run).groupBy(F.col("doc_id").alias("of")).agg(F.collect_set("line").alias("gone"))
-    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
+    rows = _rows(docs)
+    gone = repeated_runs(rows, min_run).groupBy(
+        F.col("doc_id").alias("of"), F.col("text_id").alias("of_text"), F.col("copy").alias("of_copy")).agg(
+        F.collect_set("line").alias("gone"))
+    rows = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_id") == F.col("of_text"))
+                     & (F.col("copy") == F.col("of_copy")), "left").select(
         "doc_id", "text", F.coalesce(F.split("text", "\n", -1), F.expr("cast(array() as array<string>)")).alias("lines"),
         F.map_from_arrays("gone", F.transform("gone", lambda _: F.lit(True))).alias("gone"))
     kept = F.filter("lines", lambda x, i: ~F.map_contains_key(F.col("gone"), i))

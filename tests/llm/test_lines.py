@@ -31,3 +31,19 @@ def test_against_brute_force(documents, many_slices, run):
     rng.shuffle(rows)
     found = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in lines.drop_repeated_lines(documents(rows), run).collect()}
     assert found == plain(rows, run)
+
+
+@pytest.mark.parametrize("same", [None, 7])
+def test_rows_that_share_an_id_are_told_apart(documents, many_slices, same):
+    own = [[f"text {i} line {j}" for j in range(9)] for i in range(4)]
+    twice = own[0][:3] + ["a", "b", "c", "a", "b", "c"]
+    texts = ["\n".join(x) for x in (twice, own[1], own[2], own[2], own[2], own[3])]
+    found = lines.drop_repeated_lines(documents([(same, t) for t in texts])).collect()
+    expected = [(9, 3, "\n".join(twice[:6])), (9, 0, texts[1]), (9, 0, texts[2]), (9, 9, ""), (9, 9, ""), (9, 0, texts[5])]
+    assert sorted((r.n_lines, r.n_removed, r.kept) for r in found) == sorted(expected)
+
+
+def test_copies_at_the_same_line_of_rows_without_ids(documents):
+    run = "one\ntwo\nthree"
+    found = lines.drop_repeated_lines(documents([(None, f"{run}\nfour"), (None, f"{run}\nfive"), (1, run)])).collect()
+    assert sorted((r.doc_id is None, r.n_removed) for r in found) == [(False, 3), (True, 0), (True, 3)]
