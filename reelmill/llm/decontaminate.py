@@ -33,7 +33,7 @@ RECALL = 0.99  # to be reached for items with
 WORD_EDITS = 0.08  # this share of words replaced, left out or put in
 MOST_WALKS = 10
 PIECE_CHARS = 8_000_000  # benchmark text that is broadcast at a time
-DDL = "doc_id long, item_id long, edits int, first_word long, n_words int"
+DDL = "doc_id long, text_id long, item_id long, edits int, first_word long, n_words int"
 
 
 @dataclass
@@ -240,18 +240,18 @@ def _matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL) -> DataFrame:
-    """One row for each document (``doc_id``, ``text``) and benchmark item (``item_id``, ``text``) that it holds: ``edits``,
-    ``first_word`` (about where, in words) and ``n_words`` of the item.
+    """One row for each document (``doc_id``, ``text``) and benchmark item (``item_id``, ``text``) that it holds: ``text_id``
+    (a 64-bit hash of the text), ``edits``, ``first_word`` (about where, in words) and ``n_words`` of the item.
 
     An item is held if at most 15 % of its characters have to be edited to find it in the document; words are compared
     in lower case with single spaces. Exact copies are found for certain while the walk stays inside the item, items with
     ``WORD_EDITS`` of their words edited with probability ``recall``. Items of fewer than 8 words are not looked for.
-    Missing and empty texts on either side hold and are nothing; rows that repeat an id are one document or item, with the
-    best match; a missing id is an id like any other; empty tables give no rows; other columns are ignored. The benchmark
+    Missing and empty texts on either side hold and are nothing; rows with the same id and text are one document, rows that
+    repeat an item's id are one item, with the best match; a missing id is an id like any other; empty tables give no rows; other columns are ignored. The benchmark
     is broadcast in pieces of bounded size, each with a pass over the documents.
     """
     spark = docs.sparkSession
-    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"})
+    rows = only(small_batches(docs), {"doc_id": "long", "text": "string"}).withColumn("text_id", F.xxhash64("text"))
     tests = only(benchmark, {"item_id": "long", "text": "string"}).where("text is not null")
     chars = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     pieces = max(1, -(-chars // PIECE_CHARS))
@@ -264,8 +264,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL
             out.append(_pass(rows, spark.sparkContext.broadcast(build_index(items, recall))))
     if not out:
         return empty(spark, DDL)
-    return union(out).groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "first_word", "n_words")).alias("best")).select(
-        "doc_id", "item_id", "best.*")
+    return union(out).groupBy("doc_id", "text_id", "item_id").agg(
+        F.min(F.struct("edits", "first_word", "n_words")).alias("best")).select("doc_id", "text_id", "item_id", "best.*")
 
 
 def _pass(rows: DataFrame, shared) -> DataFrame:
@@ -280,15 +280,18 @@ def _pass(rows: DataFrame, shared) -> DataFrame:
                     found = [(start + row, index.items[k], *match) for (row, k), match in best.items()]
                     yield pa.RecordBatch.from_arrays([
                         batch.column("doc_id").take(pa.array([x[0] for x in found])),
+                        batch.column("text_id").take(pa.array([x[0] for x in found])),
                         pa.array([x[1].item_id for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int32()),
                         pa.array([x[3] for x in found], pa.int64()),
                         pa.array([len(x[1].words) for x in found], pa.int32())],
-                        names=["doc_id", "item_id", "edits", "first_word", "n_words"])
+                        names=["doc_id", "text_id", "item_id", "edits", "first_word", "n_words"])
 
     return rows.mapInArrow(search, DDL)
 
 
 def drop_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item; rows without an id are judged together."""
-    bad = found.select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The documents that hold no benchmark item. Each row is judged by its own text, also if its id is missing or
+    repeated."""
+    bad = found.select(F.col("doc_id").alias("bad_id"), F.col("text_id").alias("bad_text")).distinct()
+    own = F.xxhash64(docs["text"].cast("string"))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (own == bad["bad_text"]), "left_anti")

@@ -30,7 +30,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @_query("op1_decontaminate")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.find_benchmark(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.find_benchmark(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.drop("text_id")
 
 
 @_query("op2_personal_data")

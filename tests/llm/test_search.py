@@ -68,6 +68,15 @@ def test_pieces_of_a_large_benchmark(documents, spark, items, prose, monkeypatch
     assert [r.doc_id for r in decontaminate.drop_contaminated(docs, found).collect()] == [99]
 
 
+@pytest.mark.parametrize("same", [None, 4])
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(documents, spark, prose, same):
+    item = prose(30)
+    clean = [prose(50) for _ in range(5)]
+    docs = documents([(same, t) for t in clean] + [(same, f"{prose(9)} {item}"), (same, None), (9, item)])
+    found = decontaminate.find_benchmark(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted((r.text or "") for r in decontaminate.drop_contaminated(docs, found).collect()) == sorted([*clean, ""])
+
+
 @pytest.mark.parametrize("block", [64, 4096])
 def test_recall(spark, many_slices, block):
     rng = np.random.default_rng(2)
