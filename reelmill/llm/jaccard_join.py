@@ -231,8 +231,6 @@ def _components(docs: DataFrame, heads: DataFrame, classes: DataFrame, size: int
     near = near.where(_reachable("n", "last", "centre_n", "centre_last", percent))
     star = near.groupBy("node").agg(F.max(F.struct("common", (-F.col("centre")).alias("minus"))).alias("best"))
     star = frozen(star.select("node", (-F.col("best.minus")).alias("centre")), "shingle-star")
-    if star.isEmpty():
-        return star.select("node", F.col("centre").alias("component"))
     sets = _sets_of(docs, star.select("node").union(star.select("centre")), size)
     salts = star.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
     members = star.join(salts, "centre").withColumn("salt", F.pmod(F.xxhash64("node"), "salts"))

@@ -8,6 +8,7 @@ import pytest
 from brute import components, shingle_sets, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from reelmill.llm import jaccard_join
 from reelmill.llm.components import connected_components
 from reelmill.llm.words import hashes, raw
@@ -54,6 +55,15 @@ def test_other_thresholds(documents, corpus, percent):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(corpus, percent)
 
 
+def test_links_without_any_centre(documents, prose, monkeypatch):
+    """Where no set passes the test against a centre, the matrix still finds all links."""
+    real, calls = jaccard_join._reachable, []
+    monkeypatch.setattr(jaccard_join, "_reachable", lambda *a: calls.append(a) or (F.lit(False) if len(calls) == 1 else real(*a)))
+    texts = dict(enumerate(t for base in (prose(60), prose(80)) for t in (base, f"{base} end", f"start {base}")))
+    found = jaccard_join.similar_documents(documents(list(texts.items()))).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components(texts)
+
+
 def test_one_of_each(documents, corpus):
     kept = sorted(r.doc_id for r in jaccard_join.one_of_each(documents(list(corpus.items()))).collect())
     assert kept == sorted(k for k, (_, low) in components(corpus).items() if k == low)
