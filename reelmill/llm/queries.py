@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import decontaminate, jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
+from reelmill.llm import decontaminate, divergence, jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,6 +141,50 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op12_source_divergence", r"""
+with docs as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+per_doc as (
+  select id, lang, source, term, count(*) as n from (select id, lang, source, unnest(terms) as term from docs) group by all),
+kept as (
+  select lang, term from per_doc group by all having count(*) >= 10),
+counts as (
+  select lang, source, term, sum(n)::hugeint as n from per_doc semi join kept using (lang, term) group by all),
+vocabulary as (
+  select lang, count(*) as v from kept group by all),
+sizes as (
+  select g.lang, g.source, coalesce(max(v), 0) as v, coalesce(sum(n), 0)::hugeint as total
+  from (select distinct lang, source from docs) g left join vocabulary using (lang) left join counts using (lang, source)
+  group by all),
+dense as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (s.total + 2 * s.v) as p
+  from sizes s join kept k using (lang) left join counts c using (lang, source, term)),
+overall as (
+  select d.lang, d.term, 1 + (1000000000::hugeint * (sum(d.n) + 2)) // (any_value(t.total) + 2 * any_value(t.v)) as q
+  from dense d join (select lang, sum(total) as total, max(v) as v from sizes group by lang) t using (lang) group by all),
+sums as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+  from dense a join dense b using (lang, term) where a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(s.value, 0)::bigint as value
+  from sizes a join sizes b on a.lang = b.lang and a.source <> b.source
+  left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (
+  select lang, source, term as item, ((p - q) * (p - q) // (p + q))::bigint as value
+  from dense join overall using (lang, term) where n > 0 and p > q)
+select lang, source, 'pair' as part, item, value,
+       row_number() over (partition by lang, source order by value desc, item)::int as rank from pairs
+union all
+select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item)::int as place
+from terms qualify place <= 10""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, folder, "documents"))
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
