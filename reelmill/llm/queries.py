@@ -8,7 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import decontaminate, divergence, jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
+from reelmill.llm import (decontaminate, divergence, jaccard_join, lang_id, lines, mixing, neighbours, periodic, pii, secrets,
+                          substring, token_store)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -141,6 +142,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@_query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.find_runs(_table(spark, folder, "documents")).drop("runs")
+
+
 @_query("op12_source_divergence", r"""
 with docs as (
   select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
+from fractions import Fraction
 
 KIND_PATTERNS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -120,3 +122,42 @@ def edit_distance_inside(pattern: str, text: str) -> int:
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def planted_words(doc_id, found: list[str]) -> list[str]:
+    n = len(found)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return found
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [found[i if i < a else a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(found: list[str]) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all maximal stretches of six or more words and four or more periods."""
+    n, out = len(found), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and found[j] == found[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(6, 4 * q):
+                smaller = any(q % d == 0 and all(found[k] == found[k + d] for k in range(i, i + length - d)) for d in range(1, q))
+                if not smaller:
+                    out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def periodic_row(doc_id, text: str | None) -> tuple:
+    found = planted_words(doc_id, words(text))
+    runs = periodic_runs(found)
+    gone = {k for a, length, q in runs for k in range(a + q, a + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    most = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    return (doc_id, len(runs), *most, sha("".join(f"{a},{n},{q}\n" for a, n, q in runs)),
+            sha(" ".join(w for k, w in enumerate(found) if k not in gone)))
