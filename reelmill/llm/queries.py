@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelmill.llm import (decontaminate, divergence, jaccard_join, lang_id, lines, mixing, neighbours, periodic, pii, secrets,
-                          substring, token_store)
+from reelmill.llm import (decontaminate, divergence, jaccard_join, lang_id, lines, mixing, neighbours, periodic, pii, quality,
+                          secrets, substring, token_store)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,6 +191,15 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit_sources(_table(spark, folder, "documents"))
 
 
+@_query("op13_quality")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = quality.score(docs, quality.fit(docs, quality.learnable(_table(spark, folder, "labels"))))
+    held_out = F.coalesce(lang_id.remainder(F.col("doc_id"), quality.FOLDS) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
