@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +38,6 @@ def static_messages(spark: SparkSession, folder: str) -> DataFrame:
     return messages(table(spark, folder, "events"))
 
 
-@contextmanager
-def few_state_partitions(spark: SparkSession):
-    """A stream keeps one state store per shuffle partition; on one machine a few are enough."""
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def streamed_events(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "events").schema
     # A file source lists a glob; this one matches the events file alone.
@@ -138,10 +124,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "stream")
     twice = streamed_events(spark, folder).unionByName(streamed_events(spark, folder))
-    timed = twice.withColumn("ts", F.col("ts").cast("timestamp"))
-    once = E.dedupe_events(timed, "event_id", "ts", "40 days")
-    with few_state_partitions(spark):
-        E.run_to_end([E.append_events(once, f"{path}/out", f"{path}/checkpoint", ts="ts")])
+    E.run_to_end([E.append_events(twice, f"{path}/out", f"{path}/checkpoint", ts="ts", unique="event_id")])
     return spark.read.parquet(f"{path}/out").select("event_id", "user_id", "event_type")
 
 
@@ -154,8 +137,7 @@ UNION ALL SELECT 'missing content_id', NULL, NULL, count(*) FROM events WHERE ev
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
     paths = E.IngestPaths(fresh_path(spark, "ingest"))
-    with few_state_partitions(spark):
-        E.run_to_end(E.event_ingest(messages(streamed_events(spark, folder)), paths, dedupe_delay="40 days"))
+    E.run_to_end(E.event_ingest(messages(streamed_events(spark, folder)), paths, dedupe_days=7))
     stored = spark.read.parquet(paths.events).groupBy("event_date", "event_type").agg(F.count("*").alias("n"))
     dead = spark.read.parquet(paths.dead).groupBy("reason").agg(F.count("*").alias("n"))
     kept = as_text(stored.select(F.lit("stored").alias("outcome"), "event_date", "event_type", "n"), "event_date")

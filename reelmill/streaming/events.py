@@ -1,19 +1,23 @@
 """Viewing events: read, parse, check, de-duplicate, append by day.
 
-All steps but reading and appending work on streams and on static frames alike.
+Reading gives a stream. Parsing and checking work on streams and on static frames alike. Appending runs once for each micro-batch:
+the batch is laid out by day and user, its ids are looked up in the table's days around it, and it is written under its
+batch number, so that a batch that is run again replaces its own rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelmill.functions.columns import all_of
-from reelmill.schemas import EVENT, EVENT_REQUIRED
+from reelmill.schemas import EVENT, EVENT_CLUSTER, EVENT_REQUIRED
+from reelmill.sources.sinks import BATCH
 
 _CORRUPT, _MESSAGE, _REASON = "_corrupt_record", "_message", "_reason"
 
@@ -40,6 +44,16 @@ def parse_events(
     A message is dead if its bytes are no UTF-8, it is no JSON object, a field has the wrong type, or it
     has no id. Unknown fields are left out. Dead letters keep the message and say why.
     """
+    checked = _checked(messages, schema, value, id_field)
+    good = checked.filter(F.col(_REASON).isNull()).select(*schema.names)
+    dead = checked.filter(F.col(_REASON).isNotNull()).select(
+        F.col(_MESSAGE).alias("message"), F.col(_REASON).alias("reason")
+    )
+    return good, dead
+
+
+def _checked(messages: DataFrame, schema: T.StructType, value: str, id_field: str) -> DataFrame:
+    """Each message with its parsed fields and, if it is dead, the reason."""
     widened = T.StructType([*schema, T.StructField(_CORRUPT, T.StringType())])
     message = messages.select(F.col(value).alias(_MESSAGE))
     text = F.col(_MESSAGE).cast("string")
@@ -52,24 +66,22 @@ def parse_events(
         .when(~F.ltrim(text).startswith("{") | F.col(_CORRUPT).isNotNull(), "malformed")
         .when(F.col(id_field).isNull(), f"no {id_field}")
     )
-    checked = message.select(_MESSAGE, parsed).withColumn(_REASON, reason)
-    good = checked.filter(F.col(_REASON).isNull()).select(*schema.names)
-    dead = checked.filter(F.col(_REASON).isNotNull()).select(
-        F.col(_MESSAGE).alias("message"), F.col(_REASON).alias("reason")
-    )
-    return good, dead
+    return message.select(_MESSAGE, parsed).withColumn(_REASON, reason)
 
 
 def enforce_required(events: DataFrame, required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Events with all required fields, and the others with the names of what is missing."""
     required = required or EVENT_REQUIRED
     complete = all_of([F.col(name).isNotNull() for name in required])
-    missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), name) for name in required])
     good = events.filter(complete)
-    dead = events.filter(~complete).withColumn("reason", F.concat(F.lit("missing "), missing))
+    dead = events.filter(~complete).withColumn("reason", _missing(required))
     return good, dead
 
 
+def _missing(required: list[str]) -> Column:
+    return F.concat(F.lit("missing "), F.concat_ws(",", *[F.when(F.col(name).isNull(), name) for name in required]))
+
+
 def flatten_event(events: DataFrame) -> DataFrame:
     """Nested fields as flat columns, ``device.type`` as ``device_type``."""
     flat = []
@@ -81,31 +93,101 @@ def flatten_event(events: DataFrame) -> DataFrame:
     return events.select(*flat)
 
 
-def dedupe_events(events: DataFrame, id_field: str, ts: str, delay: str) -> DataFrame:
-    """Each id once. On a stream, ids are remembered for ``delay`` of event time, which bounds the state;
-    a copy later than that is no longer recognised, and events behind the watermark are dropped."""
-    if not events.isStreaming:
-        return events.dropDuplicates([id_field])
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([id_field])
+def dedupe_events(events: DataFrame, id_field: str, ts: str) -> DataFrame:
+    """Each id once: its earliest event, of several at that time the one with the smallest hash. For static frames; streams are
+    de-duplicated batch by batch as they are appended (``append_events(unique=...)``)."""
+    if events.isStreaming:
+        raise ValueError("de-duplicate a stream with append_events(unique=...)")
+    named = events.filter(F.col(id_field).isNotNull())
+    place = F.struct(F.col(ts).isNull(), F.col(ts), F.xxhash64(*[F.col(f"`{name}`") for name in events.columns]))
+    first = named.groupBy(F.col(id_field).alias("_id")).agg(F.min_by(F.struct("*"), place).alias("_row")).select("_row.*")
+    return first.unionByName(events.filter(F.col(id_field).isNull()))
 
 
-def append_events(
-    events: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", trigger: dict | None = None
-) -> StreamingQuery:
-    """Append to the table, partitioned by day. No shuffle; the file log of the sink together with the
-    checkpoint makes a restart add nothing twice. Readers trust that log, so a folder is fed either by
-    streams or by ``write_event_table``, not by both."""
+def drop_known(events: DataFrame, known: DataFrame, id_field: str, days: int) -> DataFrame:
+    """Events (with ``event_date``) whose id is not among the known ones (``id_field``, ``event_date``) within so many days.
+
+    The ids of a batch are few against the known ones, so the known ones are searched for them, and only what is found meets
+    the events again.
+    """
+    asked = events.select(F.col(id_field).alias("_id"), F.col("event_date").alias("_day"))
+    near = F.abs(F.date_diff(F.col("event_date"), F.col("_day"))) <= days
+    found = known.join(asked, (F.col(id_field) == F.col("_id")) & near, "left_semi").select(F.col(id_field).alias("_id")).distinct()
+    return events.join(found, F.col(id_field) == F.col("_id"), "left_anti")
+
+
+# Rows of a micro-batch that one task lays out and writes.
+TASK_ROWS = 1_000_000
+
+
+def _write_batch(rows: DataFrame, path: str, batch: int, count: int, by: list[str], order: list[str]) -> None:
+    """Write a micro-batch of about ``count`` rows under its number, in ranges of ``order``. If it was written before, its rows
+    are replaced."""
+    laid = rows.withColumn(BATCH, F.lit(batch).cast("long"))
+    if order:
+        laid = laid.repartitionByRange(-(-count // TASK_ROWS) or 1, *order).sortWithinPartitions(*order)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path)
+
+
+def _store(events: DataFrame, path: str, batch: int, count: int, ts: str, cluster: list[str], unique: str | None, days: int) -> None:
+    """Write the events of a micro-batch by day, without those whose id the table has."""
+    spark = events.sparkSession
     dated = events.withColumn("event_date", F.to_date(ts))
+    if unique:
+        dated = dedupe_events(dated, unique, ts)
+        around = [row[0] for row in dated.select("event_date").distinct().collect() if row[0] is not None]  # days, not rows
+        if around and _exists(spark, path):
+            kinds = {unique: dated.schema[unique].dataType, "event_date": T.DateType(), BATCH: T.LongType()}
+            stored = spark.read.schema(T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])).parquet(path)
+            # Days that may hold a copy; the batch's own rows, if it is run again, are no copies.
+            wanted = F.array_contains(F.lit(sorted(_with_neighbours(around, days))), F.date_diff("event_date", F.lit("1970-01-01").cast("date")))
+            dated = drop_known(dated, stored.where(wanted & (F.col(BATCH) != batch)), unique, days)
+    order = ["event_date", *[c for c in cluster if c in events.columns], ts]
+    _write_batch(dated, path, batch, count, ["event_date"], order)
+
+
+def _with_neighbours(days: list, reach: int) -> set[int]:
+    """Day numbers since 1970 of dates and of the days around them."""
+    return {number + k for number in ((d.toordinal() - 719163) for d in days) for k in range(-reach, reach + 1)}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _each_batch(frame: DataFrame, checkpoint: str, trigger: dict | None, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
-        dated.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("event_date")
+        frame.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start(path)
+        .start()
     )
 
 
+def append_events(
+    events: DataFrame, path: str, checkpoint: str, ts: str = "timestamp", trigger: dict | None = None,
+    cluster: list[str] | None = None, unique: str | None = None, days: int = 7,
+) -> StreamingQuery:
+    """Append to the table by day, each micro-batch in ranges of day, cluster columns and time.
+
+    With ``unique`` an event is left out if the table, or the batch, has its id within ``days`` days of its own day. However late
+    an event is, it is looked up in its own days and stored: nothing is dropped for its age, and nothing is kept in memory
+    between batches. A batch is written under its number, so running it again after a failure adds nothing twice;
+    ``compact_days`` joins the batches of a day.
+    """
+    order = EVENT_CLUSTER if cluster is None else cluster
+
+    def handle(batch: DataFrame, number: int) -> None:
+        rows = batch.persist()  # read once for its size, the ranges and the write; a lost block is read again
+        try:
+            _store(rows, path, number, rows.count(), ts, order, unique, days)
+        finally:
+            rows.unpersist()
+
+    return _each_batch(events, checkpoint, trigger, handle)
+
+
 @dataclass
 class IngestPaths:
     """Where an ingest writes, all below one folder that every executor can reach."""
@@ -131,27 +213,36 @@ def event_ingest(
     required: list[str] | None = None,
     ts: str = "timestamp",
     id_field: str = "event_id",
-    dedupe_delay: str | None = None,
+    dedupe_days: int | None = None,
     trigger: dict | None = None,
+    cluster: list[str] | None = None,
 ) -> list[StreamingQuery]:
-    """Messages to the event table and a dead-letter folder, as two streaming queries."""
-    parsed, unreadable = parse_events(messages, schema, id_field=id_field)
-    complete, incomplete = enforce_required(parsed, required)
-    if dedupe_delay:
-        complete = dedupe_events(complete, id_field, ts, dedupe_delay)
-    rejected = incomplete.select(
-        F.to_json(F.struct(*schema.names)).cast("binary").alias("message"), "reason"
-    )
-    dead = unreadable.withColumn("message", F.col("message").cast("binary")).unionByName(rejected)
-    good_query = append_events(complete, paths.events, paths.checkpoint("events"), ts, trigger)
-    dead_query = (
-        dead.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", paths.checkpoint("dead_letters"))
-        .trigger(**(trigger or {"availableNow": True}))
-        .start(paths.dead)
-    )
-    return [good_query, dead_query]
+    """Messages to the event table and a dead-letter folder, as one streaming query that reads and parses each message once.
+
+    ``dedupe_days`` leaves out events whose id is known within so many days of their own; late events are stored like others.
+    Dead letters are written before events, both under the batch's number.
+    """
+    order = EVENT_CLUSTER if cluster is None else cluster
+    required = required or EVENT_REQUIRED
+    missing = F.when(~all_of([F.col(name).isNotNull() for name in required]), _missing(required))
+
+    def handle(batch: DataFrame, number: int) -> None:
+        checked = _checked(batch, schema, "value", id_field).withColumn(_REASON, F.coalesce(_REASON, missing))
+        # The message is only needed where it is dead.
+        rows = checked.withColumn(_MESSAGE, F.when(F.col(_REASON).isNotNull(), F.col(_MESSAGE).cast("binary"))).persist()
+        try:
+            counts = rows.agg(F.count(_REASON), F.count("*")).first()
+            if counts[0]:
+                dead = rows.filter(F.col(_REASON).isNotNull()).select(F.col(_MESSAGE).alias("message"), F.col(_REASON).alias("reason"))
+                _write_batch(dead, paths.dead, number, counts[0], [], ["reason", "message"])
+            if counts[1] > counts[0]:
+                good = rows.filter(F.col(_REASON).isNull()).select(*schema.names)
+                _store(good, paths.events, number, counts[1] - counts[0], ts, order, id_field if dedupe_days is not None else None,
+                       dedupe_days or 0)
+        finally:
+            rows.unpersist()
+
+    return [_each_batch(messages, paths.checkpoint("ingest"), trigger, handle)]
 
 
 def run_to_end(queries: list[StreamingQuery]) -> None:

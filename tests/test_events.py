@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from reelmill.sources import sinks
 from reelmill.streaming import events as E
 
 FULL = {
@@ -70,7 +71,7 @@ def test_ingest_restart_and_late_copy(spark, tmp_path):
 
     def run():
         stream = E.read_event_stream(spark, "text", path=str(source))
-        E.run_to_end(E.event_ingest(stream, paths, dedupe_delay="7 days"))
+        E.run_to_end(E.event_ingest(stream, paths, dedupe_days=7))
         stored = sorted((r.event_id, str(r.event_date)) for r in spark.read.parquet(paths.events).collect())
         return stored, sorted(r.reason for r in spark.read.parquet(paths.dead).collect())
 
@@ -82,6 +83,82 @@ def test_ingest_restart_and_late_copy(spark, tmp_path):
     assert run() == ([("e1", "2023-03-05"), ("e2", "2023-03-06")], first[1])
 
 
+def _feed(spark, tmp_path, paths, name, *events):
+    source = tmp_path / "in"
+    source.mkdir(exist_ok=True)
+    (source / name).write_text("\n".join(json.dumps(e) for e in events))
+    stream = E.read_event_stream(spark, "text", path=str(source))
+    E.run_to_end(E.event_ingest(stream, paths, dedupe_days=7))
+    return sorted((r.event_id, str(r.event_date), r.batch_id) for r in spark.read.parquet(paths.events).collect())
+
+
+def test_late_events_are_stored_and_their_copies_found(spark, tmp_path):
+    paths = E.IngestPaths(f"{tmp_path}/out")
+    old = {**MINIMAL, "event_id": "old", "timestamp": "2019-01-02T03:04:05Z"}
+    first = _feed(spark, tmp_path, paths, "1.txt", FULL, MINIMAL)
+    assert first == [("e1", "2023-03-05", 0), ("e2", "2023-03-06", 0)]
+    # years behind everything seen so far, and a copy of it within the batch
+    second = _feed(spark, tmp_path, paths, "2.txt", old, old)
+    assert second == [*first, ("old", "2019-01-02", 1)]
+    # a later batch knows both the late event and, a day off, one of the first batch
+    shifted = {**FULL, "timestamp": "2023-03-07T00:00:00Z"}
+    assert _feed(spark, tmp_path, paths, "3.txt", old, shifted) == second
+    # beyond the days that are looked up, an id is new
+    assert len(_feed(spark, tmp_path, paths, "4.txt", {**FULL, "timestamp": "2023-03-20T00:00:00Z"})) == 4
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    good, _ = E.parse_events(messages(spark, json.dumps(FULL), json.dumps(MINIMAL)))
+    for _ in range(2):
+        E._store(good, path, 4, 2, "timestamp", ["user_id"], "event_id", 7)
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["e1", "e2"]
+    E._store(good, path, 5, 2, "timestamp", ["user_id"], "event_id", 7)
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == ["e1", "e2"]
+
+
+def test_days_are_compacted(spark, tmp_path):
+    paths = E.IngestPaths(f"{tmp_path}/out")
+    for k in range(4):
+        some = [{**MINIMAL, "event_id": f"{k}-{i}", "user_id": f"u{i % 3}", "timestamp": f"2023-03-{5 + i % 2:02}T01:00:0{i}Z"} for i in range(6)]
+        before = _feed(spark, tmp_path, paths, f"{k}.txt", *some)
+    assert len(before) == 24
+    assert sinks.compact_days(spark, paths.events) == 2
+    table = spark.read.parquet(paths.events)
+    assert sorted(r.event_id for r in table.collect()) == sorted(e for e, _, _ in before)
+    # the last batch stays under its number, the others are one, in order
+    assert {(str(r.event_date), r.batch_id) for r in table.collect()} == {(d, b) for d in ("2023-03-05", "2023-03-06") for b in (-1, 3)}
+    joined = table.where("batch_id = -1")
+    assert len(joined.inputFiles()) <= 4
+    for file in {f for f in joined.inputFiles() if "batch_id=-1" in f}:
+        rows = [(r.user_id, r.content_id, r.event_type, r.timestamp) for r in spark.read.parquet(file).collect()]
+        assert rows == sorted(rows)
+    assert sinks.compact_days(spark, paths.events) == 0
+    again = [{**MINIMAL, "event_id": "0-1", "user_id": "u1", "timestamp": "2023-03-06T01:00:01Z"}]
+    assert len(_feed(spark, tmp_path, paths, "again.txt", *again)) == 24
+
+
+def test_an_interrupted_compaction_is_completed(spark, tmp_path, monkeypatch):
+    paths = E.IngestPaths(f"{tmp_path}/out")
+    for k in range(3):
+        before = _feed(spark, tmp_path, paths, f"{k}.txt", {**MINIMAL, "event_id": str(k)}, {**FULL, "event_id": f"f{k}"})
+    with monkeypatch.context() as m:
+        calls = []
+
+        def stop_at_plan(session, path):
+            calls.append(path)
+            if len(calls) == 2:
+                raise RuntimeError("lost")
+
+        m.setattr(sinks, "_exchange", stop_at_plan)
+        with pytest.raises(RuntimeError):
+            sinks.compact_days(spark, paths.events)
+    assert len(spark.read.parquet(paths.events).collect()) == len(before)
+    assert sinks.compact_days(spark, paths.events) == 0  # completes the stored plan
+    rows = spark.read.parquet(paths.events).collect()
+    assert sorted(r.event_id for r in rows) == sorted(e for e, _, _ in before) and {r.batch_id for r in rows} == {-1, 2}
+
+
 def test_static_frames_give_the_same_as_streams(spark):
     parsed, _ = E.parse_events(messages(spark, json.dumps(FULL), json.dumps(FULL), json.dumps(MINIMAL)))
-    assert E.dedupe_events(parsed, "event_id", "timestamp", "1 day").count() == 2
+    assert E.dedupe_events(parsed, "event_id", "timestamp").count() == 2
