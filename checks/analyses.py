@@ -15,6 +15,7 @@ from reelmill.plans import genres as G
 from reelmill.plans import ratings as A
 from reelmill.plans import runtimes as R
 from reelmill.plans import talent as P
+from reelmill.plans.outputs import Outputs
 from reelmill.plans.views import content_performance, data_quality_report
 
 # ---- views
@@ -53,7 +54,7 @@ SELECT adult_label, count("averageRating") AS count, round(avg("averageRating"),
        min("averageRating") AS min, max("averageRating") AS max FROM ({K.RATED}) GROUP BY adult_label
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(grouped_summary(rated(spark, folder), ["adult_label"], "averageRating"))
+    return settle(A.adult_vs_rating(rated(spark, folder))["summary"])
 
 
 @query("adult_vs_rating_shares", f"""
@@ -61,7 +62,7 @@ SELECT adult_label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (
 FROM ({K.RATED}) GROUP BY adult_label
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(distribution_share(rated(spark, folder), "adult_label"))
+    return settle(A.adult_vs_rating(rated(spark, folder))["shares"])
 
 
 @query("adult_vs_rating_means", f"""
@@ -69,7 +70,7 @@ SELECT adult_label, round(avg("averageRating"), 4) AS mean, round(stddev_samp("a
 FROM ({K.RATED}) GROUP BY adult_label
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(grouped_mean_std(rated(spark, folder), ["adult_label"], "averageRating"))
+    return settle(A.adult_vs_rating(rated(spark, folder))["means"])
 
 
 def histogram_sql(rows: str, by: str, value: str, bins: int) -> str:
@@ -85,7 +86,7 @@ def histogram_sql(rows: str, by: str, value: str, bins: int) -> str:
 
 @query("adult_vs_rating_histogram", histogram_sql(K.RATED, "adult_label", '"averageRating"', 30))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(histogram(rated(spark, folder), "averageRating", A.RATING_BINS, ["adult_label"]))
+    return settle(A.adult_vs_rating(rated(spark, folder))["histogram"])
 
 
 def box_sql(rows: str, by: str, value: str, keep: str = "true") -> str:
@@ -104,12 +105,12 @@ def box_sql(rows: str, by: str, value: str, keep: str = "true") -> str:
 
 @query("adult_vs_rating_boxes", box_sql(K.RATED, "adult_label", '"averageRating"'))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(order_values(rated(spark, folder), ["adult_label"], ["averageRating"]).box())
+    return settle(A.adult_vs_rating(rated(spark, folder))["boxes"])
 
 
 @query("adult_vs_rating_t_test", T_TEST.format(rows=K.RATED, group='"isAdult"', value='"averageRating"', a=0, b=1))
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle_t(two_sample_t(rated(spark, folder), "isAdult", "averageRating", 0, 1))
+    return settle_t(A.adult_vs_rating(rated(spark, folder))["t_test"])
 
 
 # ---- one class alone
@@ -130,7 +131,7 @@ SELECT rating_range, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER
   FROM ({ONE_CLASS})) WHERE rating_range IS NOT NULL GROUP BY rating_range
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(A.rating_ranges(one_class(spark, folder)))
+    return settle(A.single_class_profile(one_class(spark, folder))["ranges"])
 
 
 @query("single_class_high_low", f"""
@@ -140,7 +141,7 @@ SELECT count(*) AS total, count(*) FILTER (WHERE "averageRating" >= 7) AS high,
        round(count(*) FILTER (WHERE "averageRating" < 5) * 100.0 / count(*), 4) AS low_pct FROM ({ONE_CLASS})
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(A.high_low_shares(one_class(spark, folder)))
+    return settle(A.single_class_profile(one_class(spark, folder))["high_low"])
 
 
 @query("single_class_description", f"""
@@ -150,7 +151,7 @@ SELECT count("averageRating") AS count, round(avg("averageRating"), 4) AS mean,
        round(quantile_cont("averageRating", 0.75), 4) AS q3, max("averageRating") AS max FROM ({ONE_CLASS})
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(describe_column(one_class(spark, folder), "averageRating"))
+    return settle(A.single_class_profile(one_class(spark, folder))["description"])
 
 
 @query("single_class_ecdf", f"""
@@ -158,7 +159,7 @@ SELECT DISTINCT "averageRating", count(*) OVER (PARTITION BY "averageRating") AS
        round(cume_dist() OVER (ORDER BY "averageRating"), 6) AS share FROM ({ONE_CLASS})
 """)
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(ecdf(one_class(spark, folder), "averageRating"), 6)
+    return settle(A.single_class_profile(one_class(spark, folder))["ecdf"], 6)
 
 
 # ---- genres against the adult flag
@@ -315,7 +316,7 @@ SHOWN_STATS = ", ".join(f'round("{name}", 4) AS "{name}"' for name in DOUBLE_STA
 SHOWN = f'genre, "averageRating_count", {SHOWN_STATS}'
 
 
-def genre_ratings(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def genre_ratings(spark: SparkSession, folder: str) -> Outputs:
     return G.genre_rating_votes(K.titles(spark, folder), K.ratings(spark, folder))
 
 

@@ -6,6 +6,8 @@ same checks from the tables themselves.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,14 +136,17 @@ SELECT CAST(l_orderkey AS VARCHAR) AS tconst, l_quantity / 4 AS "averageRating",
 """
 
 
-@query("curate_title_ratings", checks_sql("title_ratings", TITLE_RATINGS, rules={
-    "rating_out_of_range": '"averageRating" < 0 OR "averageRating" > 10', "negative_votes": '"numVotes" < 0'}))
-def _(spark: SparkSession, folder: str) -> DataFrame:
-    raw = table(spark, folder, "lineitem", "l_orderkey", "l_quantity", "l_linenumber").select(
+def raw_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem", "l_orderkey", "l_quantity", "l_linenumber").select(
         F.col("l_orderkey").alias("tconst"), (F.col("l_quantity") / 4).alias("averageRating"),
         (F.col("l_linenumber") - 2).alias("numVotes"),
     )
-    return report(curated(raw, "title_ratings"))
+
+
+@query("curate_title_ratings", checks_sql("title_ratings", TITLE_RATINGS, rules={
+    "rating_out_of_range": '"averageRating" < 0 OR "averageRating" > 10', "negative_votes": '"numVotes" < 0'}))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return report(curated(raw_ratings(spark, folder), "title_ratings"))
 
 
 # ---- crew from line items
@@ -183,16 +188,19 @@ SELECT l_orderkey || '_' || l_linenumber AS tconst, CAST(l_orderkey AS VARCHAR)
 """
 
 
-@query("curate_title_episode", checks_sql("title_episode", EPISODE, rules={
-    "negative_season": '"seasonNumber" < 0', "negative_episode": '"episodeNumber" < 0'}))
-def _(spark: SparkSession, folder: str) -> DataFrame:
-    raw = table(spark, folder, "lineitem").select(
+def raw_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
         F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("tconst"),
         F.col("l_orderkey").alias("parentTconst"),
         F.when(F.col("l_returnflag") != "N", (F.col("l_linenumber") - 2).cast("string")).otherwise("x").alias("seasonNumber"),
         (F.col("l_quantity") - 5).alias("episodeNumber"),
     )
-    return report(curated(raw, "title_episode"))
+
+
+@query("curate_title_episode", checks_sql("title_episode", EPISODE, rules={
+    "negative_season": '"seasonNumber" < 0', "negative_episode": '"episodeNumber" < 0'}))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    return report(curated(raw_episodes(spark, folder), "title_episode"))
 
 
 # ---- principals from events
@@ -309,3 +317,50 @@ SELECT nconst, array_to_string(list_sort(string_split("primaryProfession", ','))
 def _(spark: SparkSession, folder: str) -> DataFrame:
     arrays = curated(raw_names(spark, folder), "name_basics").with_arrays()
     return settle(arrays.select("nconst", "professions_array", "known_titles_array"))
+
+
+# ---- what publishing writes: each main table, child table and distribution, read back
+
+
+def published_sql(rows: str, children: dict[str, str] | None = None, distributions: dict[str, int | None] | None = None) -> str:
+    parts = ["SELECT 'main' AS part, count(*) AS n, CAST(NULL AS VARCHAR) AS counted FROM t"]
+    for suffix, column in (children or {}).items():
+        size = f"""CASE WHEN "{column}" <> '' THEN len(string_split("{column}", ',')) END"""
+        parts.append(f"SELECT '{suffix}', CAST(coalesce(sum({size}), 0) AS BIGINT), NULL FROM t")
+    for column, n in (distributions or {}).items():
+        cut = f"LIMIT {n}" if n else ""
+        parts.append(f"""SELECT 'by_{column}', count(*), CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) FROM (
+            SELECT "{column}", count(*) AS n FROM t GROUP BY 1 ORDER BY n DESC, "{column}" NULLS LAST {cut})""")
+    return f"WITH t AS ({rows}) " + " UNION ALL ".join(parts)
+
+
+def published_query(name: str, rows: str, raw, children: dict[str, str] | None = None) -> None:
+    distributions = C.DISTRIBUTIONS.get(name, {})
+
+    @query(f"curate_{name}_published", published_sql(rows, children, distributions))
+    def _(spark: SparkSession, folder: str) -> DataFrame:
+        target = fresh_path(spark, "published")
+        curated(raw(spark, folder), name).publish(target)
+        nothing = F.lit(None).cast("string").alias("counted")
+        tables = {"main": target, **{suffix: f"{target}_{suffix}" for suffix in children or {}}}
+        found = [spark.read.parquet(path).agg(F.lit(part).alias("part"), F.count("*").alias("n"), nothing) for part, path in tables.items()]
+        found += [spark.read.parquet(f"{target}_by_{col}").agg(
+            F.lit(f"by_{col}").alias("part"), F.count("*").alias("n"), F.sum("n").cast("string").alias("counted")) for col in distributions]
+        return reduce(DataFrame.unionByName, found)
+
+
+published_query("title_ratings", TITLE_RATINGS, raw_ratings)
+published_query("title_crew", CREW, raw_crew, {"directors": "directors", "writers": "writers"})
+published_query("title_episode", EPISODE, raw_episodes)
+published_query("title_principals", PRINCIPALS, raw_principals)
+published_query("title_akas", AKAS, raw_akas, {"types": "types", "attributes": "attributes"})
+published_query("name_basics", PEOPLE, raw_names, {"professions": "primaryProfession", "known_titles": "knownForTitles"})
+
+
+@query("curate_title_basics_checks", checks_sql(
+    "title_basics", BASICS, ["startYear", "endYear"], {
+        "future_start_year": '"startYear" > 2025', "future_end_year": '"endYear" > 2025', "negative_runtime": '"runtimeMinutes" < 0'},
+    {"genres": "genres"}))
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks without publishing."""
+    return as_text(curated(raw_basics(spark, folder), "title_basics").checks(), "value")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from checks.registry import as_text, query, table
 from reelmill.functions.columns import NULL_MARKER
-from reelmill.operators.chunks import assign_chunks, chunk_manifest, dataset_manifest
+from reelmill.operators.chunks import assign_chunks, chunk_manifest, dataset_manifest, total_manifest
 from reelmill.operators.lists import explode_list
 from reelmill.operators.profile import row_counts
 from reelmill.plans.audit import ingestion_audit
@@ -41,13 +41,14 @@ FROM part
 def write_dump(spark: SparkSession, folder: str, compression: str) -> str:
     """The part table as a delimited dump: unbalanced quotes, null markers and empty fields."""
     part = table(spark, folder, "part")
-    size = F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise(NULL_MARKER)
+    size = F.when(F.col("p_size") > 25, F.col("p_size").cast("string"))
     brand = F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_brand"))
-    name = F.concat(F.lit('"'), "p_name")
-    lines = part.select(F.concat_ws("\t", F.col("p_partkey").cast("string"), name, size, brand).alias("value"))
+    rows = part.select(F.col("p_partkey").cast("string").alias("key"), F.concat(F.lit('"'), "p_name").alias("name"), size.alias("size"),
+                       brand.alias("brand"))
     path = fresh_path(spark, "dump")
-    header = spark.createDataFrame([("\t".join(DUMP_COLUMNS),)], "value string")
-    header.coalesce(1).unionByName(lines.repartition(1)).coalesce(1).write.text(path, compression=compression)
+    # Every task writes a file of its own, with a header.
+    rows.repartition("key").write.csv(path, sep="\t", header=True, nullValue=NULL_MARKER, emptyValue="", quote="", escape="\u0001",
+                                      compression=compression)
     return path
 
 
@@ -115,6 +116,24 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_manifest(assign_chunks(table(spark, folder, "orders"), ["o_orderkey"], 1000))
 
 
+@query("total_manifest", """
+WITH each AS (
+  SELECT 'orders' AS dataset, count(*) AS n, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS chunks FROM orders
+  UNION ALL SELECT 'lineitem', count(*), CAST(ceil(count(*) / 5000.0) AS BIGINT) FROM lineitem
+  UNION ALL SELECT 'nation', count(*), CAST(ceil(count(*) / 1000.0) AS BIGINT) FROM nation)
+SELECT dataset, n AS total_rows, chunks, n // chunks AS mean_rows FROM each
+UNION ALL SELECT 'total', CAST(sum(n) AS BIGINT), CAST(sum(chunks) AS BIGINT), CAST(sum(n) // sum(chunks) AS BIGINT) FROM each
+""")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    # Line items have no order of their own here, and many rows of it are equal in the two columns.
+    lines = table(spark, folder, "lineitem", "l_quantity", "l_linenumber")
+    return total_manifest({
+        "orders": assign_chunks(table(spark, folder, "orders"), ["o_orderkey"], 1000),
+        "lineitem": assign_chunks(lines, ["l_quantity"], 5000),
+        "nation": assign_chunks(table(spark, folder, "nation"), ["n_nationkey"], 1000),
+    })
+
+
 @query("dataset_manifest", """
 SELECT 'orders' AS dataset, count(*) AS total_rows, 6 AS columns,
        CAST(ceil(count(*) / 1000) AS BIGINT) AS chunks,

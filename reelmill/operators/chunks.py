@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,13 +18,12 @@ def number_rows(df: DataFrame, order_cols: list[str], out: str = "row_number") -
 
     Rows are range-partitioned and sorted within each range, numbered there, frozen in the shared
     folder (range bounds come from a sample), and shifted by the rows of the ranges ahead, which is one
-    small row per range. Ties are ordered by a hash of the whole row and then by where the row was
-    read, so that many copies of one row still spread over several ranges.
+    small row per range. Ties are ordered by a hash of the whole row, and copies of a row are counted and
+    numbered, so that many copies spread over several ranges and a task that runs again finds them as before.
     """
     names = df.columns
     order = [*order_cols, "_tie", "_copy"]
-    tied = df.withColumns({"_tie": F.xxhash64(*names), "_copy": F.monotonically_increasing_id()})
-    ranged = tied.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = _numbered_copies(df).repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(ranged.select(*names, F.monotonically_increasing_id().alias("_id")))
     placed = placed.withColumns({
         "_range": F.shiftright("_id", _PLACE_BITS),
@@ -35,6 +36,23 @@ def number_rows(df: DataFrame, order_cols: list[str], out: str = "row_number") -
     return numbered.select(*names, out)
 
 
+def _numbered_copies(df: DataFrame) -> DataFrame:
+    """Rows with ``_tie``, a hash of the row, and ``_copy``, a number from 0 for rows that are equal in all columns.
+
+    Hashes are counted first, eight bytes a row and combined before the shuffle. Only rows whose hash occurs again are grouped
+    as a whole, and each group is laid out again as often as it was found.
+    """
+    names = df.columns
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{name}`") for name in names]))
+    again = materialize(tied.groupBy("_tie").agg(F.count("*").alias("_n")).where("_n > 1").select("_tie"))
+    first = F.lit(0).cast("long")
+    if again.isEmpty():
+        return tied.withColumn("_copy", first)
+    counted = tied.join(again, "_tie", "left_semi").groupBy(*names, "_tie").agg(F.count("*").alias("_n"))
+    copies = counted.withColumn("_copy", F.explode(F.sequence(first, F.col("_n") - 1))).drop("_n")
+    return tied.join(again, "_tie", "left_anti").withColumn("_copy", first).unionByName(copies)
+
+
 def assign_chunks(df: DataFrame, order_cols: list[str], n: int) -> DataFrame:
     """Rows with ``row_number`` and ``chunk``; every chunk but the last has n rows."""
     chunk = F.floor((F.col("row_number") - 1) / n) + 1
@@ -50,6 +68,17 @@ def chunk_manifest(chunked: DataFrame) -> DataFrame:
     )
 
 
+def total_manifest(datasets: dict[str, DataFrame]) -> DataFrame:
+    """One row per dataset, by name, and a row ``total`` over all of them: rows, chunks and mean chunk size."""
+    each = [dataset_manifest(chunked, name).drop("columns") for name, chunked in datasets.items()]
+    rows = reduce(DataFrame.unionByName, each)
+    total = rows.agg(
+        F.lit("total").alias("dataset"), F.sum("total_rows").alias("total_rows"), F.sum("chunks").alias("chunks"),
+        F.floor(F.sum("total_rows") / F.sum("chunks")).alias("mean_rows"),
+    )
+    return rows.unionByName(total)
+
+
 def dataset_manifest(chunked: DataFrame, dataset: str) -> DataFrame:
     """One row per dataset: rows, columns, chunks, mean chunk size (whole rows)."""
     columns = len(chunked.columns) - 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reelmill.functions.columns import all_of, left_closed_bucket, percentage
 from reelmill.functions.student import p_value
-from reelmill.operators.ordered import STATS, order_values
+from reelmill.operators.ordered import STATS, OrderedValues, order_values
 from reelmill.session import materialize
 
 
@@ -24,8 +24,8 @@ def multi_summary(
 ) -> DataFrame:
     """Chosen statistics of several columns per group, named ``{col}_{stat}``.
 
-    All but medians come from one hash aggregate with a partial step, in the column's own type. Columns with a median
-    are counted by value besides; groups with a missing key are then left out.
+    All but medians come from one hash aggregate with a partial step, in the column's own type. Medians are selected exactly,
+    from a stored copy of the columns in question; groups with a missing key are then left out.
     """
     unknown = {s for stats in wanted.values() for s in stats} - set(STATS)
     if unknown:
@@ -37,10 +37,11 @@ def multi_summary(
         return rows.groupBy(*by).agg(*picks)
     # Without groups there is one row on either side.
     keys = by or ["_all"]
-    rows = rows if by else rows.withColumn("_all", F.lit(1))
-    middles = order_values(rows, keys, list(medians)).wide(medians)
-    if picks:
-        middles = (rows.groupBy(*keys).agg(*picks)).join(middles, keys, "left")
+    rows = (rows if by else rows.withColumn("_all", F.lit(1))).select(*keys, *[F.col(c) for c in wanted])
+    rows = materialize(rows)
+    numbers = rows.select(*keys, *[F.col(c).cast("double").alias(c) for c in medians])
+    found = OrderedValues(numbers, keys, list(medians)).wide({"median": 0.5})
+    middles = rows.groupBy(*keys).agg(*picks or [F.count("*")]).join(found, keys, "left")
     return middles.select(*by, *[f"{col}_{s}" for col, stats in wanted.items() for s in stats])
 
 
@@ -126,9 +127,8 @@ def split_totals(df: DataFrame, flags: dict[str, Column]) -> DataFrame:
 def thresholds(df: DataFrame, cols: list[str], how: str = "median") -> DataFrame:
     """One row with the median or the mean of each column."""
     if how == "median":
-        return order_values(df, [], cols).wide({c: ["median"] for c in cols}).withColumnsRenamed(
-            {f"{c}_median": c for c in cols}
-        )
+        middles = order_values(df, [], cols).wide({"median": 0.5})
+        return middles.agg(*[F.max(f"{c}_median").alias(c) for c in cols])
     if how == "mean":
         return df.agg(*[F.avg(c).alias(c) for c in cols])
     raise ValueError("how must be 'median' or 'mean'")

@@ -12,6 +12,7 @@ from reelmill.operators.lists import attach_list, explode_list
 from reelmill.operators.profile import distribution, duplicate_keys
 from reelmill.operators.shaping import cast_columns, strip_list_markup
 from reelmill.schemas import KEYS, RAW, TYPED, curated_schema
+from reelmill.session import materialize
 from reelmill.sources.readers import read_delimited
 from reelmill.sources.sinks import read_table, write_table_overwrite
 
@@ -86,18 +87,14 @@ class Curated:
         return found
 
     def checks(self) -> DataFrame:
-        """All checks as rows ``table_name, check_name, subject, value``."""
-        measures = self.measures()
-        plain = self.main.agg(*[value.alias(name) for name, value in measures.items()])
-        plain = plain.unpivot([], list(measures), "name", "value")
-        keys = duplicate_keys(self.main, KEYS[self.table]).select(
-            F.lit("duplicates|" + "+".join(KEYS[self.table])).alias("name"), F.col("duplicates").alias("value")
-        )
-        report = plain.unionByName(keys)
-        split = F.split("name", r"\|")
-        return report.select(
-            F.lit(self.table).alias("table_name"), split[0].alias("check_name"), split[1].alias("subject"), "value"
-        )
+        """All checks as rows ``table_name, check_name, subject, value``. The dump is parsed once: plain checks are
+        computed while the keys are stored, and duplicates come from the stored keys."""
+        measures, seen, keys = self.measures(), Observation(), KEYS[self.table]
+        stored = materialize(self.main.observe(seen, *[value.alias(name) for name, value in measures.items()]).select(*keys))
+        duplicates = duplicate_keys(stored, keys).first()["duplicates"]
+        found = {name: seen.get[name] for name in measures} | {"duplicates|" + "+".join(keys): duplicates}
+        rows = [(self.table, *name.split("|"), value) for name, value in found.items()]
+        return self.main.sparkSession.createDataFrame(rows, "table_name string, check_name string, subject string, value long")
 
     def distributions(self) -> dict[str, DataFrame]:
         wanted = DISTRIBUTIONS.get(self.table, {})

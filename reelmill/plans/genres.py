@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache, partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from reelmill.operators.summaries import (
     split_totals,
     spread_labels,
 )
+from reelmill.plans.outputs import Outputs
 from reelmill.session import materialize
 
 # How many genres are looked at, and what a genre or a title needs to count.
@@ -120,34 +123,33 @@ def genre_quadrants(stats: DataFrame) -> DataFrame:
     return quadrant_label(stats, "averageRating_mean", "numVotes_mean")
 
 
-def genre_rankings(stats: DataFrame) -> dict[str, DataFrame]:
-    """Short lists of genres by their statistics, and the genres that stand out."""
-    segments = segment_above_below(stats, "averageRating_mean", "numVotes_mean")
-    gems = segments.filter(F.col("segment") == "hidden_gem")
-    appeal = segments.filter(F.col("segment") == "mass_appeal")
-    labelled = spread_labels(stats, "averageRating_std", SPREAD_CUTS, SPREAD_LABELS, "consistency")
-    return {
-        "highest_rated": top_n(stats, "averageRating_mean", 3, tie=["genre"]),
-        "most_voted": top_n(stats, "numVotes_mean", 3, tie=["genre"]),
-        "most_consistent": top_n(stats, "averageRating_std", 3, desc=False, tie=["genre"]),
-        "quality_leaders": top_n(labelled, "averageRating_mean", 5, tie=["genre"]),
-        "popular": top_n(stats, "numVotes_mean", 5, tie=["genre"]),
-        "hidden_gems": top_n(gems, "averageRating_mean", 3, tie=["genre"]),
-        "mass_appeal": top_n(appeal, "numVotes_mean", 3, tie=["genre"]),
-        "consistency_champions": top_n(labelled, "averageRating_std", 5, desc=False, tie=["genre"]),
-    }
+# What ranks genres, per list: the statistic, how many, whether the largest come first, and the segment or labels it needs.
+RANKINGS = {
+    "highest_rated": ("averageRating_mean", 3, True, None),
+    "most_voted": ("numVotes_mean", 3, True, None),
+    "most_consistent": ("averageRating_std", 3, False, None),
+    "quality_leaders": ("averageRating_mean", 5, True, "labels"),
+    "popular": ("numVotes_mean", 5, True, None),
+    "hidden_gems": ("averageRating_mean", 3, True, "hidden_gem"),
+    "mass_appeal": ("numVotes_mean", 3, True, "mass_appeal"),
+    "consistency_champions": ("averageRating_std", 5, False, "labels"),
+}
+
+
+def genre_ranking(stats: DataFrame, name: str) -> DataFrame:
+    """A short list of genres by their statistics, or of the genres that stand out."""
+    statistic, n, largest, needs = RANKINGS[name]
+    if needs == "labels":
+        stats = spread_labels(stats, "averageRating_std", SPREAD_CUTS, SPREAD_LABELS, "consistency")
+    elif needs:
+        stats = segment_above_below(stats, "averageRating_mean", "numVotes_mean").filter(F.col("segment") == needs)
+    return top_n(stats, statistic, n, desc=largest, tie=["genre"])
 
 
-def genre_distributions(rows: DataFrame, stats: DataFrame, bins: int = 20) -> dict[str, DataFrame]:
-    """Histograms of the most frequent genres and a repeatable sample of titles for a scatter plot."""
+def genre_histogram(rows: DataFrame, stats: DataFrame, col: str, bins: int = 20) -> DataFrame:
+    """A histogram for each of the most frequent genres."""
     leading = top_n(stats, "averageRating_count", TOP_HISTOGRAMS, tie=["genre"]).select("genre")
-    shown = semi_in_set(rows, leading, ["genre"])
-    kept = semi_in_set(rows, stats.select("genre"), ["genre"])
-    return {
-        "ratings": histogram(shown, "averageRating", bins, ["genre"]),
-        "votes": histogram(shown, "log_numVotes", bins, ["genre"]),
-        "sample": sample_rows(kept, SCATTER_SIZE, SCATTER_SEED, ["tconst", "genre"]),
-    }
+    return histogram(semi_in_set(rows, leading, ["genre"]), col, bins, ["genre"])
 
 
 def rated_overall(titles: DataFrame, rows: DataFrame) -> DataFrame:
@@ -160,14 +162,27 @@ def rated_overall(titles: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def genre_rating_votes(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> dict[str, DataFrame]:
-    """Everything about genres, ratings and votes. The statistics, a row per leading genre, are stored once, and all
-    lists come from them."""
+def genre_rating_votes(basics: DataFrame, ratings: DataFrame, sep: str = ",") -> Outputs:
+    """Everything about genres, ratings and votes, each output when it is asked for. The statistics, a row per leading genre,
+    are stored once, and all lists come from them; the sample is one of titles for a scatter plot."""
     rows = rated_genre_rows(basics, ratings, sep)
-    stats = materialize(genre_rating_stats(rows))
-    return {
-        "overall": rated_overall(rated_titles(basics, ratings), rows), "stats": stats, "quadrants": genre_quadrants(stats),
-        **genre_rankings(stats), **genre_distributions(rows, stats),
-    }
+
+    @cache
+    def stats() -> DataFrame:
+        return materialize(genre_rating_stats(rows))
+
+    def sample() -> DataFrame:
+        kept = semi_in_set(rows, stats().select("genre"), ["genre"])
+        return sample_rows(kept, SCATTER_SIZE, SCATTER_SEED, ["tconst", "genre"])
+
+    return Outputs({
+        "overall": lambda: rated_overall(rated_titles(basics, ratings), rows),
+        "stats": stats,
+        "quadrants": lambda: genre_quadrants(stats()),
+        **{name: partial(lambda which: genre_ranking(stats(), which), name) for name in RANKINGS},
+        "ratings": lambda: genre_histogram(rows, stats(), "averageRating"),
+        "votes": lambda: genre_histogram(rows, stats(), "log_numVotes"),
+        "sample": sample,
+    })
 
 

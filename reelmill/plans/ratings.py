@@ -17,6 +17,7 @@ from reelmill.operators.summaries import (
     split_totals,
     two_sample_t,
 )
+from reelmill.plans.outputs import Outputs
 
 # Labels of the adult flag, rating ranges, and the bounds of high and low ratings.
 ADULT_LABELS = {0: "Non-Adult", 1: "Adult"}
@@ -33,17 +34,17 @@ def rated_titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:
     return joined.withColumn("adult_label", labelled(F.col("isAdult"), ADULT_LABELS))
 
 
-def adult_vs_rating(rated: DataFrame) -> dict[str, DataFrame]:
+def adult_vs_rating(rated: DataFrame) -> Outputs:
     """Summary, shares, means, histograms and quartiles per class, and a t-test between the classes."""
     by = ["adult_label"]
-    return {
-        "summary": grouped_summary(rated, by, "averageRating"),
-        "shares": distribution_share(rated, "adult_label"),
-        "means": grouped_mean_std(rated, by, "averageRating"),
-        "histogram": histogram(rated, "averageRating", RATING_BINS, by),
-        "boxes": order_values(rated, by, ["averageRating"]).box(),
-        "t_test": two_sample_t(rated, "isAdult", "averageRating", 0, 1),
-    }
+    return Outputs({
+        "summary": lambda: grouped_summary(rated, by, "averageRating"),
+        "shares": lambda: distribution_share(rated, "adult_label"),
+        "means": lambda: grouped_mean_std(rated, by, "averageRating"),
+        "histogram": lambda: histogram(rated, "averageRating", RATING_BINS, by),
+        "boxes": lambda: order_values(rated, by, ["averageRating"]).box(),
+        "t_test": lambda: two_sample_t(rated, "isAdult", "averageRating", 0, 1),
+    })
 
 
 def rating_ranges(rated: DataFrame) -> DataFrame:
@@ -59,14 +60,13 @@ def high_low_shares(rated: DataFrame) -> DataFrame:
     return split_totals(rated, {"high": rating >= HIGH_RATING, "low": rating < LOW_RATING})
 
 
-def single_class_profile(rated: DataFrame) -> dict[str, DataFrame]:
+def single_class_profile(rated: DataFrame) -> Outputs:
     """The ratings of titles that are all of one class."""
-    whole = rated.withColumn("_all", F.lit("all"))
-    return {
-        "histogram": histogram(rated, "averageRating", RATING_BINS),
-        "boxes": order_values(whole, ["_all"], ["averageRating"]).box().drop("_all"),
-        "ranges": rating_ranges(rated),
-        "ecdf": ecdf(rated, "averageRating"),
-        "description": describe_column(rated, "averageRating"),
-        "high_low": high_low_shares(rated),
-    }
+    return Outputs({
+        "histogram": lambda: histogram(rated, "averageRating", RATING_BINS),
+        "boxes": lambda: order_values(rated, [], ["averageRating"]).box().drop("_all"),
+        "ranges": lambda: rating_ranges(rated),
+        "ecdf": lambda: ecdf(rated, "averageRating"),
+        "description": lambda: describe_column(rated, "averageRating"),
+        "high_low": lambda: high_low_shares(rated),
+    })

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -94,14 +94,15 @@ def flatten_event(events: DataFrame) -> DataFrame:
 
 
 def dedupe_events(events: DataFrame, id_field: str, ts: str) -> DataFrame:
-    """Each id once: its earliest event, of several at that time the one with the smallest hash. For static frames; streams are
+    """Each id once: its earliest event, of several at that time the one with the smallest hash. Events without an id stay. For static frames; streams are
     de-duplicated batch by batch as they are appended (``append_events(unique=...)``)."""
     if events.isStreaming:
         raise ValueError("de-duplicate a stream with append_events(unique=...)")
-    named = events.filter(F.col(id_field).isNotNull())
-    place = F.struct(F.col(ts).isNull(), F.col(ts), F.xxhash64(*[F.col(f"`{name}`") for name in events.columns]))
-    first = named.groupBy(F.col(id_field).alias("_id")).agg(F.min_by(F.struct("*"), place).alias("_row")).select("_row.*")
-    return first.unionByName(events.filter(F.col(id_field).isNull()))
+    own = [F.col(f"`{name}`") for name in events.columns]
+    place = Window.partitionBy(id_field).orderBy(F.col(ts).asc_nulls_last(), F.xxhash64(*own))
+    # Tasks keep one event of an id before the shuffle, so an id with many copies is no large group.
+    named = events.filter(F.col(id_field).isNotNull()).withColumn("_place", F.row_number().over(place)).filter("_place = 1").drop("_place")
+    return named.unionByName(events.filter(F.col(id_field).isNull()))
 
 
 def drop_known(events: DataFrame, known: DataFrame, id_field: str, days: int) -> DataFrame:
@@ -133,17 +134,23 @@ def _store(events: DataFrame, path: str, batch: int, count: int, ts: str, cluste
     """Write the events of a micro-batch by day, without those whose id the table has."""
     spark = events.sparkSession
     dated = events.withColumn("event_date", F.to_date(ts))
-    if unique:
-        dated = dedupe_events(dated, unique, ts)
-        around = [row[0] for row in dated.select("event_date").distinct().collect() if row[0] is not None]  # days, not rows
-        if around and _exists(spark, path):
-            kinds = {unique: dated.schema[unique].dataType, "event_date": T.DateType(), BATCH: T.LongType()}
-            stored = spark.read.schema(T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])).parquet(path)
-            # Days that may hold a copy; the batch's own rows, if it is run again, are no copies.
-            wanted = F.array_contains(F.lit(sorted(_with_neighbours(around, days))), F.date_diff("event_date", F.lit("1970-01-01").cast("date")))
-            dated = drop_known(dated, stored.where(wanted & (F.col(BATCH) != batch)), unique, days)
     order = ["event_date", *[c for c in cluster if c in events.columns], ts]
-    _write_batch(dated, path, batch, count, ["event_date"], order)
+    if not unique:
+        _write_batch(dated, path, batch, count, ["event_date"], order)
+        return
+    around = [row[0] for row in dated.select("event_date").distinct().collect() if row[0] is not None]  # days, not rows
+    new = dedupe_events(dated, unique, ts)
+    if around and _exists(spark, path):
+        kinds = {unique: dated.schema[unique].dataType, "event_date": T.DateType(), BATCH: T.LongType()}
+        stored = spark.read.schema(T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])).parquet(path)
+        # Days that may hold a copy; the batch's own rows, if it is run again, are no copies.
+        wanted = F.array_contains(F.lit(sorted(_with_neighbours(around, days))), F.date_diff("event_date", F.lit("1970-01-01").cast("date")))
+        new = drop_known(new, stored.where(wanted & (F.col(BATCH) != batch)), unique, days)
+    new = new.persist()  # the ranges and the write read it
+    try:
+        _write_batch(new, path, batch, count, ["event_date"], order)
+    finally:
+        new.unpersist()
 
 
 def _with_neighbours(days: list, reach: int) -> set[int]:

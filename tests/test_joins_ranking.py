@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from reelmill.operators import joins as J
 from reelmill.operators import profile as P
 from reelmill.operators import ranking as R
-from reelmill.operators.chunks import assign_chunks, chunk_manifest, dataset_manifest, number_rows
+from reelmill.operators.chunks import _numbered_copies, assign_chunks, chunk_manifest, dataset_manifest, number_rows, total_manifest
 
 pytestmark = pytest.mark.usefixtures("many_slices")
 
@@ -106,3 +106,25 @@ def test_distribution_null_keys(spark):
     assert [tuple(r) for r in P.distribution(df, "k").collect()] == [("a", 2), (None, 1)]
     assert [tuple(r) for r in P.distribution(df, "k", drop_null_keys=True).collect()] == [("a", 2)]
     assert P.distribution_share(df, "k").first().pct == 100.0
+
+
+def test_heavy_keys_are_counted_exactly(spark):
+    rows = spark.range(40_000).selectExpr("case when id % 3 = 0 then -7 else id end as k", "cast(id % 2 as string) as j")
+    assert sorted(map(tuple, J.heavy_keys(rows, ["k"], 100).collect())) == [(-7, 13334)]
+    assert sorted(map(tuple, J.heavy_keys(rows, ["k", "j"], 100).collect())) == [(-7, "0", 6667), (-7, "1", 6667)]
+    assert J.heavy_keys(rows.limit(0), ["k"], 100).collect() == []
+
+
+def test_copies_are_numbered_alike_in_every_run(spark):
+    rows = spark.createDataFrame([(1, "a")] * 500 + [(2, "b")] * 2 + [(k, "c") for k in range(3, 300)] + [(None, None)] * 3, "k int, v string")
+    copies = _numbered_copies(rows).groupBy("k", "v").agg(F.count("*").alias("n"), F.count_distinct("_copy").alias("d"), F.max("_copy").alias("m"))
+    assert all(r.n == r.d == r.m + 1 for r in copies.collect())
+    for _ in range(2):
+        numbered = number_rows(rows, ["k"]).collect()
+        assert sorted(r.row_number for r in numbered) == list(range(1, 803))
+        assert [r.k for r in sorted(numbered, key=lambda r: r.row_number)] == sorted((r.k for r in rows.collect()), key=lambda k: (k is not None, k))
+
+
+def test_total_manifest(spark):
+    chunked = {"a": assign_chunks(spark.range(1050).toDF("k"), ["k"], 100), "b": assign_chunks(spark.range(10).toDF("k"), ["k"], 100)}
+    assert sorted(map(tuple, total_manifest(chunked).collect())) == [("a", 1050, 11, 95), ("b", 10, 1, 10), ("total", 1060, 12, 88)]

@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from reelmill.operators import ordered
 from reelmill.operators.ordered import box_stats, ecdf, order_values
 from reelmill.operators.summaries import describe_column, grouped_summary, histogram, multi_summary, quadrant_label
 
@@ -53,15 +54,36 @@ def test_quartiles_equal_numpy(frame, data):
             assert [r.a, r.b, r.c, r.lo, r.hi] == pytest.approx(list(expected))
 
 
-def test_a_hot_group_is_cut_into_slices(frame):
-    ordered = order_values(frame, ["k"], ["v"])
-    assert ordered.counts.filter("k = 'hot'").select("_slice").distinct().count() > 1
+def test_buckets_never_fall(spark):
+    rng = random.Random(1)
+    powers = [x for e in range(-1074, 1024, 7) for x in (2.0 ** e, math.nextafter(2.0 ** e, 0), math.nextafter(2.0 ** e, math.inf))]
+    values = [*powers, *(-x for x in powers), *(rng.gauss(0, 10 ** rng.randint(-300, 300)) for _ in range(3000)),
+              0.0, -0.0, math.inf, -math.inf, 1.7976931348623157e308, 5e-324, 1.0, 2.0, 3.0]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered._bucket(F.col("v")).alias("b")).collect()
+    places = [r.b for r in sorted(rows, key=lambda r: r.v)]
+    assert places == sorted(places)
+    assert spark.sql("select double('nan') as v").select(ordered._bucket(F.col("v"))).first()[0] > places[-1]
+
+
+@pytest.mark.parametrize(("rows", "cells"), [(1, 2), (20, 3), (500, 4096)])
+def test_large_buckets_are_cut_again(frame, data, monkeypatch, rows, cells):
+    """The same results if every interval has to be cut, down to single values."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", rows)
+    monkeypatch.setattr(ordered, "CELLS", cells)
+    probs = {"a": 0.1, "b": 0.5, "c": 0.999}
+    for r in order_values(frame, ["k"], ["v"]).quantiles(probs).collect():
+        assert [r.a, r.b, r.c] == pytest.approx(list(np.quantile(data[data.k == r.k].v.dropna(), list(probs.values()))))
+    values = data.v.dropna()
+    found = ecdf(frame, "v").collect()
+    assert len(found) == values.nunique() and all(r.share == pytest.approx((values <= r.v).mean()) for r in found)
 
 
-def test_overall_order_in_slices(frame, data):
-    ordered = order_values(frame, [], ["v"])
-    assert ordered.counts.select("_slice").distinct().count() > 1
-    assert ordered.statistics({"median": 0.5}).first()["median"] == pytest.approx(data.v.median())
+def test_odd_numbers(spark):
+    """Infinite values and NaN have their places at the ends."""
+    df = spark.createDataFrame([(x,) for x in (math.inf, -math.inf, 1.0, 1.0, -0.0, 0.0, math.nan)], "v double")
+    shares = {str(r.v): round(r.share * 7) for r in ecdf(df, "v").collect()}
+    assert shares == {"-inf": 1, "0.0": 3, "1.0": 5, "inf": 6, "nan": 7}
+    assert order_values(df, [], ["v"]).quantiles({"m": 0.5}).first()["m"] == 1.0
 
 
 def test_a_median_changes_no_other_statistic(spark):
@@ -137,7 +159,7 @@ def test_quadrants(spark):
 
 def test_the_plan_has_no_percentile_and_no_single_task_sort(frame):
     plan = grouped_summary(frame, ["k"], "v")._jdf.queryExecution().toString()
-    assert "percentile" not in plan
+    assert "percentile" not in plan and "SinglePartition" not in plan
 
 
 def test_the_median_row_meets_its_own_median(spark):
