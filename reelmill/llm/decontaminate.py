@@ -1,19 +1,25 @@
 """Find benchmark items in documents, exact or with some edits, by a random-walk embedding and bit-sampling LSH.
 
-The embedding reads a word sequence with a pointer: at each step it writes the word it points at and moves on by one or
-stays, as a random bit of step and word says. Two sequences that differ by few edits fall back into step, so their outputs
-differ in few places: edit distance becomes Hamming distance. Sampling a few places of the output gives a key; windows of
-a document, as long as the items, are candidates for the items with the same key. Fresh walks and places are used as often
-as simulated edits of the items show to be necessary for the target recall, and candidates are verified by their exact
-edit distance in characters.
+The embedding reads a text with a pointer: at each step it writes the character it points at and moves on by one or stays,
+as a random bit of step and character says. Two texts that differ by few edits fall back into step, so their outputs differ
+in few places: edit distance becomes Hamming distance. A sample of the places that a walk writes gives a key. An item is
+indexed by the walks from each of its words on, and the item-sized windows of a document begin at each of its words too, so
+one undisturbed stretch anywhere in the item is enough. How many steps a key covers, and how many walks are used, is
+found for each length class by edits simulated on the items themselves; candidates are verified by their exact edit distance in
+characters.
+
+Texts are read in lower case with single spaces, as UTF-8 bytes. In scripts that set no spaces between words, every character
+of three or more bytes begins a window.
 """
 
 from __future__ import annotations
 
 import math
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,36 +27,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelmill.llm.shared import empty, only, small_batches, union
-from reelmill.llm.words import hashes, mix, raw, slices, spans
+from reelmill.llm.words import mix, raw, slices
 
-PLACES = 6  # sampled places a key
-STEPS = 64  # of a walk at most
-STRIDE = 4  # windows start at every fourth word; items are indexed from four words in a row on,
-ANCHORS = 3  # at their begin, a quarter and half of their length in, so that one edit does not throw off all walks
-LEAST_WORDS = 8  # shorter items can occur by chance and show nothing
+SPANS = (44, 36, 30, 26, 22, 18, 15)  # steps that a key may cover; a walk passes a character in two steps on average
+SAMPLED = 0.7  # of the steps are read into a key
 EDIT_SHARE = 0.15  # of an item's characters that may differ
-RECALL = 0.99  # to be reached for items with
-WORD_EDITS = 0.08  # this share of words replaced, left out or put in
-MOST_WALKS = 10
-PIECE_CHARS = 8_000_000  # benchmark text that is broadcast at a time
+SHORT_CHARS = 40  # items below this length are looked for as exact copies
+TRIAL_SHARE = 0.12  # of the characters edited in trials,
+RECALL = 0.96  # and the share of trials to be found, in each length class
+TRIALS = 80
+WALKS, MOST_WALKS = 2, 6  # walks, if longer spans can do with them, and if even the shortest one can't
+PIECE_CHARS = 2_000_000  # benchmark text that is broadcast at a time
 DDL = "doc_id long, text_id long, item_id long, edits int, first_word long, n_words int"
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
 class Item:
-    item_id: int
+    item_id: int | None
     text: str  # lower case, single spaces
-    words: np.ndarray
     limit: int = 0
 
+    @property
+    def words(self) -> int:
+        return self.text.count(" ") + 1
+
+    @property
+    def data(self) -> np.ndarray:
+        return np.frombuffer(self.text.encode(), np.uint8)
+
 
 @dataclass
-class Index:
-    """Items by key, for each walk and length class: ``tables[walk][class]`` has sampled steps, keys and entries."""
+class Table:
+    """Keys of one length class in one walk, sorted, with the item and the place in it that each comes from."""
+
+    span: int
+    keys: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+    some: np.ndarray  # whether any key has these leading bits
+
+    @property
+    def shift(self) -> np.uint64:
+        return np.uint64(65 - len(self.some).bit_length())
+
 
+@dataclass
+class Index:
     items: list[Item]
-    seeds: np.ndarray
-    tables: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = field(default_factory=list)
+    seeds: list[int] = field(default_factory=list)
+    tables: list[list[Table]] = field(default_factory=list)  # by walk, by class
+    exact: ahocorasick.Automaton | None = None  # short items
+    recalls: dict[int, float] = field(default_factory=dict)  # by length class, as found in trials
 
 
 def normal(text: str) -> str:
@@ -58,129 +87,157 @@ def normal(text: str) -> str:
     return b" ".join(text.encode().split()).decode()
 
 
-def make_item(item_id: int, text: str) -> Item:
-    column = pc.utf8_lower(pa.array([text]))
-    own = normal(column[0].as_py())
-    return Item(item_id, own, hashes(*raw(column))[0], int(EDIT_SHARE * len(own)))
-
-
-def walk(words: np.ndarray, starts: np.ndarray, seed: np.uint64, steps: np.ndarray) -> Iterator[np.ndarray]:
-    """What the walks from ``starts`` write at the given ascending steps. Behind the last word comes an empty one."""
-    bits = np.concatenate([mix(words ^ seed), np.zeros(STEPS + 1, np.uint64)])
-    padded = np.concatenate([words, np.zeros(STEPS + 1, np.uint64)])
-    at = starts.astype(np.int64)
-    wanted = iter(steps.tolist())
-    following = next(wanted, None)
-    for step in range(STEPS):
-        if following is None:
-            return
-        if step == following:
-            yield padded[at]
-            following = next(wanted, None)
-        at += ((bits[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
-
-
-def _classes(items: list[Item]) -> dict[int, list[int]]:
-    """Items of about one length: each class spans half a power of two."""
-    out: dict[int, list[int]] = {}
-    for k, item in enumerate(items):
-        out.setdefault(int(2 * math.log2(len(item.words))), []).append(k)
-    return out
+def make_item(item_id: int | None, text: str) -> Item:
+    own = normal(pc.utf8_lower(pa.array([text]))[0].as_py())
+    return Item(item_id, own, int(EDIT_SHARE * len(own)))
 
 
-def _places(length_class: int, rng: np.random.Generator) -> np.ndarray:
-    """Sampled steps at which walks over items of a class, from any anchor, have most likely not left them: a walk passes
-    a word in two steps on average."""
-    reach = min(STEPS, max(PLACES, int(0.75 * 2 ** (length_class / 2))))
-    return np.sort(rng.choice(reach, PLACES, replace=False))
+def normal_bytes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a text column, one after the other, with white space as single blanks, and their offsets. Every row ends in
+    a blank."""
+    count = len(offsets) - 1
+    text = np.full(int(offsets[-1] - offsets[0]) + count, 32, np.uint8)
+    at = np.arange(len(text) - count) + np.repeat(np.arange(count), np.diff(offsets))
+    text[at] = data[offsets[0]:offsets[-1]]
+    space = _SPACE[text]
+    text[space] = 32
+    keep = np.ones(len(text), bool)
+    keep[1:] = ~(space[1:] & space[:-1])
+    ends = np.concatenate([[0], offsets[1:] - offsets[0] + np.arange(1, count + 1)])
+    keep[ends[1:] - 1] = True  # an empty row keeps its blank
+    return text[keep], np.concatenate([[0], np.cumsum(keep)])[ends]
 
 
-def _anchors(item: Item) -> np.ndarray:
-    """The words that windows over an item are indexed from."""
-    starts = np.arange(ANCHORS) * len(item.words) // 4
-    return np.unique(starts[:, None] + np.arange(STRIDE))
+def window_starts(text: np.ndarray) -> np.ndarray:
+    """Where windows begin: at words, and at characters of three or more bytes."""
+    first = text != 32
+    first[1:] &= text[:-1] == 32
+    return np.flatnonzero(first | (text >= 0xE0))
 
 
-def _keys(words: np.ndarray, starts: np.ndarray, seed: np.uint64, samples: list[np.ndarray]) -> list[np.ndarray]:
-    """A key per start for each sample of steps; one walk serves all samples."""
-    steps = np.unique(np.concatenate(samples))
-    keys = [np.full(len(starts), 1, np.uint64) for _ in samples]
-    for step, seen in zip(steps, walk(words, starts, seed, steps), strict=True):
-        for key, sample in zip(keys, samples, strict=True):
-            if step in sample:
-                key *= np.uint64(0x9E3779B97F4A7C15)
-                key += seen
-    return [mix(key) for key in keys]
+def walk(text: np.ndarray, starts: np.ndarray, seed: int, spans: list[int]) -> Iterator[np.ndarray]:
+    """The keys of walks from ``starts`` after each of the ascending spans. Behind the text come zeros."""
+    rng = np.random.default_rng(seed)
+    steps = spans[-1] if spans else 0
+    moves = rng.integers(0, 2, (SPANS[0], 256), dtype=np.int64)
+    sampled = rng.random(SPANS[0]) < SAMPLED
+    padded = np.concatenate([text, np.zeros(steps + 1, np.uint8)])
+    at = starts.astype(np.int64)
+    key = np.full(len(starts), seed | 1, np.uint64)
+    for step in range(steps):
+        char = padded.take(at)
+        if sampled[step]:
+            key *= _MULTIPLIER
+            key += char
+        at += moves[step].take(char)
+        if step + 1 in spans:
+            yield mix(key)
+
+
+def _class(item: Item) -> int:
+    """Items of about one length: each class spans half a power of two."""
+    return int(2 * math.log2(len(item.text)))
 
 
-def _edited(words: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """The words with ``WORD_EDITS`` of them replaced, left out or preceded by another."""
-    out = []
-    for word in words:
-        kind = rng.integers(3) if rng.random() < WORD_EDITS else -1
-        if kind in (0, 2):
-            out.append(rng.integers(1, 1 << 62, dtype=np.uint64))
-        if kind not in (0, 1):
-            out.append(word)
-    return np.array(out, np.uint64)
+def _edited(text: str, share: float, rng: np.random.Generator) -> str:
+    """The text with so many of its characters, at random places, replaced, left out or preceded by another."""
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    out = list(text)
+    for at in sorted(rng.choice(len(out), int(share * len(out)), replace=False).tolist(), reverse=True):
+        other = letters[rng.integers(len(letters))]
+        kind = rng.integers(3)
+        out[at:at + 1] = [other] if kind == 0 else [] if kind == 1 else [other, out[at]]
+    return "".join(out)
 
 
-def walks_needed(items: list[Item], recall: float, trials: int = 200, seed: int = 1) -> int:
-    """How many walks find an edited item with probability ``recall``, by trial on the items themselves."""
-    rng = np.random.default_rng(seed)
-    rates = np.zeros(trials)
-    tries = 24
+def trial_rates(items: list[Item], seeds: list[int], share: float = TRIAL_SHARE, trials: int = TRIALS) -> np.ndarray:
+    """Whether trials (walk, span, trial) find an edited item of the class: one key of the item and of the edited text agree."""
+    rng = np.random.default_rng(len(items))
+    spans = sorted(SPANS)
+    found = np.zeros((len(seeds), len(spans), trials), bool)
     for trial in range(trials):
         item = items[rng.integers(len(items))]
-        sample = _places(int(2 * math.log2(len(item.words))), rng)
-        other = _edited(item.words, rng)
-        phase = np.arange(int(rng.integers(STRIDE)), len(other), STRIDE)  # where windows start in the edited item
-        for _ in range(tries):
-            walk_seed = rng.integers(1, 1 << 62, dtype=np.uint64)
-            mine = _keys(item.words, _anchors(item), walk_seed, [sample])[0]
-            rates[trial] += bool(np.isin(_keys(other, phase, walk_seed, [sample])[0], mine).any()) if len(phase) else False
-            sample = _places(int(2 * math.log2(len(item.words))), rng)
-    rates /= tries
-    for walks in range(1, MOST_WALKS):
-        if (1 - (1 - rates) ** walks).mean() >= recall:
-            return walks
-    return MOST_WALKS
+        other = np.frombuffer(f"so {_edited(item.text, share, rng)} on".encode(), np.uint8)
+        for w, seed in enumerate(seeds):
+            pairs = zip(walk(item.data, window_starts(item.data), seed, spans), walk(other, window_starts(other), seed, spans), strict=True)
+            for s, (mine, theirs) in enumerate(pairs):
+                found[w, s, trial] = np.isin(mine, theirs).any()
+    return found
+
+
+def plan(items: list[Item], seeds: list[int], recall: float) -> tuple[int, int, float]:
+    """The span and the number of walks for a class of items, and the recall they had in trials: the longest span that reaches
+    the target with few walks, else the shortest one with as many as it takes."""
+    rates = trial_rates(items, seeds)
+    spans = sorted(SPANS)
+    least = min(len(item.data) for item in items)
+    open_spans = [s for s in range(len(spans)) if spans[s] < least] or [0]  # an exact copy has to hold a whole walk
+    for s in reversed(open_spans):
+        share = rates[:WALKS, s].any(axis=0).mean()
+        if share >= recall:
+            return spans[s], WALKS, float(share)
+    for walks in range(WALKS + 1, len(seeds) + 1):
+        share = rates[:walks, 0].any(axis=0).mean()
+        if share >= recall or walks == len(seeds):
+            break
+    return spans[0], walks, float(share)
 
 
 def build_index(items: list[Item], recall: float = RECALL, seed: int = 0) -> Index:
     rng = np.random.default_rng(seed)
-    walks = walks_needed(items, recall)
-    index = Index(items, rng.integers(1, 1 << 62, walks, dtype=np.uint64))
-    classes = _classes(items)
-    for walk_seed in index.seeds:
-        tables = []
-        for length_class, members in sorted(classes.items()):
-            sample = _places(length_class, rng)
-            keys = np.concatenate([_keys(items[k].words, _anchors(items[k]), walk_seed, [sample])[0] for k in members])
-            entries = np.array([(k, shift) for k in members for shift in _anchors(items[k]).tolist()], np.int64)
-            order = np.argsort(keys, kind="stable")
-            some = np.zeros(1 << 16, bool)
-            some[(keys >> np.uint64(48)).astype(np.int64)] = True
-            tables.append((sample, keys[order], entries[order], some))
-        index.tables.append(tables)
+    seeds = [int(x) for x in rng.integers(1, 1 << 62, MOST_WALKS)]
+    classes: dict[int, list[int]] = {}
+    short: dict[str, list[int]] = {}
+    index = Index(items)
+    for k, item in enumerate(items):
+        if len(item.text) >= SHORT_CHARS:
+            classes.setdefault(_class(item), []).append(k)
+        elif item.text:
+            short.setdefault(item.text, []).append(k)
+    if short:
+        index.exact = ahocorasick.Automaton()
+        for text, members in short.items():
+            index.exact.add_word(text, (members, len(text)))
+        index.exact.make_automaton()
+    plans = {c: plan([items[k] for k in members], seeds, recall) for c, members in sorted(classes.items())}
+    index.recalls = {c: share for c, (_, _, share) in plans.items()}
+    index.seeds = seeds[:max((walks for _, walks, _ in plans.values()), default=0)]
+    for w, walk_seed in enumerate(index.seeds):
+        spans = sorted({span for span, walks, _ in plans.values() if walks > w})
+        index.tables.append([_table(items, [k for c, members in classes.items() if plans[c][0] == span and plans[c][1] > w for k in members],
+                                    walk_seed, span) for span in spans])
     return index
 
 
-def candidates(index: Index, words: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int]]:
-    """(row, item, word of the row where the item would begin), from the keys of all windows."""
-    starts = np.arange(0, len(words), STRIDE)
-    out: set[tuple[int, int, int]] = set()
-    for walk_seed, tables in zip(index.seeds, index.tables, strict=True):
-        found = _keys(words, starts, walk_seed, [sample for sample, *_ in tables])
-        for keys, (_, own, entries, some) in zip(found, tables, strict=True):
-            hits = np.flatnonzero(some[(keys >> np.uint64(48)).astype(np.int64)])
-            low, high = np.searchsorted(own, keys[hits], "left"), np.searchsorted(own, keys[hits], "right")
-            for k in np.flatnonzero(high > low):
-                for item, shift in entries[low[k]:high[k]].tolist():
-                    at = int(starts[hits[k]])
-                    row = int(np.searchsorted(bounds, at, "right")) - 1
-                    out.add((row, item, at - shift - int(bounds[row])))
-    return out
+def _table(items: list[Item], members: list[int], seed: int, span: int) -> Table:
+    keys, owner, places = [], [], []
+    for k in members:
+        starts = window_starts(items[k].data)
+        keys.append(next(walk(items[k].data, starts, seed, [span])))
+        owner.append(np.full(len(starts), k, np.int32))
+        places.append(starts.astype(np.int32))
+    keys, owner, places = np.concatenate(keys), np.concatenate(owner), np.concatenate(places)
+    order = np.argsort(keys, kind="stable")
+    some = np.zeros(1 << min(max(len(keys) * 32, 1 << 16).bit_length(), 26), bool)
+    table = Table(span, keys[order], owner[order], places[order], some)
+    some[(keys >> table.shift).astype(np.int64)] = True
+    return table
+
+
+def candidates(index: Index, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items and the places in the text where they would begin, from the keys of all windows."""
+    starts = window_starts(text)
+    items, places = [], []
+    for seed, tables in zip(index.seeds, index.tables, strict=True):
+        for table, keys in zip(tables, walk(text, starts, seed, [t.span for t in tables]), strict=True):
+            hits = np.flatnonzero(table.some[(keys >> table.shift).astype(np.int64)])
+            low = np.searchsorted(table.keys, keys[hits], "left")
+            many = np.searchsorted(table.keys, keys[hits], "right") - low
+            entry = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            items.append(table.items[entry])
+            places.append(np.repeat(starts[hits], many) - table.places[entry])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *items]).astype(np.int64), np.concatenate([none, *places])
 
 
 def may_hold(pattern: str, text: str, limit: int) -> bool:
@@ -213,29 +270,52 @@ def edits_within(pattern: str, text: str) -> int:
     return best
 
 
+def _whole_words(text: str, low: int, high: int) -> bool:
+    """Whether a match begins and ends at the edge of a word, where its script has such edges."""
+    def joined(a: str, b: str) -> bool:
+        return all(c.isalnum() and unicodedata.category(c) != "Lo" for c in (a, b))
+
+    return not (low > 0 and joined(text[low - 1], text[low])) and not (high < len(text) and joined(text[high - 1], text[high]))
+
+
 def _matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
     """The best match, fewest edits and first word, for each row and item that reach the limit."""
-    words, bounds = hashes(data, offsets)
-    found = candidates(index, words, bounds)
+    text, bounds = normal_bytes(data, offsets)
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    if not found:
+
+    def word_at(row: int, place: int) -> int:
+        return int(np.count_nonzero(text[bounds[row]:max(place, bounds[row])] == 32))
+
+    if index.exact is not None:
+        whole = text.tobytes()
+        for row in range(len(bounds) - 1):
+            own = whole[bounds[row]:bounds[row + 1]].decode(errors="replace")
+            for last, (members, size) in index.exact.iter(own):
+                if (row, members[0]) not in best and _whole_words(own, last + 1 - size, last + 1):
+                    first_word = own.count(" ", 0, last + 1 - size)
+                    best.update({(row, k): (0, first_word) for k in members})
+    items, places = candidates(index, text)
+    if not len(items):
         return best
-    first, end, _ = spans(data, offsets)
-    text = data[offsets[0]:offsets[-1]]
-    reached: dict[tuple[int, int], int] = {}
-    for row, item_number, at in sorted(found):
-        if at < reached.get((row, item_number), -(1 << 60)):
-            continue  # the window verified last covers this place too
-        item = index.items[item_number]
-        size = len(item.words)
-        slack = int(EDIT_SHARE * size) + STRIDE
-        low = bounds[row] + max(at - slack, 0)
-        high = min(bounds[row] + at + size + slack, bounds[row + 1])
-        window = normal(text[first[low]:end[high - 1]].tobytes().decode())
+    sizes = np.array([len(item.data) for item in index.items])
+    limits = np.array([item.limit for item in index.items])
+    # A window belongs to the row that most of it lies in; places before the row's start are its own.
+    rows = np.clip(np.searchsorted(bounds, places + sizes[items] // 2, "right") - 1, 0, len(bounds) - 2)
+    order = np.lexsort((places, items, rows))
+    rows, items, places = rows[order], items[order], places[order]
+    new = np.ones(len(rows), bool)
+    new[1:] = (np.diff(rows) != 0) | (np.diff(items) != 0) | (np.diff(places) > 2 * limits[items[1:]] + 2)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(rows)) - 1
+    for row, k, low, high in zip(rows[first].tolist(), items[first].tolist(), places[first].tolist(), places[last].tolist(), strict=True):
+        item = index.items[k]
+        slack = 4 * item.limit + 4  # edits shift places, by up to four bytes a character
+        a, b = max(low - slack, int(bounds[row])), min(high + len(item.data) + slack, int(bounds[row + 1]))
+        window = text[a:b].tobytes().decode(errors="ignore")
         edits = edits_within(item.text, window) if may_hold(item.text, window, item.limit) else item.limit + 1
-        reached[row, item_number] = at + STRIDE // 2
         if edits <= item.limit:
-            best[row, item_number] = min(best.get((row, item_number), (edits, max(at, 0))), (edits, max(at, 0)))
+            found = (edits, word_at(row, low))
+            best[row, k] = min(best.get((row, k), found), found)
     return best
 
 
@@ -243,12 +323,15 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL
     """One row for each document (``doc_id``, ``text``) and benchmark item (``item_id``, ``text``) that it holds: ``text_id``
     (a 64-bit hash of the text), ``edits``, ``first_word`` (about where, in words) and ``n_words`` of the item.
 
-    An item is held if at most 15 % of its characters have to be edited to find it in the document; words are compared
-    in lower case with single spaces. Exact copies are found for certain while the walk stays inside the item, items with
-    ``WORD_EDITS`` of their words edited with probability ``recall``. Items of fewer than 8 words are not looked for.
+    An item of 40 characters or more is held if at most 15 % of its characters have to be edited to find it in the document, a
+    shorter one if the document has it as it is, as whole words where the script has words. Texts are compared in lower case
+    with single spaces. Exact copies are found for certain, items with 12 % of their characters edited in about ``recall`` of
+    cases, in every length class (``plan``).
+
     Missing and empty texts on either side hold and are nothing; rows with the same id and text are one document, rows that
-    repeat an item's id are one item, with the best match; a missing id is an id like any other; empty tables give no rows; other columns are ignored. The benchmark
-    is broadcast in pieces of bounded size, each with a pass over the documents.
+    repeat an item's id are one item, with the best match; a missing id is an id like any other; empty tables give no rows; other
+    columns are ignored. The benchmark is broadcast in pieces of bounded size (a longer item is a piece of its own), each with
+    a pass over the documents.
     """
     spark = docs.sparkSession
     rows = only(small_batches(docs), {"doc_id": "long", "text": "string"}).withColumn("text_id", F.xxhash64("text"))
@@ -259,7 +342,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, recall: float = RECALL
     for piece in range(pieces):
         own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(pieces)) == piece).distinct().collect()
         items = [make_item(row.item_id, row.text) for row in sorted(own, key=lambda r: (r.item_id is None, r.item_id or 0, r.text))]
-        items = [item for item in items if len(item.words) >= LEAST_WORDS]
+        items = [item for item in items if item.text]
         if items:
             out.append(_pass(rows, spark.sparkContext.broadcast(build_index(items, recall))))
     if not out:
@@ -283,7 +366,7 @@ def _pass(rows: DataFrame, shared) -> DataFrame:
                         batch.column("text_id").take(pa.array([x[0] for x in found])),
                         pa.array([x[1].item_id for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int32()),
                         pa.array([x[3] for x in found], pa.int64()),
-                        pa.array([len(x[1].words) for x in found], pa.int32())],
+                        pa.array([x[1].words for x in found], pa.int32())],
                         names=["doc_id", "text_id", "item_id", "edits", "first_word", "n_words"])
 
     return rows.mapInArrow(search, DDL)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import edit_distance_inside
 from hypothesis import given, settings
@@ -52,6 +53,38 @@ def test_against_exhaustive_search(documents, spark, items, prose):
     assert len(ours) >= 0.95 * len(truth)
 
 
+@pytest.mark.parametrize("words", [(8, 14), (15, 30), (31, 60), (61, 120), (121, 250)])
+@pytest.mark.parametrize("share", [0.02, 0.04, 0.08, 0.12])
+def test_recall_by_length_and_edits(prose, words, share):
+    """Characters replaced, left out and put in at random, by length of the item."""
+    rng, chars = random.Random(words[0]), np.random.default_rng(words[1])
+    some = [decontaminate.make_item(k, prose(rng.randint(*words))) for k in range(80)]
+    index = decontaminate.build_index(some)
+    docs = [f"{prose(30)} {decontaminate._edited(item.text, share, chars)} {prose(30)}" for item in some]
+    found = decontaminate._matches(index, *decontaminate.raw(pa.array(docs)))
+    for (row, k), (edits, _) in found.items():
+        assert edits <= some[k].limit and edits == decontaminate.edits_within(some[k].text, " ".join(docs[row].split()))
+    assert sum((k, k) in found for k in range(80)) >= 0.9 * 80
+
+
+def test_short_items_and_scripts_without_spaces(documents, spark, prose):
+    tests = {1: "What is the capital of France", 2: "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f\u8bf7\u56de\u7b54\u8fd9\u4e2a\u95ee\u9898\u5427\u3002", 3: "zebra", 4: "What is the capital of France",
+             5: "\u6211\u4eec\u5728\u8fd9\u91cc\u8ba8\u8bba\u4e86\u5f88\u591a\u5173\u4e8e\u5386\u53f2\u548c\u79d1\u5b66\u7684\u95ee\u9898\u4ed6\u4eec\u90fd\u5f88\u6709\u8da3\u4f46\u662f\u6ca1\u6709\u4eba\u77e5\u9053\u7b54\u6848\u6240\u4ee5\u8981\u7ee7\u7eed\u5b66\u4e60", 6: "   "}
+    docs = [(1, f"{prose(9)} what  IS the\ncapital of france? {prose(5)}"), (2, f"\u524d\u9762{tests[2]}\u540e\u9762"), (3, "a ZEBRA."),
+            (4, "zebras and what is the capital of frances"), (5, f"{prose(4)}{tests[5].replace('\u5386\u53f2', '\u6570\u5b66')}{prose(4)}"), (6, None),
+            (7, "zebra")]
+    found = decontaminate.find_benchmark(documents(docs), spark.createDataFrame(list(tests.items()), "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in found.collect()) == [
+        (1, 1, 0), (1, 4, 0), (2, 2, 0), (3, 3, 0), (5, 5, 2), (7, 3, 0)]
+
+
+def test_rows_are_joined_with_single_blanks():
+    column = pa.array(["  a \n b ", "", None, "c", " "])
+    text, bounds = decontaminate.normal_bytes(*decontaminate.raw(column))
+    rows = [text[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert [" ".join(r.split()) for r in rows] == ["a b", "", "", "c", ""] and all("  " not in r.strip() for r in rows)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("abc ", min_size=1, max_size=12), st.text("abc ", max_size=30))
 def test_edit_distance(pattern, text):
