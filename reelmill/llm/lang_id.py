@@ -11,21 +11,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelmill.llm.shared import key_hash, only, schema, small_batches
+from reelmill.llm.shared import only, schema, small_batches
 from reelmill.llm.words import raw, slices
 
 RUN = 64  # bytes that are read in one go
 HIDDEN = 12  # units of each direction
-DOCS_PER_LANGUAGE = 400  # the bound of the training sample: so many documents of a language,
+MOST_LANGUAGES = 1000  # the bound of the training sample: so many languages,
+DOCS_PER_LANGUAGE = 400  # so many documents of a language,
 RUNS_PER_DOC = 8  # and so many runs of each
 STEPS = 400
 BATCH = 256
 RATE = 0.02
 UNDECIDED = "und"
+JUDGED_BYTES = 200  # shorter texts are never rejected for their score
+SCORE_MARGIN = 0.85  # of the lowest scores seen
 FOLDS = 5  # documents whose id has remainder 0 are held out of the fit
 
 
@@ -181,20 +184,25 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_do
         steps: int = STEPS) -> Model:
     """A model of the languages of labelled documents (``doc_id``, ``text``, ``lang``), fitted on the driver.
 
-    The sample is bounded by ``docs_per_language`` documents of each language, those with the smallest hashes, and
-    ``runs_per_doc`` runs of 64 bytes at spread places of each; documents without a label, an id or a letter are not used.
+    The sample is bounded by ``MOST_LANGUAGES`` languages, the most frequent ones, ``docs_per_language`` documents of each, those
+    with the smallest hashes of id and text, and ``runs_per_doc`` runs of 64 bytes at spread places of each; documents without a
+    label, an id or a letter are not used. Hashes below a threshold for each language's count are read, so nothing is ranked
+    or shuffled but the sample.
     """
     rows = only(small_batches(docs), {"doc_id": "long", "text": "string", "lang": "string"}).where(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & _has_letter(F.col("text")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(key_hash(F.col("doc_id")), "doc_id"))
-    chosen = rows.select("doc_id", "lang").distinct().withColumn("rank", rank).where(F.col("rank") <= docs_per_language)
-    sample = rows.join(chosen.drop("rank"), ["doc_id", "lang"], "left_semi")
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    counts = rows.groupBy("lang").agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "lang").limit(MOST_LANGUAGES)
+    # Twice as many as are needed: some have no letter, and hashes don't fall evenly.
+    share = F.least(F.lit(1.0), F.lit(2.0 * docs_per_language) / F.col("docs"))
+    shares = F.broadcast(counts.select("lang", (share * 2.0 ** 62).cast("long").alias("below")))
+    order = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    sample = rows.join(shares, "lang").withColumn("order", order).where((F.col("order") <= F.col("below")) & _has_letter(F.col("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = raw(batch.column("text"))
             langs, out, ids = [], [], []
-            for k, (name, lang) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), strict=True)):
+            for k, (name, lang) in enumerate(zip(batch.column("order").to_pylist(), batch.column("lang").to_pylist(), strict=True)):
                 text = data[offsets[k]:offsets[k + 1]]
                 count = min(runs_per_doc, -(-len(text) // RUN))
                 for i in range(count):
@@ -204,9 +212,13 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_do
                     ids.append(name)
                     out.append(part.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ids, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["lang", "doc_id", "run"])
+                                             names=["lang", "order", "run"])
 
-    taken = sample.mapInArrow(cut, "lang string, doc_id long, run binary").toPandas().sort_values(["lang", "doc_id", "run"])
+    found = sample.select("order", "lang", "text").mapInArrow(cut, "lang string, order long, run binary").distinct()
+    taken = found.toPandas().sort_values(["lang", "order", "run"])
+    # Equal documents count once; of the others the first by hash are used.
+    place = taken.groupby("lang")["order"].rank(method="dense")
+    taken = taken[place <= docs_per_language]
     languages = sorted(taken["lang"].unique())
     if not languages:
         return new_model([])
@@ -214,6 +226,22 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_do
     return train(languages, runs, np.searchsorted(languages, taken["lang"].to_numpy()), steps)
 
 
+def least_score(found: DataFrame, folds: int = FOLDS) -> float:
+    """The score that an answer needs to be believed, from documents that were held out (``doc_id``, ``text``, ``lang``,
+    ``lang_pred``, ``score``): somewhat below the lowest thousandth of the right answers. 0 if there are none.
+
+    Texts under ``JUDGED_BYTES`` say too little and are not asked.
+    """
+    right = (remainder(F.col("doc_id"), folds) == 0) & (F.col("lang") == F.col("lang_pred")) & (F.octet_length("text") >= JUDGED_BYTES)
+    low = found.where(right).agg(F.percentile_approx("score", 0.001, 10_000)).first()[0]
+    return SCORE_MARGIN * low if low is not None else 0.0
+
+
+def believable(least: float) -> Column:
+    """Whether a text has a letter and, if it is long enough to tell, a score of at least ``least``."""
+    return _has_letter(F.col("text")) & ((F.col("score") >= least) | (F.octet_length("text") < JUDGED_BYTES))
+
+
 def _has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 

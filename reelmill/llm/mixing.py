@@ -39,6 +39,11 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     return rows.select("source", "source_size", F.least(F.col("cap").cast("double"), level * F.col("weight")).alias("target"))
 
 
+def _hash() -> Column:
+    """A hash of a document's id and text."""
+    return key_hash(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
+
+
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """Documents (``doc_id``, ``text``, ``source``) with ``size`` in words, ``source_size``, ``target`` and ``taken``.
 
@@ -46,14 +51,14 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     a threshold. The threshold is found without sorting: sizes are summed by source and the next ten bits of the hash,
     and only the bucket in which the budget ends is split further, until it is a single hash. The document there is taken
     if that comes nearer to the budget (a half or more of it fits). A source's taken words so miss its target by half a
-    document at most. Documents with the same id share a hash and a decision.
+    document at most. The hash is one of id and text, so rows without an id, or that repeat one, are decided one by one;
+    rows that are equal in both share a decision.
 
-    Missing texts have size 0, missing sources are a source of their own and come last, a missing id hashes like the empty
-    text; an empty table gives no rows. Other columns are ignored.
+    Missing texts have size 0, missing sources are a source of their own and come last, a missing id or text hashes like an
+    empty one; an empty table gives no rows. Other columns are ignored.
     """
     rows = only(docs, {"doc_id": "long", "text": "string", "source": "string"})
-    rows = frozen(rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              key_hash(F.col("doc_id")).alias("hash")), "mix-sizes")
+    rows = frozen(rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash().alias("hash")), "mix-sizes")
     return _with_cuts(rows, thresholds(rows, weights, most)).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"))
 
@@ -61,8 +66,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
     """The mix itself: each document (``doc_id``, ``text``, ``source`` and other columns) as often as it is taken."""
     # Whole rows travel as one value, so that no column can clash with the operator's own.
-    docs = docs.select("source", word_count(F.col("text")).alias("size"), key_hash(F.col("doc_id")).alias("hash"),
-                       F.struct("*").alias("row"))
+    docs = docs.select("source", word_count(F.col("text")).alias("size"), _hash().alias("hash"), F.struct("*").alias("row"))
     cuts = thresholds(frozen(docs.drop("row"), "mix-sizes"), weights, most)
     times = F.when(F.col("size") > 0, F.col("times")).otherwise(0).cast("int")
     return _with_cuts(docs, cuts).select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")

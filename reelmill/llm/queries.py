@@ -69,7 +69,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op6_mix_sources", r"""
 with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-         ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as hash
+         ('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 15))::bigint as hash
   from documents),
 sources as (
   select source, sum(size)::bigint as source_size,

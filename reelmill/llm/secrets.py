@@ -41,60 +41,90 @@ ALLOWED = (r"(?i)example|sample|placeholder|changeme|dummy|lorem|0123456789|1234
 ALLOWED_BEFORE = r"(?i)(sha-?\d+|md5|crc\d*|integrity|checksum|etag|uuid|commit)[\"']?[-:= ]*[\"']?$"
 
 
+BLOCK = 256  # matches whose lengths are added up at a time
+
+
 def _found(text: Column, pattern: str) -> Column:
     """All matches with their places: structs of start, end (code points, end exclusive), match, and the text before it.
 
-    The pieces between matches and the matches themselves, laid end to end, give the places.
+    The pieces between matches and the matches themselves, laid end to end, give the places. Lengths are summed by blocks, and
+    a place is its block's sum and the few lengths ahead of it there, so that no long array is built step by step.
     """
+    def places(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda p: F.char_length(p["gap"]) + F.char_length(p["found"]))
+        return F.element_at(F.transform(F.array(F.struct(pairs.alias("pairs"), sizes.alias("sizes"))), _sums), 1)
+
+    def _sums(x: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(x["sizes"]) - 1) / BLOCK).cast("int"))
+        sums = F.transform(blocks, lambda b: _total(F.slice(x["sizes"], b * BLOCK + 1, F.lit(BLOCK))))
+        ahead = F.aggregate(sums, F.expr("array(0)"), lambda out, n: F.array_append(out, F.element_at(out, -1) + n))
+        return F.element_at(F.transform(F.array(F.struct(x["pairs"].alias("pairs"), x["sizes"].alias("sizes"), ahead.alias("ahead"))), _rows), 1)
+
+    def _rows(x: Column) -> Column:
+        def row(p: Column, i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            before = F.element_at(x["ahead"], block + 1) + _total(F.slice(x["sizes"], block * BLOCK + 1, i - block * BLOCK))
+            start = before + F.char_length(p["gap"])
+            return F.struct(start.alias("start"), (start + F.char_length(p["found"])).alias("end"), p["found"].alias("found"),
+                            F.right(p["gap"], F.lit(24)).alias("before"))
+
+        return F.transform(x["pairs"], row)
+
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.expr(
-        "cast(array() as array<struct<start: int, end: int, found: string, before: string>>)").alias("out"))
-
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["found"])
-        row = F.struct(start.alias("start"), end.alias("end"), pair["found"].alias("found"),
-                       F.right(pair["gap"], F.lit(24)).alias("before"))
-        return F.struct(end.alias("at"), F.array_append(state["out"], row).alias("out"))
-
-    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)),
-                       lambda m, g: F.struct(m.alias("found"), g.alias("gap")))
+    pairs = F.zip_with(matches, F.split(text, pattern, -1), lambda m, g: F.struct(m.alias("found"), g.alias("gap")))
+    pairs = F.filter(pairs, lambda p: p["found"].isNotNull())  # what follows the last match has none
     # Most texts have no match: one cheap search spares them the rest.
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step)["out"]).otherwise(zero["out"])
+    none = F.expr("cast(array() as array<struct<start: int, end: int, found: string, before: string>>)")
+    return F.when(text.rlike(pattern), places(pairs)).otherwise(none)
 
 
-def window_entropy(text: Column, size: int) -> Column:
-    """The highest Shannon entropy, in bits a character, of any ``size`` consecutive characters; 0 for shorter texts.
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, n: a + n)
 
-    Entropy is log2(size) - sum(c log2 c) / size over the character counts c. A step changes two counts, of the
-    character that leaves and of the one that enters, and the sum is updated by these two terms.
-    """
-    terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(size + 2)])
-
-    def term(count: Column) -> Column:
-        return F.element_at(terms, count + 1)
 
-    def count(window: Column, char: Column) -> Column:
-        return F.char_length(window) - F.char_length(F.replace(window, char, F.lit("")))
+# Counts of a window are five bits wide, twelve to a whole number; characters run from "+" to "z".
+_FIRST, _LAST, _BITS, _PER = ord("+"), ord("z"), 5, 12
+_FIELDS = -(-(_LAST - _FIRST + 1) // _PER)
 
-    def step(state: Column, i: Column) -> Column:
-        first = F.greatest(i - size, F.lit(1))  # of the characters before i that are still in the window
-        before = F.substring(text, first, i - first)
-        out = count(before, F.substring(text, first, F.lit(1)))  # of the character that leaves, if the window is full
-        kept = F.when(i > size, F.substring(text, first + 1, i - first - 1)).otherwise(before)
-        into = count(kept, F.substring(text, i, F.lit(1)))
-        removed = F.when(i > size, term(out) - term(out - 1)).otherwise(0.0)
-        total = state["total"] - removed + term(into + 1) - term(into)
-        bits = F.when(i >= size, F.lit(math.log2(size)) - total / size).otherwise(0.0)
-        return F.struct(total.alias("total"), F.greatest(state["best"], bits).alias("best"))
 
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
-    return F.when(F.char_length(text) >= size,
-                  F.aggregate(F.sequence(F.lit(1), F.char_length(text)), start, step)["best"]).otherwise(0.0)
+def window_entropy(text: Column, size: int) -> Column:
+    """The highest Shannon entropy, in bits a character, of any ``size`` (at most 31) consecutive characters between ``+`` and
+    ``z``; 0 for shorter texts.
 
+    Entropy is log2(size) - sum(c log2 c) / size over the character counts c. The counts are kept while the window moves: a
+    step takes the leaving character out of them and puts the entering one in, and each changes the sum by one term.
+    """
+    terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(size + 2)])
 
-def _random_looking(kind: CharClass) -> Column:
+    def term(count: Column) -> Column:
+        return F.element_at(terms, count.cast("int") + 1)
+
+    def step(state: Column, event: Column) -> Column:
+        field, shift = F.floor(event["code"] / _PER).cast("int"), ((event["code"] % _PER) * _BITS).cast("int")
+        own = F.element_at(F.array(*[state[f"f{k}"] for k in range(_FIELDS)]), field + 1)
+        count = F.call_function("shiftright", own, shift).bitwiseAND(F.lit((1 << _BITS) - 1))
+        change = F.call_function("shiftleft", event["by"], shift)
+        total = state["total"] + term(count + event["by"]) - term(count)
+        bits = F.when(event["full"], F.lit(math.log2(size)) - total / size).otherwise(0.0)
+        changed = F.struct(*[F.when(field == k, state[f"f{k}"] + change).otherwise(state[f"f{k}"]).alias(f"f{k}") for k in range(_FIELDS)],
+                           total.alias("total"), F.greatest(state["best"], bits).alias("best"))
+        return F.when(event["code"].isNull(), state).otherwise(changed)
+
+    def moves(codes: Column) -> Column:
+        """The characters that leave and enter, in turn; none leaves before the window is full."""
+        leaving = F.concat(F.array_repeat(F.lit(None).cast("int"), size), codes)
+        return F.flatten(F.zip_with(F.transform(codes, lambda c, i: F.struct(c.alias("code"), (i >= size - 1).alias("full"))), leaving, lambda c, out: F.array(
+            F.struct(out.alias("code"), F.lit(-1).cast("long").alias("by"), F.lit(False).alias("full")),
+            F.struct(c["code"].alias("code"), F.lit(1).cast("long").alias("by"), c["full"].alias("full")))))
+
+    codes = F.transform(F.split(text, ""), lambda c: F.ascii(c) - _FIRST)
+    start = F.struct(*[F.lit(0).cast("long").alias(f"f{k}") for k in range(_FIELDS)], F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
+    best = F.element_at(F.transform(F.array(codes), lambda c: F.aggregate(moves(c), start, step)["best"]), 1)
+    return F.when(F.char_length(text) >= size, best).otherwise(0.0)
+
+
+def _random_looking(kind: CharClass, known: Column) -> Column:
+    """Candidates of a class that overlap no known form, that nothing allows, and that have a window of high entropy."""
     def keep(x: Column) -> Column:
         text = x["found"]
         shape = F.lit(True)
@@ -105,7 +135,8 @@ def _random_looking(kind: CharClass) -> Column:
         shape = shape & ~x["before"].rlike(ALLOWED_BEFORE)
         return F.when(shape, window_entropy(text, kind.window) >= kind.bits).otherwise(False)
 
-    return F.filter(_found(F.col("text"), kind.pattern), keep)
+    found = _found(F.col("text"), kind.pattern)
+    return F.filter(F.when(F.size(known) > 0, _free(found, known)).otherwise(found), keep)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
@@ -122,19 +153,39 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     assign = F.filter(_found(F.col("text"), ASSIGN),
                       lambda x: F.char_length(F.regexp_extract(x["found"], ASSIGN, 2)) >= ASSIGN_LEAST)
     access = F.filter(_found(F.col("text"), ACCESS), lambda x: F.char_length(x["found"]) >= ACCESS_LEAST)
-    found = [("assign", assign), ("access", access), ("hex", _found(F.col("text"), HEX)),
-             *((kind.kind, _random_looking(kind)) for kind in CLASSES)]
-    rows = rows.select("doc_id", *[_spans(col, rank, kind).alias(kind) for rank, (kind, col) in enumerate(found)])
-    known = F.concat("assign", "access", "hex")
-    spans = known
+    forms = [("assign", assign), ("access", access), ("hex", _found(F.col("text"), HEX))]
+    rows = rows.select("doc_id", "text", F.concat(*[_spans(col, rank, kind) for rank, (kind, col) in enumerate(forms)]).alias("known"))
+    rows = rows.select("doc_id", "known", *[
+        _spans(_random_looking(kind, F.col("known")), rank, kind.kind).alias(kind.kind) for rank, kind in enumerate(CLASSES, len(forms))])
+    spans = F.col("known")
     for kind in CLASSES:
         spans = F.concat(spans, F.when(F.size(kind.kind) > 0, _free(F.col(kind.kind), spans)).otherwise(F.col(kind.kind)))
-    return rows.select("doc_id", F.array_sort(known).alias("base"), F.array_sort(spans).alias("spans"))
+    return rows.select("doc_id", F.array_sort("known").alias("base"), F.array_sort(spans).alias("spans"))
 
 
 def _free(spans: Column, taken: Column) -> Column:
-    """The spans that overlap none of the taken ones."""
-    return F.filter(spans, lambda x: ~F.exists(taken, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
+    """The spans that overlap none of the taken ones.
+
+    Taken spans that begin before a span's end, less those that end at or before its start, are the ones that overlap it; both
+    numbers come from bisection in sorted arrays.
+    """
+    def search(x: Column) -> Column:
+        return F.filter(spans, lambda s: _below(x["starts"], s["end"], F.lit(False)) == _below(x["ends"], s["start"], F.lit(True)))
+
+    sorted_ends = F.struct(F.array_sort(F.transform(taken, lambda t: t["start"])).alias("starts"),
+                           F.array_sort(F.transform(taken, lambda t: t["end"])).alias("ends"))
+    return F.element_at(F.transform(F.array(sorted_ends), search), 1)
+
+
+def _below(numbers: Column, bound: Column, equal: Column) -> Column:
+    """How many of the sorted numbers lie below the bound, or at it too."""
+    def step(low: Column, i: Column) -> Column:
+        middle = low + F.call_function("shiftleft", F.lit(1), 30 - i)
+        value = F.try_element_at(numbers, middle)
+        return F.when((middle <= F.size(numbers)) & ((value < bound) | (equal & (value == bound))), middle).otherwise(low)
+
+    # Steps by falling powers of two; the first ones are longer than any text has matches.
+    return F.aggregate(F.sequence(F.lit(6), F.lit(30)), F.lit(0), step)
 
 
 def _spans(found: Column, rank: int, kind: str) -> Column:

@@ -278,6 +278,9 @@ def _shard_writer(folder: str, digest: bytes) -> Callable[[Iterator[pa.RecordBat
     return write
 
 
+SHARDS_PER_TASK = 4  # some megabytes each
+
+
 class Shard:
     """One shard file, open for reading single documents."""
 
@@ -337,5 +340,6 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                         "shard": pa.array([row["shard"]] * shard.n_docs, pa.int32()),
                         "place": pa.array(range(shard.n_docs), pa.int32())})
 
-    # A shard is some megabytes: few to a task.
-    return manifest.repartition(F.col("path")).mapInArrow(read, ddl)
+    # The manifest is small and what it names is not: the number of tasks comes from the number of shards.
+    tasks = max(1, -(-manifest.count() // SHARDS_PER_TASK))
+    return manifest.repartitionByRange(tasks, "shard").mapInArrow(read, ddl)
