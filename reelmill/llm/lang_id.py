@@ -28,6 +28,7 @@ BATCH = 256
 RATE = 0.02
 UNDECIDED = "und"
 JUDGED_BYTES = 200  # shorter texts are never rejected for their score
+EVIDENCE = 100  # right answers that it takes to tell what a low score is
 SCORE_MARGIN = 0.85  # of the lowest scores seen
 FOLDS = 5  # documents whose id has remainder 0 are held out of the fit
 
@@ -228,13 +229,13 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, runs_per_do
 
 def least_score(found: DataFrame, folds: int = FOLDS) -> float:
     """The score that an answer needs to be believed, from documents that were held out (``doc_id``, ``text``, ``lang``,
-    ``lang_pred``, ``score``): somewhat below the lowest thousandth of the right answers. 0 if there are none.
+    ``lang_pred``, ``score``): somewhat below the lowest thousandth of the right answers. 0 if there are fewer than ``EVIDENCE``.
 
     Texts under ``JUDGED_BYTES`` say too little and are not asked.
     """
     right = (remainder(F.col("doc_id"), folds) == 0) & (F.col("lang") == F.col("lang_pred")) & (F.octet_length("text") >= JUDGED_BYTES)
-    low = found.where(right).agg(F.percentile_approx("score", 0.001, 10_000)).first()[0]
-    return SCORE_MARGIN * low if low is not None else 0.0
+    low, count = found.where(right).agg(F.percentile_approx("score", 0.001, 10_000), F.count("*")).first()
+    return SCORE_MARGIN * low if count >= EVIDENCE else 0.0
 
 
 def believable(least: float) -> Column:

@@ -121,15 +121,20 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_line_dedup", r"""
 with split as (
   select doc_id, text, string_split(text, chr(10)) as lines from documents),
-numbered as (
-  select doc_id, lines, unnest(range(greatest(len(lines) - 2, 0))) as first from split where text is not null),
+counted as (
+  select *, list_transform(lines, lambda x: len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) as words from split where text is not null),
+windows as (
+  select doc_id, lines, words, size, unnest(range(greatest(len(lines) - size + 1, 0))) as first
+  from (select *, unnest([1, 2, 3]) as size from counted)),
 runs as (
-  select doc_id, first, lines[first + 1 : first + 3] as run from numbered),
+  select doc_id, first, size, 'part' as kind, lines[first + 1 : first + size] as run,
+         list_sum(words[first + 1 : first + size]) as n from windows),
 full_runs as (
-  select doc_id, first, run, min((doc_id, first)) over (partition by run) as kept
-  from runs where regexp_matches(array_to_string(run, ' '), '[^\x20\x09-\x0D]')),
+  select *, min((doc_id, first)) over (partition by kind, run) as kept from (
+    select doc_id, first, size, kind, run from runs where n >= 20 or (size = 3 and n > 0)
+    union all select doc_id, 0, len(lines), 'whole', lines from counted where len(lines) < 3 and list_sum(words) > 0)),
 gone as (
-  select distinct doc_id, unnest([first, first + 1, first + 2]) as line from full_runs where (doc_id, first) <> kept),
+  select distinct doc_id, unnest(range(first, first + size)) as line from full_runs where (doc_id, first) <> kept),
 each as (
   select s.doc_id, s.text, unnest(s.lines) as piece, unnest(range(len(s.lines))) as line from split s),
 marked as (

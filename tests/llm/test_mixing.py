@@ -50,3 +50,12 @@ def test_mixed_documents(documents, corpus):
     for r in out.collect():
         count[r.doc_id] = count.get(r.doc_id, 0) + 1
     assert count == {r.doc_id: r.taken // r.size for r in rows if r.taken}
+
+
+def test_rows_without_ids_are_decided_one_by_one(documents, prose):
+    """Five hundred rows that share no id come within one document of their target."""
+    rows = [(None, prose(10), "en", "a") for _ in range(500)] + [(4, prose(10), "en", "a") for _ in range(100)]
+    rows += [(k, prose(30), "en", "b") for k in range(300)] + [(1000 + k, prose(10), "en", "c") for k in range(300)]
+    found = mixing.mix_sources(documents(rows)).collect()
+    target = next(r.target for r in found if r.source_size == 6000)
+    assert abs(sum(r.taken for r in found if r.source_size == 6000) - target) <= 10

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import numpy as np
 import pytest
-from reelmill.llm import decontaminate, jaccard_join, lang_id, lines, mixing, neighbours, pii, secrets, substring, token_store
+from reelmill.llm import decontaminate, jaccard_join, lang_id, lines, mixing, neighbours, periodic, pii, secrets, substring, token_store
 from reelmill.llm.token_store import read_tokens, word_encoding, write_tokens
 
 
@@ -22,6 +22,7 @@ OPERATORS = {
     "language": _language,
     "passages": substring.drop_repeated_passages,
     "lines": lines.drop_repeated_lines,
+    "periodic": periodic.find_runs,
 }
 
 

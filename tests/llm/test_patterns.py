@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import random
+import string
+import time
 from collections import Counter
 
 import numpy as np
@@ -112,3 +115,16 @@ def test_window_entropy(spark):
     for r in rows:
         best = max((entropy(r.text[i:i + 8]) for i in range(len(r.text) - 7)), default=0.0)
         assert abs(r.bits - best) < 1e-9, r
+
+
+def test_long_candidates_and_many_matches(documents):
+    """Work grows with the text, also for one long candidate or very many matches."""
+    rng = random.Random(3)
+    kinds = (string.ascii_lowercase, string.ascii_uppercase, string.digits)
+    code = "".join(rng.choice(kinds[k % 3]) for k in range(200_000))  # no run of one class
+    numbers = " ".join("".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(20_000))
+    start = time.monotonic()
+    found = {r.doc_id: r for r in scan.scan_secrets(documents([(1, f"x {code}"), (2, numbers)])).collect()}
+    assert time.monotonic() - start < 60
+    assert [(s.kind, s.start, s.end) for s in found[1].spans] == [("base64", 2, 200_002)]
+    assert [(s.start, s.kind, s.end) for s in found[2].base] == [(a, k, e) for a, k, e in secrets(numbers)]

@@ -6,6 +6,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from brute import components
 from reelmill.llm import lang_id, mixing
 from reelmill.llm.shared import frozen
@@ -51,3 +52,19 @@ def test_run_is_the_stages_in_order(spark, folder):
     rows = corpus_pipeline.run(spark, folder).orderBy("start").collect()
     assert rows[0].start == 0 and all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
     assert lang_id.UNDECIDED == "und"
+
+
+def test_language_stage_rejects_other_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    other = ["Быстрая коричневая лиса перепрыгивает через ленивую собаку и бежит дальше в лес " * 4, "Быстрая лиса", "1234 5678 " * 40, None]
+    mixed = docs.unionByName(spark.createDataFrame([(10 ** 6 + k, t, None, "x", None) for k, t in enumerate(other)], docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, mixed, "").collect()}
+    assert kept & {10 ** 6 + k for k in range(4)} == {10 ** 6 + 1}  # too short to tell
+    known = {r.doc_id for r in docs.collect()}
+    assert len(known - kept) <= 0.003 * len(known)
+
+
+def test_language_stage_without_labels_keeps_all(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    blank = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.keep_known_languages(spark, blank, "").count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
