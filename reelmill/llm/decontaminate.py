@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import empty, only, small_batches, union
+from reelmill.llm.shared import empty, give_back, only, small_batches, union
 from reelmill.llm.words import mix, raw, slices
 
 SPANS = (44, 36, 30, 26, 22, 18, 15)  # steps that a key may cover; a walk passes a character in two steps on average
@@ -368,6 +368,8 @@ def _pass(rows: DataFrame, shared) -> DataFrame:
                         pa.array([x[3] for x in found], pa.int64()),
                         pa.array([x[1].words for x in found], pa.int32())],
                         names=["doc_id", "text_id", "item_id", "edits", "first_word", "n_words"])
+        del index
+        give_back()
 
     return rows.mapInArrow(search, DDL)
 

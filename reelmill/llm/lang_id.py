@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelmill.llm.shared import only, schema, small_batches
+from reelmill.llm.shared import give_back, only, schema, small_batches
 from reelmill.llm.words import raw, slices
 
 RUN = 64  # bytes that are read in one go
@@ -299,5 +299,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
                      *(batch.column(f"kept {name}").slice(start, n) for name in keep)],
                     names=["doc_id", "lang_pred", "score", *keep])
 
+        give_back()
+
     fields = schema("doc_id long, lang_pred string, score double").fields
     return rows.mapInArrow(label, T.StructType([*fields, *others.fields]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,15 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def give_back() -> None:
+    """Return memory that this Python process has freed to the system. Workers serve one stage after the other, and what an
+    earlier one needed would else count against the executor's limit in a later one."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def only(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """The named columns, cast; whatever else the table holds stays out of the operator's way."""
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in types.items()])

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelmill.llm.shared import frozen, hash_sample, only, small_batches
+from reelmill.llm.shared import frozen, give_back, hash_sample, only, small_batches
 from reelmill.llm.words import gathered, hash_spans, raw, slices, spans
 from reelmill.session import fresh_path
 
@@ -210,6 +210,7 @@ def write_tokens(docs: DataFrame, how: Encoding, folder: str | None = None, dict
             out.write(dictionary)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         pack = _compressor(dictionary, how.level).compress
         width = None
         for batch in batches:
