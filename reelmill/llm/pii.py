@@ -9,11 +9,13 @@ Loopy message passing over both kinds of links gives the label probabilities of
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,14 +27,16 @@ LABELS = ("none", *KINDS)
 SAMPLE_DOCS = 20_000  # the field is fitted on about so many documents, labelled by the patterns
 SAMPLE_WORDS = 200  # documents of the sample with more nodes are left out
 ROUNDS = 12  # of message passing
+SLICE = 65_536  # links, or nodes, whose tables are held at once
 STEPS = 150
 SURE = 0.9  # probability from which a word is reported
 CONSISTENCY = 2.0  # what the potential of equal labels on a skip link is drawn to while fitting
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
-_DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
+# Repeated groups are possessive: nothing follows them, and places to go back to would be kept for each repetition.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*+")
+_DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^ \t-\r]+")
 _NODE = re.compile(r"[0-9@]")
@@ -105,18 +109,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 @dataclass
 class Graph:
-    """Nodes of one or several documents: ``features`` (node, feature), ``given`` (label or -1), links by node numbers."""
+    """Nodes of one or several documents: ``features`` (node, feature) of 0 and 1, ``given`` (label or -1), links by node
+    numbers. A node takes about 60 bytes with its links."""
 
     features: np.ndarray
     given: np.ndarray
     chain: np.ndarray  # (link, 2)
     skip: np.ndarray
-    spans: list[tuple[int, int]]  # of the words, without punctuation around them
+    spans: np.ndarray  # (node, 2): of the words, without punctuation around them
 
 
 def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
     """The field over the words of a text; words that a base span covers are given their kind."""
-    spans, rows, forms, numbers, given = [], [], [], [], []
+    spans, forms, numbers, given, rows = array("i"), array("Q"), array("i"), array("b"), bytearray()
     at = 0
     for number, word in enumerate(_WORD.finditer(text)):
         if not _NODE.search(word[0]):
@@ -125,23 +130,24 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
             at += 1
         inner = word[0].strip(".,;:!?\"'()[]{}<>")
         start = word.start() + max(word[0].find(inner), 0)
-        spans.append((start, start + len(inner)))
+        spans.extend((start, start + len(inner)))
         digits = re.sub(r"[^0-9]", "", inner)
-        rows.append([*(bool(shape.search(word[0])) for _, shape in _SHAPES), any(True for _ in ips(inner)),
-                     14 <= len(digits) <= 19 and luhn(digits), True])
-        forms.append(digits if len(digits) >= 3 and "@" not in inner else inner.lower())
+        rows += bytes((*(bool(shape.search(word[0])) for _, shape in _SHAPES), any(True for _ in ips(inner)),
+                       14 <= len(digits) <= 19 and luhn(digits), True))
+        form = digits if len(digits) >= 3 and "@" not in inner else inner.lower()
+        forms.append(xxhash.xxh3_64_intdigest(form.encode("utf-8", "surrogatepass")))
         numbers.append(number)
         cover = [k for start, k, end in base[at:at + 4] if start < word.end() and end > word.start()]
         given.append(cover[0] + 1 if cover else -1)
-    last: dict[str, int] = {}
-    skip = []
-    for node, form in enumerate(forms):
-        if form in last and numbers[node] - numbers[last[form]] > 1:
-            skip.append((last[form], node))
-        last[form] = node
-    chain = [(i, i + 1) for i in range(len(numbers) - 1) if numbers[i + 1] == numbers[i] + 1]
-    return Graph(np.array(rows, np.float64).reshape(-1, len(FEATURES)), np.array(given, np.int64),
-                 np.array(chain, np.int64).reshape(-1, 2), np.array(skip, np.int64).reshape(-1, 2), spans)
+    form, place = np.array(forms, np.uint64), np.array(numbers, np.int32)
+    order = np.argsort(form, kind="stable").astype(np.int32)  # nodes of one form side by side, in the text's order
+    same = form[order[1:]] == form[order[:-1]]
+    first, second = order[:-1][same], order[1:][same]
+    apart = place[second] - place[first] > 1
+    skip = np.stack([first[apart], second[apart]], axis=1)
+    before = np.flatnonzero(np.diff(place) == 1).astype(np.int32)
+    return Graph(np.frombuffer(bytes(rows), np.uint8).reshape(-1, len(FEATURES)), np.array(given, np.int8),
+                 np.stack([before, before + 1], axis=1), skip[np.argsort(skip[:, 1])], np.array(spans, np.int32).reshape(-1, 2))
 
 
 def joined(graphs: list[Graph]) -> Graph:
@@ -149,7 +155,7 @@ def joined(graphs: list[Graph]) -> Graph:
     starts = np.cumsum([0, *(len(g.given) for g in graphs)])
     return Graph(np.concatenate([g.features for g in graphs]), np.concatenate([g.given for g in graphs]),
                  np.concatenate([g.chain + s for g, s in zip(graphs, starts)]),
-                 np.concatenate([g.skip + s for g, s in zip(graphs, starts)]), [s for g in graphs for s in g.spans])
+                 np.concatenate([g.skip + s for g, s in zip(graphs, starts)]), np.concatenate([g.spans for g in graphs]))
 
 
 @dataclass
@@ -171,39 +177,67 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def beliefs(field: Field, graph: Graph, clamp: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Label probabilities of nodes (node, label) and of links (link, label, label), chain links first.
+def _slices(graph: Graph, field: Field) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Runs of at most ``SLICE`` links, chain links first: their numbers, their nodes, and the potential they share."""
+    for links, pair, first in ((graph.chain, field.chain, 0), (graph.skip, field.skip, len(graph.chain))):
+        for low in range(0, len(links), SLICE):
+            some = links[low:low + SLICE]
+            yield slice(first + low, first + low + len(some)), some, pair
+
 
-    Messages pass along all links at once, half of each being kept from the round before, which settles loops.
+def _settled(field: Field, graph: Graph, clamp: bool, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log potentials of nodes with all messages to them, and the messages along and against each link, as ``kind``.
+
+    Messages pass along all links at once, half of each being kept from the round before, which settles loops. Every message
+    of a round is made from the last round's alone, so that links can be taken in slices.
     """
-    own = graph.features @ field.node
+    own = np.empty((len(graph.given), len(LABELS)), kind)
+    for low in range(0, len(own), SLICE):
+        own[low:low + SLICE] = graph.features[low:low + SLICE].astype(np.float64) @ field.node
     if clamp:
-        known = graph.given >= 0
+        known = np.flatnonzero(graph.given >= 0)
         own[known] = -50.0
         own[known, graph.given[known]] = 50.0
-    links = np.concatenate([graph.chain, graph.skip])
-    pair = np.concatenate([np.broadcast_to(field.chain, (len(graph.chain), *field.chain.shape)),
-                           np.broadcast_to(field.skip, (len(graph.skip), *field.skip.shape))])
-    there = np.zeros((len(links), len(LABELS)))  # from a link's first node to its second
+    there = np.zeros((len(graph.chain) + len(graph.skip), len(LABELS)), kind)  # from a link's first node to its second
     back = np.zeros_like(there)
 
     def total() -> np.ndarray:
         out = own.copy()
-        np.add.at(out, links[:, 1], there)
-        np.add.at(out, links[:, 0], back)
+        for run, links, _ in _slices(graph, field):
+            np.add.at(out, links[:, 1], there[run])
+            np.add.at(out, links[:, 0], back[run])
         return out
 
-    for _ in range(ROUNDS if len(links) else 0):
+    for _ in range(ROUNDS if len(there) else 0):
         now = total()
-        new = _log_sum((now[links[:, 0]] - back)[:, :, None] + pair, 1)
-        old = _log_sum((now[links[:, 1]] - there)[:, None, :] + pair, 2)
-        there += 0.5 * (new - _log_sum(new, 1)[:, None] - there)
-        back += 0.5 * (old - _log_sum(old, 1)[:, None] - back)
-    now = total()
-    nodes = np.exp(now - _log_sum(now, 1)[:, None])
-    both = (now[links[:, 0]] - back)[:, :, None] + (now[links[:, 1]] - there)[:, None, :] + pair
-    both = np.exp(both - both.max(axis=(1, 2), keepdims=True)) if len(links) else both
-    return nodes, both / both.sum(axis=(1, 2), keepdims=True)
+        for run, links, pair in _slices(graph, field):
+            new = _log_sum((now[links[:, 0]] - back[run])[:, :, None] + pair, 1)
+            old = _log_sum((now[links[:, 1]] - there[run])[:, None, :] + pair, 2)
+            there[run] += 0.5 * (new - _log_sum(new, 1)[:, None] - there[run])
+            back[run] += 0.5 * (old - _log_sum(old, 1)[:, None] - back[run])
+    return total(), there, back
+
+
+def beliefs(field: Field, graph: Graph, clamp: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities of nodes (node, label) and of links (link, label, label), chain links first. For fitting: the tables
+    of all links are held."""
+    now, there, back = _settled(field, graph, clamp, np.float64)
+    both = np.empty((len(there), len(LABELS), len(LABELS)))
+    for run, links, pair in _slices(graph, field):
+        both[run] = (now[links[:, 0]] - back[run])[:, :, None] + (now[links[:, 1]] - there[run])[:, None, :] + pair
+    both = np.exp(both - both.max(axis=(1, 2), keepdims=True)) if len(both) else both
+    return np.exp(now - _log_sum(now, 1)[:, None]), both / both.sum(axis=(1, 2), keepdims=True)
+
+
+def most_likely(field: Field, graph: Graph) -> np.ndarray:
+    """Each node's label where the field is sure, given the known ones; 0 elsewhere."""
+    now, _, _ = _settled(field, graph, True, np.float32)
+    best = np.zeros(len(now), np.int8)
+    for low in range(0, len(now), SLICE):
+        some = now[low:low + SLICE]
+        chance = np.exp(some - _log_sum(some, 1)[:, None])
+        best[low:low + SLICE] = np.where(chance.max(axis=1) >= SURE, chance.argmax(axis=1), 0)
+    return best
 
 
 def fit_field(graphs: list[Graph], steps: int = STEPS) -> Field:
@@ -215,6 +249,7 @@ def fit_field(graphs: list[Graph], steps: int = STEPS) -> Field:
         return field
     graph = joined(graphs)
     labels = np.maximum(graph.given, 0)
+    features = graph.features.astype(np.float64)
     links = np.concatenate([graph.chain, graph.skip])
     one = np.eye(len(LABELS))
     weights = (field.node, field.chain, field.skip)
@@ -225,7 +260,7 @@ def fit_field(graphs: list[Graph], steps: int = STEPS) -> Field:
         nodes, pairs = beliefs(field, graph, clamp=False)
         seen = np.zeros_like(pairs)
         seen[np.arange(len(links)), labels[links[:, 0]], labels[links[:, 1]]] = 1
-        found = (graph.features.T @ (one[labels] - nodes), (seen - pairs)[:split].sum(axis=0), (seen - pairs)[split:].sum(axis=0))
+        found = (features.T @ (one[labels] - nodes), (seen - pairs)[:split].sum(axis=0), (seen - pairs)[split:].sum(axis=0))
         for w, g, p, a, b in zip(weights, found, prior, first, second, strict=True):
             g = (g - 0.05 * (w - p)) / len(labels)
             a += 0.1 * (g - a)
@@ -238,14 +273,14 @@ def added_spans(field: Field, graph: Graph, base: list[tuple[int, int, int]]) ->
     """Spans of neighbouring words that the field is sure about and that overlap no base span."""
     if not len(graph.given):
         return []
-    nodes, _ = beliefs(field, graph, clamp=True)
-    best = np.where(nodes.max(axis=1) >= SURE, nodes.argmax(axis=1), 0)
+    best = most_likely(field, graph)
     best[graph.given >= 0] = 0
-    linked = {b for a, b in graph.chain.tolist() if best[a] == best[b]}
+    linked = np.zeros(len(best), bool)
+    linked[graph.chain[best[graph.chain[:, 0]] == best[graph.chain[:, 1]], 1]] = True
     out: list[tuple[int, int, int]] = []
     for node in np.flatnonzero(best).tolist():
-        start, end = graph.spans[node]
-        if node in linked:
+        start, end = graph.spans[node].tolist()
+        if linked[node]:
             start = out.pop()[0]
         out.append((start, int(best[node]) - 1, end))
     taken = sorted(base)
@@ -284,8 +319,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field:
     graphs = []
     for row in sorted(chosen.mapInArrow(read, ddl).collect(), key=lambda r: (bytes(r.features), r.given, r.chain, r.skip)):
         bits = np.unpackbits(np.frombuffer(bytes(row.features), np.uint8))[:len(row.given) * len(FEATURES)]
-        graphs.append(Graph(bits.reshape(-1, len(FEATURES)).astype(np.float64), np.array(row.given, np.int64),
-                            np.array(row.chain, np.int64).reshape(-1, 2), np.array(row.skip, np.int64).reshape(-1, 2), []))
+        graphs.append(Graph(bits.reshape(-1, len(FEATURES)), np.array(row.given, np.int64),
+                            np.array(row.chain, np.int64).reshape(-1, 2), np.array(row.skip, np.int64).reshape(-1, 2), np.zeros((len(row.given), 2), np.int32)))
     return fit_field(graphs)
 
 
@@ -293,11 +328,11 @@ def find_personal_data(docs: DataFrame, field: Field) -> DataFrame:
     """Documents (``doc_id``, ``text``) with ``base``, the pattern matches, and ``spans``, these and what the field adds:
     arrays of structs (``start``, ``rank`` of the kind, ``kind``, ``end``) ordered by start, then kind, in code points.
 
-    Missing and empty texts have no spans. Every row is answered by its text alone, repeated and missing ids too; an empty
+    Memory grows with one text: its numbers take about 150 bytes a word while labels are passed, in single precision, the tables
+    of links being made in slices. Missing and empty texts have no spans. Every row is answered by its text alone, repeated and missing ids too; an empty
     table gives no rows; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    span = pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])
     span_ddl = "array<struct<start: int, rank: int, kind: string, end: int>>"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,18 +347,21 @@ def find_personal_data(docs: DataFrame, field: Field) -> DataFrame:
                         text = batch.column("text")[start + k].as_py()
                         known = base_spans(text)
                         more = added_spans(shared.value, graph_of(text, known), known)
-                    base.append([_struct(x) for x in known])
-                    spans.append([_struct(x) for x in sorted(known + more)])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), pa.array(
-                    base, pa.list_(span)), pa.array(spans, pa.list_(span))], names=["doc_id", "base", "spans"])
+                    base.append(known)
+                    spans.append(sorted(known + more))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), _lists(base), _lists(spans)],
+                                                 names=["doc_id", "base", "spans"])
 
     return only(small_batches(docs), {"doc_id": "long", "text": "string"}).mapInArrow(
         find, f"doc_id long, base {span_ddl}, spans {span_ddl}")
 
 
-def _struct(span: tuple[int, int, int]) -> dict:
-    start, kind, end = span
-    return {"start": start, "rank": kind, "kind": KINDS[kind], "end": end}
+def _lists(rows: list[list[tuple[int, int, int]]]) -> pa.ListArray:
+    """Lists of spans as lists of structs."""
+    start, rank, end = (pa.array((x[i] for row in rows for x in row), pa.int32()) for i in range(3))
+    kind = pa.array(KINDS).take(rank)
+    offsets = pa.array(np.cumsum([0, *(len(row) for row in rows)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([start, rank, kind, end], names=["start", "rank", "kind", "end"]))
 
 
 def count_of(spans: str, kind: str):

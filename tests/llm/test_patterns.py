@@ -6,6 +6,7 @@ import math
 import random
 import string
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -72,6 +73,36 @@ def test_message_passing_is_exact_on_a_tree(field):
     assert np.allclose(pairs.sum(axis=(1, 2)), 1)
 
 
+def test_slices_of_links(field, monkeypatch):
+    """Messages do not depend on how links are sliced, and hold a bounded number of bytes for each node."""
+    rng = random.Random(5)
+    text = " ".join(rng.choice([*PHONES, *MAILS, "word", "12", "4111", "555-0199"]) for _ in range(400))
+    base = pii.base_spans(text)
+    graph = pii.graph_of(text, base)
+    whole, added = pii.beliefs(field, graph, clamp=True), pii.added_spans(field, graph, base)
+    monkeypatch.setattr(pii, "SLICE", 7)
+    cut = pii.beliefs(field, graph, clamp=True)
+    assert np.allclose(whole[0], cut[0]) and np.allclose(whole[1], cut[1]) and pii.added_spans(field, graph, base) == added
+    monkeypatch.undo()
+    numbers = " ".join(str(rng.randrange(10 ** rng.randrange(3, 6))) for _ in range(200_000))
+    graph = pii.graph_of(numbers, [])
+    assert len(graph.given) == 200_000 and len(graph.skip) > 100_000
+    tracemalloc.start()
+    pii.most_likely(field, graph)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 * len(graph.given) + 1000 * pii.SLICE
+
+
+def test_equal_forms_are_linked():
+    """Each node is linked to the next one of its form, unless that is its neighbour."""
+    text = "555-0199 a 5550199 5550199. b A@b.com c a@B.com, 12 12 d 12"
+    graph = pii.graph_of(text, [])
+    assert graph.skip.tolist() == [[0, 1], [3, 4], [6, 7]]
+    assert graph.chain.tolist() == [[1, 2], [4, 5], [5, 6]]
+    assert [text[a:b] for a, b in graph.spans.tolist()][:3] == ["555-0199", "5550199", "5550199"]
+
+
 def test_find_personal_data(documents, field):
     texts = [*PHONES[:3], *MAILS[:3], "no data here", None, "é" * 9 + " 10.0.0.1", "4111 1111 1111 1111"]
     rows = {r.doc_id: r for r in pii.find_personal_data(documents(list(enumerate(texts))), field).collect()}
