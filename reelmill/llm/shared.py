@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,9 +47,10 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 
 def give_back() -> None:
-    """Return memory that this Python process has freed to the system. Workers serve one stage after the other, and what an
-    earlier one needed would else count against the executor's limit in a later one."""
+    """Return memory that this Python process has freed to the system, Arrow's pool included. Workers serve one stage after
+    the other, and what an earlier one needed would else count against the executor's limit in a later one."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
     if trim is not None:
         trim(0)

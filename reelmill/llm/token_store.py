@@ -36,7 +36,7 @@ SHARD_BYTES = 8 << 20  # a shard is closed when its frames reach this size
 SAMPLE_DOCS = 2000  # about so many documents train the dictionary, those with the smallest hashes
 SAMPLE_BYTES = 16 << 10  # of one document's ids in that sample
 DICTIONARY_BYTES = 64 << 10
-CACHED_WORDS = 3_000_000  # by hash: about 100 MB
+CACHED_WORDS = 1_500_000  # by hash: about 50 MB
 
 
 @dataclass(frozen=True)
@@ -226,6 +226,7 @@ def write_tokens(docs: DataFrame, how: Encoding, folder: str | None = None, dict
                     "frame": pa.array([pack(x) for x in data], pa.binary()),
                 })
                 at += len(data)
+        give_back()
 
     rows = only(small_batches(docs), {"doc_id": "long", "text": "string"})
     encoded = frozen(rows.mapInArrow(frames, "doc_id long, n_tokens long, width int, frame binary"), "token-frames")
