@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelmill.llm.components import connected_components
-from reelmill.llm.shared import frozen, only, small_batches
+from reelmill.llm.shared import frozen, give_back, only, small_batches
 from reelmill.llm.words import hashes, mix, raw, shingles, slices
 
 SHINGLE = 5
@@ -79,6 +79,8 @@ def token_counters(texts: DataFrame, size: int) -> np.ndarray:
             blocks = np.minimum(total, 255).astype(np.uint8).reshape(-1, COUNTER_BLOCK)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array(
                 [x.tobytes() for x in blocks], pa.binary())], names=["block", "counts"])
+        del total
+        give_back()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -120,6 +122,7 @@ def _heads(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     pa.array(np.concatenate(ids).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(prefixes).view(np.int64)))],
                     names=["doc_id", "n", "set_id", "prefix"])
+        give_back()
 
     return docs.mapInArrow(make, "doc_id long, n int, set_id long, prefix array<long>")
 
@@ -152,6 +155,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     batch.column("doc_id").slice(start, stop - start),
                     pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(tokens)))],
                     names=["node", "tokens"])
+        give_back()
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", place)
     return frozen(rows.mapInArrow(make, "node long, tokens array<long>"), "shingle-sets")

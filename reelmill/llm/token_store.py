@@ -13,6 +13,7 @@ A document is read by its index record and one frame. The dictionary lies beside
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -36,7 +37,8 @@ SHARD_BYTES = 8 << 20  # a shard is closed when its frames reach this size
 SAMPLE_DOCS = 2000  # about so many documents train the dictionary, those with the smallest hashes
 SAMPLE_BYTES = 16 << 10  # of one document's ids in that sample
 DICTIONARY_BYTES = 64 << 10
-CACHED_WORDS = 1_500_000  # by hash: about 50 MB
+CACHED_WORDS = 1_500_000  # by hash: 24 MB with two ids a word,
+CACHED_IDS = 8 << 20  # and at most 16 MB of ids, however long the words are
 
 
 @dataclass(frozen=True)
@@ -69,8 +71,11 @@ class WordCache:
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, self.kind)
+        self.hashes, self.starts = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.sizes, self.pool = np.zeros(0, np.uint32), np.zeros(0, self.kind)
+
+    def full(self) -> bool:
+        return len(self.hashes) > CACHED_WORDS or len(self.pool) > CACHED_IDS
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes and which of them are there."""
@@ -88,10 +93,16 @@ class WordCache:
         self.hashes = np.insert(self.hashes, at, new)
         self.starts, self.sizes = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes)
 
+    def runs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts in the pool and sizes of the words at these places."""
+        return self.starts[at].astype(np.int64), self.sizes[at].astype(np.int64)
+
 
 def _loaded(path: str):
     """The tokenizer, its id type and the word cache of this Python process."""
     if path not in _tokenizers:
+        # A task has one core; the tokenizer's own threads would each keep memory besides.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -137,7 +148,7 @@ def encode(texts: pa.Array, how: Encoding) -> Iterator[bytes]:
 def _by_word(cache: WordCache, text: np.ndarray, starts: np.ndarray, ends: np.ndarray,
              ids: Callable[[list[str]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all words, one after the other, and how many each word has."""
-    if len(cache.hashes) > CACHED_WORDS:
+    if cache.full():
         cache.clear()
     words, first, each = np.unique(hash_spans(text, starts, ends, fold=True), return_index=True, return_inverse=True)
     at, there = cache.find(words)
@@ -146,8 +157,9 @@ def _by_word(cache: WordCache, text: np.ndarray, starts: np.ndarray, ends: np.nd
         spelled = [text[starts[i]:ends[i]].tobytes().lower() for i in first[new].tolist()]
         cache.add(words[new], _split_ids(spelled, ids))
         at = cache.find(words)[0]
-    sizes = cache.sizes[at][each]
-    return gathered(cache.pool, cache.starts[at][each], sizes), sizes
+    own, counts = cache.runs(at)
+    sizes = counts[each]
+    return gathered(cache.pool, own[each], sizes), sizes
 
 
 def _split_ids(words: list[bytes], ids: Callable[[list[str]], list[list[int]]]) -> list[list[int]]:

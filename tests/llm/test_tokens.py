@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -54,3 +57,25 @@ def test_changed_dictionary_is_noticed(documents, prose):
         file.write(b"x")
     with pytest.raises(ValueError, match="another hash"):
         Shard(path)
+
+
+def test_encoding_starts_no_threads():
+    """Each thread of the tokenizer would keep memory of its own beside a task's."""
+    code = ("import os, pyarrow as pa; from reelmill.llm.token_store import _loaded, encode, word_encoding; how = word_encoding();"
+            "_loaded(how.tokenizer); threads = lambda: len(os.listdir('/proc/self/task')); before = threads();"
+            "list(encode(pa.array([' '.join(f'word{i}x' for i in range(20000))]), how)); print(threads() - before)")
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    assert subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, check=True).stdout.strip() == "0"
+
+
+def test_word_cache_is_bounded_by_its_ids(monkeypatch):
+    """Few long words can hold as many ids as many short ones."""
+    monkeypatch.setattr(token_store, "_tokenizers", {})
+    monkeypatch.setattr(token_store, "CACHED_IDS", 5000)
+    rng = random.Random(2)
+    tokenizer, _, cache = token_store._loaded(HOW.tokenizer)
+    for _ in range(6):
+        text = " ".join("".join(rng.choice("abcxyz019") for _ in range(4000)) for _ in range(3))
+        found = [np.frombuffer(x, "<u2").tolist() for x in encode(pa.array([text, text[:50]]), HOW)]
+        assert found == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in (text, text[:50])]
+        assert len(cache.pool) <= 5000 + 4000 * 3
