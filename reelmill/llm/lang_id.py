@@ -7,7 +7,7 @@ probabilities are the means over all its bytes. Long texts are cut into runs of
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +35,15 @@ FOLDS = 5  # documents whose id has remainder 0 are held out of the fit
 
 @dataclass
 class Model:
-    """``inputs``: a row of gate inputs for each byte; gates are update, reset and candidate, each of ``HIDDEN`` units."""
+    """``inputs``: a row of gate inputs for each byte; gates are update, reset and candidate, each of ``HIDDEN`` units.
+    ``pairs``: which pairs of bytes (first * 256 + second) the training runs hold; all if it was not trained."""
 
     languages: list[str]
     inputs: list[np.ndarray]  # per direction (3H, 256)
     recurrent: list[np.ndarray]  # per direction (3H, H)
     output: np.ndarray  # (languages, 2H)
     bias: np.ndarray  # (languages, 1)
+    pairs: np.ndarray = field(default_factory=lambda: np.ones(1 << 16, bool))
 
     def parameters(self) -> list[np.ndarray]:
         return [*self.inputs, *self.recurrent, self.output, self.bias]
@@ -160,6 +162,9 @@ def train(languages: list[str], runs: np.ndarray, labels: np.ndarray, steps: int
     """Fit by Adam on runs (run, position) with their labels; languages are drawn equally often."""
     model = new_model(languages, seed=seed)
     rng = np.random.default_rng(seed)
+    model.pairs[:] = False
+    for i in range(runs.shape[1] - 1):
+        model.pairs[runs[:, i].astype(np.uint16) << 8 | runs[:, i + 1]] = True
     own = [np.flatnonzero(labels == k) for k in range(len(languages))]
     first = [np.zeros_like(p) for p in model.parameters()]
     second = [np.zeros_like(p) for p in model.parameters()]
@@ -247,28 +252,43 @@ def _has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def predict(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean probabilities (document, language) over all bytes of each text; zeros for empty texts."""
+def strange(model: Model, data: np.ndarray) -> np.ndarray:
+    """The bytes of characters beyond ASCII that no training run holds: what the network says of them is not learned."""
+    later = (data & 0xC0) == 0x80
+    out = np.zeros(len(data), bool)
+    out[1:] = later[1:] & ~model.pairs[data[:-1].astype(np.uint16) << 8 | data[1:]]
+    out[:-1] |= out[1:] & ~later[:-1]
+    return out
+
+
+def predict(model: Model, data: np.ndarray, offsets: np.ndarray, learned: bool = False) -> np.ndarray:
+    """Mean probabilities (document, language) over all bytes of each text; zeros for empty texts. With ``learned``,
+    the probabilities at strange bytes count as zeros."""
     sizes = np.diff(offsets)
     counts = -(-sizes // RUN)
     owner = np.repeat(np.arange(len(sizes)), counts)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     starts = offsets[:-1][owner] + place * RUN
     lengths = np.minimum(RUN, offsets[1:][owner] - starts)
+    unknown = offsets[0] + np.flatnonzero(strange(model, data[offsets[0]:offsets[-1]])) if learned else offsets[:0]
     sums = np.zeros((len(sizes), len(model.languages)))
     for at in range(0, len(owner), 2048):
         low, size = starts[at:at + 2048], lengths[at:at + 2048]
         places = np.minimum(low[None, :] + np.arange(RUN)[:, None], len(data) - 1)
         runs = data[places].astype(np.intp)
         found = position_probabilities(model, runs, size)
-        found *= (np.arange(RUN)[:, None] < size)[:, None, :]
+        counted = np.arange(RUN)[:, None] < size
+        if len(unknown):
+            near = np.searchsorted(unknown, places)
+            counted &= unknown[np.minimum(near, len(unknown) - 1)] != places
+        found *= counted[:, None, :]
         np.add.at(sums, owner[at:at + 2048], found.sum(axis=0).T)
     return sums / np.maximum(sizes, 1)[:, None]
 
 
-def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), learned: bool = False) -> DataFrame:
     """Documents (``doc_id``, ``text``) with ``lang_pred`` and ``score``, the mean probability of that language; columns named
-    in ``keep`` are handed on behind them.
+    in ``keep`` are handed on behind them. With ``learned``, characters that the training runs don't hold add nothing to it.
 
     A missing text, or one without a letter, is ``und`` with score 0, and so is every text if the model knows no language.
     Of equal probabilities the first language by name wins. Every row is answered by its text alone, repeated and missing
@@ -290,7 +310,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
                 known = letters[start:stop] & bool(model.languages)
                 names, scores = np.full(n, UNDECIDED, object), np.zeros(n)
                 if known.any():
-                    found = predict(model, data, offsets[start:stop + 1])
+                    found = predict(model, data, offsets[start:stop + 1], learned)
                     best = found.argmax(axis=1)
                     names[known] = np.array(model.languages, object)[best[known]]
                     scores[known] = np.clip(found[np.arange(n), best][known], 0, 1)

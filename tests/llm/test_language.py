@@ -64,3 +64,24 @@ def test_undecided(documents):
     found = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.identify(docs, lang_id.new_model(["en"])).collect()}
     assert found == {1: ("und", 0.0), 2: ("und", 0.0), 3: ("und", 0.0), 4: ("en", 1.0)}
     assert {r.lang_pred for r in lang_id.identify(docs, lang_id.new_model([])).collect()} == {"und"}
+
+
+def test_characters_that_were_not_learned_add_nothing(documents, corpus):
+    """The network's word on a script that it never read is chance; with ``learned`` it doesn't count."""
+    docs = documents(corpus)
+    model = lang_id.fit(docs, steps=20)
+    texts = ["Быстрая лиса бежит в лес " * 9, "γρήγορη αλεπού " * 9, "速い茶色の狐 " * 9, "être vert maison", "the of and", "etre øre"]
+    rows = documents([(k, t) for k, t in enumerate(texts)])
+    plain = {r.doc_id: r for r in lang_id.identify(rows, model).collect()}
+    found = {r.doc_id: r for r in lang_id.identify(rows, model, learned=True).collect()}
+    for k, text in enumerate(texts):
+        if k in (3, 4):
+            assert found[k] == plain[k]
+        else:
+            spared = sum(c < 128 for c in text.encode()) / len(text.encode())
+            assert found[k].score < plain[k].score and found[k].score <= spared
+    data = np.frombuffer("aéø日é".encode(), np.uint8)
+    model.pairs[:] = False
+    model.pairs[[0xC3 << 8 | 0xA9]] = True
+    assert lang_id.strange(model, data).tolist() == [False] * 3 + [True] * 5 + [False] * 2
+    assert not lang_id.strange(lang_id.new_model(["a"]), data).any()

@@ -68,3 +68,12 @@ def test_language_stage_without_labels_keeps_all(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(*corpus_pipeline.COLUMNS)
     blank = docs.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.keep_known_languages(spark, blank, "").count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_language_stage_rejects_scripts_it_did_not_learn(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    other = ["Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί " * 4, "速い茶色の狐がのろまな犬を飛び越えて森の中へ " * 4,
+             "Быстрая лиса бежит в лес " * 6, "השועל החום המהיר קופץ מעל הכלב העצלן " * 5]
+    mixed = docs.unionByName(spark.createDataFrame([(10 ** 6 + k, t, None, "x", None) for k, t in enumerate(other)], docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, mixed, "").collect()}
+    assert not kept & {10 ** 6 + k for k in range(len(other))}
